@@ -9,13 +9,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language_id, licenses, packing, quality, toxicity
+from . import language_id, licenses, packing, quality, sentencepieces, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The operators over their whole tables, with production parameters."""
     return {
         "op1_language_id": language_id.query,
+        "op3_sentencepiece": sentencepieces.query,
         "op4_toxicity": toxicity.query,
         "op7_packing": packing.query,
         "op8_quality": quality.query,
