@@ -19,6 +19,7 @@ import heapq
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,7 @@ _SEGMENT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 #: Segments of more characters have a heap of their own.
 LONG = 200
 #: Segments that a worker remembers, and texts that it handles at once.
-REMEMBERED, TEXTS = 200_000, 256
+REMEMBERED, TEXTS = 400_000, 256
 _NONE = np.int64(1 << 40)
 
 
@@ -71,18 +72,40 @@ class Encoder:
                 self.single[ord(s)] = i
         self.inner = {i: ord(s) for s, i in symbols.items() if i >= self.n_pieces}
         pairs = sorted((symbols[p[:k]] * self.base + symbols[p[k:]], order[spec.pieces[i].score], i) for p, i in normal.items() for k in range(1, len(p)) if p[:k] in symbols and p[k:] in symbols)
-        self.keys, self.ranks, self.merged = (np.array(c, dtype=np.int64) for c in zip(*pairs, strict=True))
         self.lookup = {k: (r, i) for k, r, i in pairs}
-        self.decimal, self.binary = [b"%d " % i for i in range(self.n_pieces)], [i.to_bytes(4, "little") for i in range(self.n_pieces)]
-        # by segment without its first space mark: its ids as decimal text and as 32-bit numbers
+        self._fill(*(np.array(c, dtype=np.int64) for c in zip(*pairs, strict=True)))
+        self.decimal = [b"%d " % i for i in range(self.n_pieces)]
+        # by segment without its first space mark: its ids as 32-bit numbers
         self.known: dict[str, bytes] = {}
-        self.packed: dict[str, bytes] = {}
+
+    def _fill(self, keys: np.ndarray, ranks: np.ndarray, merged: np.ndarray) -> None:
+        """An open-addressed table of the pairs, at most a quarter full."""
+        size = 1 << int(np.ceil(np.log2(4 * keys.size + 4)))
+        self.mask = size - 1
+        self.keys, self.ranks, self.merged = np.full(size, -1), np.full(size, _NONE), np.zeros(size, dtype=np.int64)
+        left, at = np.arange(keys.size), self._slot(keys)
+        while left.size:
+            free = self.keys[at[left]] < 0
+            placed = np.unique(at[left[free]], return_index=True)[1]
+            placed = left[free][placed]
+            self.keys[at[placed]], self.ranks[at[placed]], self.merged[at[placed]] = keys[placed], ranks[placed], merged[placed]
+            left = left[~np.isin(left, placed)]
+            at[left] = (at[left] + (self.keys[at[left]] >= 0)) & self.mask
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * 0x2545F4914F6CDD1D) >> 24) & self.mask
 
     def _pairs(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and merged piece of each pair of symbols; _NONE where there is none."""
-        key = np.where((left >= 0) & (right >= 0), left * self.base + right, -1)
-        at = np.minimum(np.searchsorted(self.keys, key), self.keys.size - 1)
-        hit = self.keys[at] == key
+        key = left * self.base + right
+        at = self._slot(key)
+        found = self.keys[at]
+        open_ = np.flatnonzero((found != key) & (found >= 0))
+        while open_.size:
+            at[open_] = (at[open_] + 1) & self.mask
+            found = self.keys[at[open_]]
+            open_ = open_[(found != key[open_]) & (found >= 0)]
+        hit = (self.keys[at] == key) & (left >= 0) & (right >= 0)
         return np.where(hit, self.ranks[at], _NONE), self.merged[at]
 
     def _ids(self, symbols: list[int]) -> list[int]:
@@ -125,8 +148,8 @@ class Encoder:
             propose(i)
         return self._ids([s for s, g in zip(symbols, gone, strict=True) if not g])
 
-    def merge(self, segments: list[str]) -> list[list[int]]:
-        """The agendas of many segments, a round at a time."""
+    def merge(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The agendas of many segments, a round at a time: their ids, and where each segment's begin."""
         symbols = self.single[np.frombuffer("".join(segments).encode("utf-32-le"), dtype=np.uint32)]
         owner = np.repeat(np.arange(len(segments)), [len(s) for s in segments])
         n = symbols.size
@@ -164,23 +187,35 @@ class Encoder:
         owner = np.concatenate([o for o, _ in done]) if done else np.zeros(0, dtype=np.int64)
         flat = np.concatenate([s for _, s in done]) if done else owner
         order = np.argsort(owner, kind="stable")
-        flat, cuts = flat[order].tolist(), np.searchsorted(owner[order], np.arange(len(segments) + 1)).tolist()
-        cut = [flat[lo:hi] for lo, hi in zip(cuts, cuts[1:])]
-        return cut if not flat or 0 <= min(flat) and max(flat) < self.n_pieces else [self._ids(c) for c in cut]
+        flat, cuts = flat[order], np.searchsorted(owner[order], np.arange(len(segments) + 1))
+        if flat.size and (flat.min() < 0 or flat.max() >= self.n_pieces):
+            odd = np.flatnonzero((flat < 0) | (flat >= self.n_pieces))
+            ids = [self._ids([x]) for x in flat[odd].tolist()]
+            size = np.ones(flat.size, dtype=np.int64)
+            size[odd] = [len(x) for x in ids]
+            cuts = np.concatenate(([0], np.cumsum(size)))[cuts]
+            byte_ids = np.repeat(size > 1, size)
+            single = np.flatnonzero(size[odd] == 1)
+            flat[odd[single]] = [ids[i][0] for i in single]
+            flat = np.repeat(flat, size)
+            flat[byte_ids] = list(chain.from_iterable(x for x in ids if len(x) > 1))
+        return flat, cuts
 
     def learn(self, segments: set[str]) -> None:
         """Merge new segments, given without their first space mark, check them against the library, and remember them."""
-        if len(self.known) + len(segments) > REMEMBERED:
-            self.known, self.packed = {}, {}
-        new = sorted(segments)
-        found = iter(self.merge(short) if (short := [SPACE + s for s in new if len(s) < LONG]) else ())
-        ids = [next(found) if len(s) < LONG else self.merge_one(SPACE + s) for s in new]
-        checked = self.library.encode([s.replace(SPACE, " ") for s in new], num_threads=1)
-        for s, own, theirs in zip(new, ids, checked, strict=True):
-            if own != theirs and s:  # the library has no text of only the space that it puts before
-                raise ValueError(f"the library encodes {s!r} as {theirs}, the merges give {own}")
-            self.known[s] = b"".join(map(self.decimal.__getitem__, own))
-            self.packed[s] = b"".join(map(self.binary.__getitem__, own))
+        new = [s for s in segments if s and len(s) < LONG]
+        flat, cuts = self.merge([SPACE + s for s in new])
+        theirs = self.library.encode([s.replace(SPACE, " ") for s in new] if any(SPACE in s for s in new) else new, num_threads=1)
+        if list(chain.from_iterable(theirs)) != flat.tolist() or list(map(len, theirs)) != np.diff(cuts).tolist():
+            raise ValueError(f"the library encodes a segment differently: {next(s for s, t, lo, hi in zip(new, theirs, cuts, cuts[1:]) if t != flat[lo:hi].tolist())!r}")
+        raw, cuts = flat.astype("<u4").tobytes(), (4 * cuts).tolist()
+        self.known.update(zip(new, map(raw.__getitem__, map(slice, cuts, cuts[1:]))))
+        for s in segments:
+            if not s or len(s) >= LONG:  # the library has no text of only the space that it puts before
+                own = self.merge_one(SPACE + s)
+                if s and own != self.library.encode(s.replace(SPACE, " ")):
+                    raise ValueError(f"the library encodes a segment differently: {s[:200]!r}")
+                self.known[s] = np.array(own, dtype="<u4").tobytes()
 
     @staticmethod
     def segments(text: str) -> list[str]:
@@ -198,12 +233,17 @@ class Encoder:
         for lo in range(0, len(texts), TEXTS):
             cut = [self.segments(t) for t in texts[lo : lo + TEXTS]]
             wanted = set().union(*cut)
+            if len(self.known) + len(wanted) > REMEMBERED:
+                # short segments come again most often
+                self.known = {s: ids for s, ids in self.known.items() if len(s) <= 8}
+                if len(self.known) > REMEMBERED // 2:
+                    self.known = {}
             new = wanted - self.known.keys()
             if new:
-                self.learn(wanted if len(self.known) + len(new) > REMEMBERED else new)
+                self.learn(new)
             for segments in cut:
-                packed = b"".join(map(self.packed.__getitem__, segments))
-                yield b"".join(map(self.known.__getitem__, segments)), np.frombuffer(packed, dtype="<u4").tolist()
+                ids = np.frombuffer(b"".join(map(self.known.__getitem__, segments)), dtype="<u4").tolist()
+                yield b"".join(map(self.decimal.__getitem__, ids)), ids
 
 
 @lru_cache(maxsize=2)
