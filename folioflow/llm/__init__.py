@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language_id, licenses, packing, quality, sentencepieces, toxicity
+from . import katz, language_id, licenses, minhash, packing, quality, sentencepieces, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -18,9 +18,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_language_id": language_id.query,
         "op3_sentencepiece": sentencepieces.query,
         "op4_toxicity": toxicity.query,
+        "op6_minhash": minhash.query,
         "op7_packing": packing.query,
         "op8_quality": quality.query,
         "op9_licenses": licenses.query,
+        "op10_katz": katz.query,
     }
 
 

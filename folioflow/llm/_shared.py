@@ -19,9 +19,10 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
-def table(df: DataFrame, name: str) -> DataFrame:
-    """df, written as Parquet to the shared folder and read again."""
+def table(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """df, written as Parquet to the shared folder, partitioned by a column if one is named, and read again."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    writer = df.write.option("compression", "zstd")
+    (writer.partitionBy(by) if by else writer).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
