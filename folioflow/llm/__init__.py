@@ -9,15 +9,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import katz, language_id, licenses, minhash, packing, quality, sentencepieces, toxicity
+from . import katz, kmtree, language_id, lattice, licenses, minhash, packing, quality, sentencepieces, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The operators over their whole tables, with production parameters."""
     return {
         "op1_language_id": language_id.query,
+        "op2_kmeans_tree": kmtree.query,
         "op3_sentencepiece": sentencepieces.query,
         "op4_toxicity": toxicity.query,
+        "op5_lattice": lattice.query,
         "op6_minhash": minhash.query,
         "op7_packing": packing.query,
         "op8_quality": quality.query,
