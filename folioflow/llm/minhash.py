@@ -232,7 +232,8 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80, id_co
     late = table(_links_across(rest.join(texts, "node"), words, percent), "links")
     if late.head(1):
         component = connected_components(edges.unionAll(late))
-    classes = sets.join(component, "node", "left").select("set_id", F.coalesce("component", "node").alias("component_id"))
+    # as a table of its own, so that the rows of one set with very many copies can be split in the join
+    classes = table(sets.join(component, "node", "left").select("set_id", F.coalesce("component", "node").alias("component_id")), "classes")
     out = sketched.join(classes, "set_id", "left")
     own = F.when(F.col("doc_id").isNull(), F.lit(None).cast("long")).otherwise(F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", own.alias("component_id"), F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept"))

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import language_id
+from . import language_id, minhash, packing
 from . import quality as quality_classifier
 from ._shared import table
 
@@ -17,8 +17,7 @@ def reread(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is identified; rejected ones go."""
-    known = docs.where(~language_id.held_out())
-    model = language_id.train(known)
+    model = language_id.train(docs.where(~language_id.held_out()))
     return language_id.predict(docs, model).where(~F.col("rejected")).select(*docs.columns)
 
 
@@ -27,3 +26,21 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality").where(~quality_classifier.held_out())
     model = quality_classifier.train(docs, labels)
     return quality_classifier.predict(docs, model).where(F.col("score") >= quality_classifier.THRESHOLD).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates by shingles of five words; of repeated rows of an id, one."""
+    found = minhash.near_duplicates(docs, words=5).groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    found = table(found, "kept")
+    out = docs.join(found.where("not kept").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    if found.where("kept and n > 1 and doc_id is not null").head(1):
+        first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
+        out = out.withColumn("__row", first).where("__row = 1 or doc_id is null").select(*docs.columns)
+    return out
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of at most 2048 tokens."""
+    import public_tokenizers
+
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
