@@ -11,7 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from folioflow.llm import stages
 
-STAGES = [("language", stages.language), ("quality", stages.quality)]
+STAGES = [
+    ("language", stages.language),
+    ("quality", stages.quality),
+    ("near_duplicates", stages.near_duplicates),
+    ("pack", stages.pack),
+]
 
 #: SQL cannot express the trained stages; tests compare the stages with brute force.
 ORACLE_SQL = None
