@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import importlib
+import pkgutil
 
-from pyspark.sql import DataFrame, SparkSession
+from folioflow import plans
+from folioflow.registry import ORACLES, QUERIES, Query
 
+for _module in pkgutil.iter_modules(plans.__path__):
+    importlib.import_module(f"folioflow.plans.{_module.name}")
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
