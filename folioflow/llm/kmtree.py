@@ -8,7 +8,7 @@ grows until the recall aimed at is reached; visits also go on until enough vecto
 Within a leaf distances are computed in double precision on the vectors as they are.
 
 Equal vectors are one entry with its smallest ids, of which no more can be among the nearest.  Leaves are read
-in blocks of bounded size.
+in shards of bounded size; each sends back the nearest of the leaves that a query visits.
 
 Defined results: vectors that are null, zero or hold null or non-finite components, and rows without an id, take no
 part.  A query with fewer candidates gets all of them.  Ties go to the smaller id.  Vectors of different lengths
@@ -18,6 +18,7 @@ are not compared.  Repeated rows are one.  Extra columns are ignored.
 from __future__ import annotations
 
 import heapq
+import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -34,7 +35,7 @@ from ._vectors import dimensions, groups, stack, usable
 SAMPLE, LEAVES, LEAF_SIZE, BRANCH = 16_000, 4096, 200, 8
 #: Recall aimed at, and queries that it is calibrated with.
 RECALL, CALIBRATION = 0.985, 128
-#: Vectors of a block of a leaf; queries compared with it at once.
+#: Vectors of a shard: leaves that are read together.
 BLOCK = 4096
 
 
@@ -141,14 +142,34 @@ def _top(queries: np.ndarray, x: np.ndarray, ids: list[list[int]], k: int) -> It
 
 
 def _search(dealt: DataFrame, asked: DataFrame, number: np.dtype, k: int) -> DataFrame:
-    """query (vec), vec_id, score: the k nearest of each query in each block of a leaf.  dealt: leaf, block, vec, ids.  asked: leaf, block, query."""
+    """query (vec), vec_id, score: the k nearest of each query among the leaves that it visits in each shard.
 
-    def run(key: tuple, rows: pa.Table, queries: pa.Table) -> pa.Table:
-        given = queries.column("query").to_pylist()
-        out = list(_top(stack(given, number), stack(rows.column("vec").to_pylist(), number), rows.column("ids").to_pylist(), k)) if given and rows.num_rows else []
-        return pa.table({"query": pa.array([given[q] for q, *_ in out], pa.binary()), "vec_id": pa.array([r[1] for r in out], pa.int64()), "score": pa.array([r[2] for r in out], pa.float64())})
+    dealt: shard, leaf, vec, ids.  asked: shard, query, leaves."""
 
-    return dealt.groupBy("leaf", "block").cogroup(asked.groupBy("leaf", "block")).applyInArrow(run, "query binary, vec_id long, score double")
+    def run(key: tuple, rows: pa.Table, queries: pa.Table) -> pa.Table:
+        given, out = queries.column("query").to_pylist(), []
+        if given and rows.num_rows:
+            x, q, ids = stack(rows.column("vec").to_pylist(), number), stack(given, number), rows.column("ids").to_pylist()
+            leaf = rows.column("leaf").to_numpy()
+            for i, leaves in enumerate(queries.column("leaves").to_pylist()):
+                near = np.flatnonzero(np.isin(leaf, leaves))
+                out += [(i, v, d) for _, v, d, _ in _top(q[i : i + 1], x[near], [ids[r] for r in near], k)]
+        return pa.table({"query": pa.array([given[r[0]] for r in out], pa.binary()), "vec_id": pa.array([r[1] for r in out], pa.int64()), "score": pa.array([r[2] for r in out], pa.float64())})
+
+    return dealt.groupBy("shard").cogroup(asked.groupBy("shard")).applyInArrow(run, "query binary, vec_id long, score double")
+
+
+def shards(sizes: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
+    """First shard and number of shards of each leaf: neighbouring leaves share a shard of block vectors, a larger leaf has several."""
+    first, count, at, held = np.zeros(len(sizes), dtype=np.int64), np.ones(len(sizes), dtype=np.int64), 0, 0
+    for leaf, n in enumerate(sizes):
+        if held and held + n > block:
+            at, held = at + 1, 0
+        first[leaf], count[leaf] = at, max(1, -(-n // block))
+        held += n
+        if count[leaf] > 1:
+            at, held = at + count[leaf], 0
+    return first, count
 
 
 def _calibrate(entries: DataFrame, tree: Tree, sizes: np.ndarray, number: np.dtype, k: int, recall: float, queries: int) -> int:
@@ -214,18 +235,29 @@ def _nearest(entries: DataFrame, queries: DataFrame, number: np.dtype, k: int, r
     sizes, stored = np.zeros(tree.leaves, dtype=np.int64), np.zeros(tree.leaves, dtype=np.int64)
     for r in indexed.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("ids")).alias("ids")).collect():  # at most LEAVES rows
         sizes[r["leaf"]], stored[r["leaf"]] = r["n"], r["ids"]
-    blocks = np.maximum(-(-sizes // BLOCK), 1)
+    first, count = shards(sizes, BLOCK)
     least = _calibrate(indexed, tree, stored, number, k, recall, CALIBRATION)
 
     def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
-                vecs = batch.column(0).slice(lo, 256).to_pylist()
-                rows = [(leaf, b, vec) for vec, x in zip(vecs, stack(vecs, number), strict=True) for leaf in tree.visits(x, least, stored, k + 1) for b in range(blocks[leaf])]
-                yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate((pa.int32(), pa.int32(), pa.binary()))], names=["leaf", "block", "query"])
+                vecs, rows = batch.column(0).slice(lo, 256).to_pylist(), []
+                for vec, x in zip(vecs, stack(vecs, number), strict=True):
+                    visited: dict[int, list[int]] = {}
+                    for leaf in tree.visits(x, least, stored, k + 1):
+                        for s in range(first[leaf], first[leaf] + count[leaf]):
+                            visited.setdefault(s, []).append(leaf)
+                    rows += [(s, vec, leaves) for s, leaves in visited.items()]
+                yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate((pa.int64(), pa.binary(), pa.list_(pa.int32())))], names=["shard", "query", "leaves"])
+
+    def deal(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            leaf = batch.column(0).to_numpy()
+            part = np.array([zlib.crc32(v.as_buffer()) for v in batch.column(1)], dtype=np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(first[leaf] + part % count[leaf]), *batch.columns], names=["shard", *batch.schema.names])
 
-    dealt = indexed.withColumn("block", F.pmod(F.xxhash64("vec"), F.element_at(F.array(*[F.lit(int(b)) for b in blocks]), F.col("leaf") + 1)).cast("int")) if (blocks > 1).any() else indexed.withColumn("block", F.lit(0))
-    asked = queries.select("vec").distinct().mapInArrow(ask, "leaf int, block int, query binary")
+    dealt = indexed.mapInArrow(deal, "shard long, leaf int, vec binary, ids array<long>")
+    asked = queries.select("vec").distinct().mapInArrow(ask, "shard long, query binary, leaves array<int>")
     found = _search(dealt, asked, number, k + 1)
     best = F.row_number().over(Window.partitionBy("query").orderBy("score", "vec_id"))
     found = found.withColumn("r", best).where(F.col("r") <= k + 1).select(F.col("query").alias("vec"), F.col("vec_id").alias("found"), "score")
