@@ -263,13 +263,13 @@ def shingle_overlap(spark: SparkSession, d: str) -> DataFrame:
     return both.where("anchors >= 3").select("doc_id", "item_id", "anchors", F.round(F.least(F.lit(0.95), 0.75 + 0.05 * F.col("anchors")), 6).alias("confidence"))
 
 
-@query("""select event_type, user_id, count(*) calls, cast(sum(cast(json_extract_string(props, '$.k') as bigint)) as bigint) as tokens, round(sum(value), 4) as duration, round(avg(value), 4) as mean_duration, round(100.0 * count(*) filter (where cast(json_extract_string(props, '$.k') as bigint) % 2 = 0) / count(*), 1) as hit_pct
+@query("""select event_type, user_id, count(*) calls, cast(sum(cast(json_extract_string(props, '$.k') as bigint)) as bigint) as tokens, round(sum(value), 4) as duration, round(avg(value), 9) as mean_duration, round(100.0 * count(*) filter (where cast(json_extract_string(props, '$.k') as bigint) % 2 = 0) / count(*), 1) as hit_pct
 from events group by grouping sets ((), (event_type), (user_id), (event_type, user_id))""")
 def usage_summary_grouping_sets(spark: SparkSession, d: str) -> DataFrame:
     """AGG-1: usage in total, by provider, by caller and by both, in one pass."""
     e = read(spark, d, "events").withColumn("k", F.get_json_object("props", "$.k").cast("long"))
     n = F.count(F.lit(1))
-    return e.groupingSets([[], ["event_type"], ["user_id"], ["event_type", "user_id"]], "event_type", "user_id").agg(n.alias("calls"), F.sum("k").alias("tokens"), F.round(F.sum("value"), 4).alias("duration"), F.round(F.avg("value"), 4).alias("mean_duration"), F.round(100.0 * F.count_if(F.col("k") % 2 == 0) / n, 1).alias("hit_pct"))
+    return e.groupingSets([[], ["event_type"], ["user_id"], ["event_type", "user_id"]], "event_type", "user_id").agg(n.alias("calls"), F.sum("k").alias("tokens"), F.round(F.sum("value"), 4).alias("duration"), F.round(F.avg("value"), 9).alias("mean_duration"), F.round(100.0 * F.count_if(F.col("k") % 2 == 0) / n, 1).alias("hit_pct"))
 
 
 @query("select event_id, count(*) over w as calls, round(sum(value) over w, 4) as tokens, round((0.75 * sum(value) over w + 3.75 * count(*) over w) / 1000000, 12) as cost from events window w as (partition by user_id order by ts range between interval 5 hours preceding and current row)")
