@@ -213,11 +213,9 @@ def align(piece: str, source: str, least: float = 0.9) -> tuple[int, int, str, f
 
 def latex_spans(text: str) -> list[tuple[int, int]]:
     """$$...$$ first, then $...$ that do not overlap those, in order."""
-    found = [m.span() for m in re.finditer(r"\$\$.+?\$\$", text, re.S)]
-    for m in re.finditer(r"\$[^$\n]+\$", text):
-        if all(m.end() <= a or m.start() >= b for a, b in found):
-            found.append(m.span())
-    return sorted(found)
+    double = re.compile(r"\$\$.+?\$\$", re.S)
+    rest = double.sub(lambda m: "\n" * len(m[0]), text)
+    return sorted([m.span() for m in double.finditer(text)] + [m.span() for m in re.finditer(r"\$[^$\n]+\$", rest)])
 
 
 def latex_valid(formula: str) -> bool:
