@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import gc
+import re
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,3 +29,15 @@ def table(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     writer = df.write.option("compression", "zstd")
     (writer.partitionBy(by) if by else writer).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(df: DataFrame, part: str = "") -> None:
+    """Delete a table (or a part of it, as kind=x) that nothing reads any more, and let Spark drop the shuffle files of finished jobs."""
+    spark = df.sparkSession
+    for path in {m[1] for f in df.inputFiles() if (m := re.match(r"(.*/[^/]+-[0-9a-f]{32})/", f))}:
+        where = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{part}")
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    for _ in range(2):  # the first makes what finished jobs held unreachable, the second lets its cleaner find it
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)

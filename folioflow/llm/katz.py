@@ -26,17 +26,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import _text as T
-from ._shared import table
+from ._shared import release, table
 
 END, START = np.uint64(1), (1 << 32) - 1
 #: Bytes of text in a block; bytes of text for each bucket.
-BLOCK_BYTES, BUCKET_BYTES = 12 << 20, 24 << 20
+BLOCK_BYTES, BUCKET_BYTES = 8 << 20, 20 << 20
 #: Counts up to this are discounted by Good-Turing.
 TOP = 5
 HOT = 1 / 1000
@@ -50,6 +51,11 @@ def _unpack(x: bytes, kind: type) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(x), dtype=kind)
 
 
+def _bucket(keys: np.ndarray, bits: int) -> np.ndarray:
+    """The bucket of each hashed word: its highest bits."""
+    return (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(keys.size, dtype=np.int64)
+
+
 def discounts(n: np.ndarray) -> np.ndarray:
     """d by count, from 0 to TOP + 1 (and above), for n[r] types of count r (r up to TOP + 1).
 
@@ -84,8 +90,8 @@ class Unigrams:
         return np.log10(np.where(c > 0, p, unknown))
 
 
-def blocks(docs: DataFrame) -> DataFrame:
-    """docs (doc_id, train, text) as blocks: words by falling frequency, and the texts as streams of their indices."""
+def blocks(docs: DataFrame, bits: int) -> DataFrame:
+    """docs (doc_id, train, text) as blocks: words by falling frequency, their buckets, and the texts as streams of their indices."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, held = TaskContext.get().partitionId() << 32, []
@@ -101,10 +107,10 @@ def blocks(docs: DataFrame) -> DataFrame:
             stream, lengths, train = rank[index], np.concatenate([h[3] for h in held]), np.concatenate([h[1] for h in held])
             seen = np.bincount(stream[np.repeat(train, lengths)], minlength=keys.size)
             ids = pa.concat_arrays([h[0] for h in held])
-            row = [number, keys.size, _pack(keys[order]), _pack(seen.astype(np.uint32)), _pack(stream), _pack(lengths.astype(np.uint32)), _pack(train)]
+            row = [number, keys.size, _pack(keys[order]), _pack(_bucket(keys[order], bits).astype(np.uint32)), _pack(seen.astype(np.uint32)), _pack(stream), _pack(lengths.astype(np.uint32)), _pack(train)]
             number, held, size = number + 1, [], 0
-            kinds = [pa.int64(), pa.int64(), *[pa.binary()] * 5]
-            return pa.RecordBatch.from_arrays([*[pa.array([x], k) for x, k in zip(row, kinds, strict=True)], pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)], names=["block", "words", "keys", "seen", "stream", "lengths", "train", "doc_ids"])
+            kinds = [pa.int64(), pa.int64(), *[pa.binary()] * 6]
+            return pa.RecordBatch.from_arrays([*[pa.array([x], k) for x, k in zip(row, kinds, strict=True)], pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)], names=["block", "words", "keys", "buckets", "seen", "stream", "lengths", "train", "doc_ids"])
 
         for batch in batches:
             train = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
@@ -121,7 +127,7 @@ def blocks(docs: DataFrame) -> DataFrame:
         if held:
             yield flush()
 
-    return docs.mapInArrow(run, "block long, words long, keys binary, seen binary, stream binary, lengths binary, train binary, doc_ids array<long>")
+    return docs.mapInArrow(run, "block long, words long, keys binary, buckets binary, seen binary, stream binary, lengths binary, train binary, doc_ids array<long>")
 
 
 def _word_buckets(stored: DataFrame, bits: int) -> DataFrame:
@@ -132,7 +138,7 @@ def _word_buckets(stored: DataFrame, bits: int) -> DataFrame:
         for batch in batches:
             for block, packed, seen in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 keys, seen = _unpack(packed, np.uint64), _unpack(seen, np.uint32)
-                bucket = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(keys.size, dtype=np.int64)
+                bucket = _bucket(keys, bits)
                 order = np.argsort(bucket, kind="stable")
                 cuts = np.searchsorted(bucket[order], np.arange((1 << bits) + 1))
                 found = [(b, lo, hi) for b, (lo, hi) in enumerate(zip(cuts, cuts[1:])) if hi > lo]
@@ -169,13 +175,12 @@ def _answered(stored: DataFrame, answers: DataFrame, bits: int, uni: Unigrams, h
     """Blocks with their words' ids and counts: the base figures of each document (bucket -1), and the bigrams for each bucket."""
     size = 1 << bits
     scale = np.log10(uni.total + 0.5 * (uni.types + 1))
-    names = ["block", "bucket", "histories", "seconds", "counts", "seen", "times", "docs", "doc_ids", "train", "base"]
+    names = ["block", "bucket", "seconds", "counts", "runs", "histories", "times", "docs", "doc_ids", "train", "base"]
     kinds = [pa.int64(), pa.int32(), *[pa.binary()] * 6, pa.list_(pa.int64()), pa.binary(), pa.binary()]
 
     def run(key: tuple, block: pa.Table, given: pa.Table) -> pa.Table:
         number, n = key[0].as_py(), block.column("words")[0].as_py()
-        vocabulary = _unpack(block.column("keys")[0].as_py(), np.uint64)
-        bucket = (vocabulary >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(n, dtype=np.int64)
+        bucket = _unpack(block.column("buckets")[0].as_py(), np.uint32)
         place, word, count = np.argsort(bucket, kind="stable"), np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
         cuts = np.searchsorted(bucket[place], np.arange(size + 1))
         for b, w, c in zip(given.column("bucket").to_pylist(), given.column("words").to_pylist(), given.column("counts").to_pylist(), strict=True):
@@ -195,7 +200,6 @@ def _answered(stored: DataFrame, answers: DataFrame, bits: int, uni: Unigrams, h
         both, doc = both[order], doc[order]
         start = np.flatnonzero(np.concatenate(([True], both[1:] != both[:-1])))
         times = np.diff(np.append(start, both.size))
-        seen = np.add.reduceat(train[doc].astype(np.int64), start)
         h, w = both[start] // (n + 1), both[start] % (n + 1)
         history = np.append(word, START)[h]
         second, c2 = word[w], count[w]
@@ -203,19 +207,22 @@ def _answered(stored: DataFrame, answers: DataFrame, bits: int, uni: Unigrams, h
         hot_ones = np.isin(history, hot)
         spread[hot_ones] = T.mix64(spread[hot_ones] ^ second[hot_ones].astype(np.uint64))
         to = (spread & np.uint64(size - 1)).astype(np.int64)
-        order = np.lexsort((second, history, to))
+        order = np.lexsort((history, second, to))
         # the documents in the new order of their bigrams
         begins = np.concatenate(([0], np.cumsum(times[order])))
         where = np.repeat(start[order] - begins[:-1], times[order]) + np.arange(both.size)
-        doc, to, history, second, c2, seen, times = doc[where], to[order], history[order], second[order], c2[order], seen[order], times[order]
-        cuts = np.searchsorted(to, np.arange(size + 1))
+        doc, to, history, second, c2, times = doc[where], to[order], history[order], second[order], c2[order], times[order]
+        cuts, narrow, flags = np.searchsorted(to, np.arange(size + 1)), np.uint16 if lengths.size <= 1 << 16 else np.uint32, _pack(train)
         for b, (lo, hi) in enumerate(zip(cuts, cuts[1:])):
             if hi > lo:
-                rows.append([number, b, *[_pack(x[lo:hi].astype(np.uint32)) for x in (history, second, c2, seen, times)], _pack(doc[begins[lo] : begins[hi]].astype(np.uint32)), None, None, None])
+                # second words in order, with their counts and how many histories each has here
+                runs = np.flatnonzero(np.concatenate(([True], second[lo + 1 : hi] != second[lo : hi - 1])))
+                columns = (np.diff(second[lo:hi][runs], prepend=0), c2[lo:hi][runs], np.diff(np.append(runs, hi - lo)), history[lo:hi], times[lo:hi], doc[begins[lo] : begins[hi]])
+                rows.append([number, b, *[_pack(x.astype(k)) for x, k in zip(columns, (*[np.uint32] * 5, narrow), strict=True)], None, flags, None])
         return pa.table([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
-    schema = "block long, bucket int, histories binary, seconds binary, counts binary, seen binary, times binary, docs binary, doc_ids array<long>, train binary, base binary"
-    return stored.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)
+    schema = "block long, bucket int, seconds binary, counts binary, runs binary, histories binary, times binary, docs binary, doc_ids array<long>, train binary, base binary"
+    return stored.drop("keys", "seen").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)
 
 
 def _history_sums(key: np.ndarray, c12: np.ndarray, p2: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -235,13 +242,18 @@ def _bigram_buckets(pieces: DataFrame, uni: Unigrams, hot: np.ndarray, hot_count
     kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 9, pa.list_(pa.int64())]
 
     def add(rows: pa.Table) -> pa.Table:
-        columns = {c: [_unpack(x, np.uint32) for x in rows.column(c).to_pylist()] for c in ("histories", "seconds", "counts", "seen", "times", "docs")}
+        columns = {c: [_unpack(x, np.uint32) for x in rows.column(c).to_pylist()] for c in ("seconds", "counts", "runs", "histories", "times")}
+        flags = [_unpack(x, np.bool_) for x in rows.column("train").to_pylist()]
+        places = [_unpack(x, np.uint16 if f.size <= 1 << 16 else np.uint32).astype(np.int64) for x, f in zip(rows.column("docs").to_pylist(), flags, strict=True)]
         sizes = [x.size for x in columns["histories"]]
-        key = (np.concatenate(columns["histories"]).astype(np.uint64) << np.uint64(32)) | np.concatenate(columns["seconds"]).astype(np.uint64)
+        runs = np.concatenate(columns["runs"])
+        key = np.concatenate(columns["histories"]).astype(np.uint64) << np.uint64(32)
+        key |= np.repeat(np.concatenate([np.cumsum(x, dtype=np.uint32) for x in columns["seconds"]]), runs)
         distinct, first, index = np.unique(key, return_index=True, return_inverse=True)
         del key
-        c12 = np.bincount(index, np.concatenate(columns["seen"]), minlength=distinct.size).astype(np.int64)
-        log_p2 = uni.log_p(np.concatenate(columns["counts"])[first].astype(np.int64))
+        seen = [np.add.reduceat(f[p].astype(np.int64), np.cumsum(t, dtype=np.int64) - t) for f, p, t in zip(flags, places, columns["times"], strict=True)]
+        c12 = np.bincount(index, np.concatenate(seen), minlength=distinct.size).astype(np.int64)
+        log_p2 = uni.log_p(np.repeat(np.concatenate(columns["counts"]), runs)[first].astype(np.int64))
         start, history, sums = _history_sums(distinct, c12, 10**log_p2)
         c1 = sums[:, -1].copy()
         at = np.searchsorted(hot, history)
@@ -252,7 +264,7 @@ def _bigram_buckets(pieces: DataFrame, uni: Unigrams, hot: np.ndarray, hot_count
         level = np.where(c12 > TOP, TOP + 1, c12)
         out, wanted, lo = [], np.zeros(history.size, dtype=bool), 0
         bucket = rows.column("bucket")[0].as_py()
-        for block, size, times, docs in zip(rows.column("block").to_pylist(), sizes, columns["times"], columns["docs"], strict=True):
+        for block, size, times, docs in zip(rows.column("block").to_pylist(), sizes, columns["times"], places, strict=True):
             each = np.repeat(index[lo : lo + size], times)
             lo += size
             n = int(docs.max()) + 1
@@ -262,7 +274,7 @@ def _bigram_buckets(pieces: DataFrame, uni: Unigrams, hot: np.ndarray, hot_count
             touched = np.flatnonzero(np.bincount(docs, minlength=n))
             new = c12[each] == 0
             wanted[of[each[new]]] = True
-            out.append([bucket, block, _pack(touched.astype(np.uint32)), sum_fixed[touched].tobytes(), _pack(low[:, touched].astype(np.uint32)), _pack(docs[new]), _pack(history[of[each[new]]].astype(np.uint32)), None, None, None, None, None])
+            out.append([bucket, block, _pack(touched.astype(np.uint32)), sum_fixed[touched].tobytes(), _pack(low[:, touched].astype(np.uint32)), _pack(docs[new].astype(np.uint32)), _pack(history[of[each[new]]].astype(np.uint32)), None, None, None, None, None])
         wanted |= is_hot
         n = np.bincount(np.minimum(c12, TOP + 2), minlength=TOP + 3)[: TOP + 2]
         known = c12 > 0
@@ -286,21 +298,23 @@ def score(docs: DataFrame, train: Column, *, id_col: str = "doc_id", text_col: s
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(train, F.lit(False)).alias("train"), F.col(text_col).alias("text"))
     size = docs.agg(F.sum(F.octet_length(F.coalesce("text", F.lit(""))) + 8).alias("bytes"), F.sum(F.col("train").cast("int")).alias("train")).first()
     bits = int(np.ceil(np.log2(max((size["bytes"] or 0) / BUCKET_BYTES, 1))))
-    stored = table(blocks(docs), "lm-blocks")
+    stored = table(blocks(docs, bits), "lm-blocks")
     words = table(_word_buckets(stored, bits), "lm-words", "bucket")
     uni, hot, hot_counts = _summary(words.where("block = -1"), size["train"] or 0)
-    dealt = table(_answered(stored, words.where("block <> -1").select("block", "bucket", "words", "counts"), bits, uni, hot), "lm-pieces")
-    pieces = dealt.where("bucket <> -1").select("bucket", "block", "histories", "seconds", "counts", "seen", "times", "docs")
+    answers = words.where("block <> -1").select("block", "bucket", "words", "counts")
+    dealt = table(_answered(stored, answers, bits, uni, hot).withColumn("kind", F.when(F.col("bucket") == -1, "base").otherwise("pieces")), "lm-pieces", "kind")
+    release(stored)
+    pieces = dealt.where("kind = 'pieces'").drop("kind", "doc_ids", "base")
     sums = table(_bigram_buckets(pieces, uni, hot, hot_counts), "lm-bigrams", "bucket")
+    release(dealt, "kind=pieces")
     own = sums.where("block = -1")
     n = np.zeros(TOP + 2)
     for r in own.select(F.posexplode("n").alias("r", "n")).groupBy("r").agg(F.sum("n").alias("n")).collect():  # TOP + 2 rows
         n[r["r"]] = r["n"]
     d = discounts(n)
     hot_alpha = _hot_weights(own, hot, hot_counts, d)
-    unseen = sums.where("block <> -1").join(own.select("bucket", F.col("histories").alias("h"), F.col("sums").alias("s")), "bucket")
-    parts = _settled(unseen.select("block", "touched", "fixed", "low", "unseen_docs", "unseen_histories", "h", "s"), hot, hot_alpha, d)
-    return _documents(dealt.where("bucket = -1").select("block", "doc_ids", "train", "base"), parts, uni)
+    parts = _settled(sums.select("bucket", "block", "touched", "fixed", "low", "unseen_docs", "unseen_histories", "histories", "sums"), hot, hot_alpha, d)
+    return _documents(dealt.where("kind = 'base'").select("block", "doc_ids", "train", "base"), parts, uni)
 
 
 def _summary(own: DataFrame, starts: int) -> tuple[Unigrams, np.ndarray, np.ndarray]:
@@ -333,31 +347,31 @@ def _hot_weights(own: DataFrame, hot: np.ndarray, counts: np.ndarray, d: np.ndar
     return backoff(total, counts.astype(np.float64), d)
 
 
-def _settled(unseen: DataFrame, hot: np.ndarray, hot_alpha: np.ndarray, d: np.ndarray) -> DataFrame:
+def _settled(sums: DataFrame, hot: np.ndarray, hot_alpha: np.ndarray, d: np.ndarray) -> DataFrame:
     """By block and bucket: the documents touched and the parts of their scores."""
     log_d = np.log10(d[1:])
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, known, alpha = None, None, None
-        for batch in batches:
-            out = []
-            for i in range(batch.num_rows):
-                block, touched, fixed, low, docs, histories, h, s = (c[i].as_py() for c in batch.columns)
-                if h != last:
-                    last, known, sums = h, _unpack(h, np.uint32).astype(np.int64), _unpack(s, np.float64).reshape(-1, TOP + 3)
-                    alpha = backoff(sums, sums[:, -1], d)
-                    if known.size:
-                        at = np.minimum(np.searchsorted(hot, known), hot.size - 1)
-                        alpha = np.where(hot[at] == known, hot_alpha[at], alpha)
-                touched, docs = _unpack(touched, np.uint32).astype(np.int64), _unpack(docs, np.uint32).astype(np.int64)
-                part = np.frombuffer(fixed, np.float64) + log_d @ _unpack(low, np.uint32).reshape(TOP + 1, -1)
-                if docs.size:
-                    weights = alpha[np.searchsorted(known, _unpack(histories, np.uint32).astype(np.int64))]
-                    part = part + np.bincount(docs, weights, minlength=int(touched.max()) + 1)[touched]
-                out.append((block, touched.astype(np.uint32).tobytes(), part.tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate((pa.int64(), pa.binary(), pa.binary()))], names=["block", "touched", "part"])
-
-    return unseen.mapInArrow(run, "block long, touched binary, part binary")
+    def run(rows: pa.Table) -> pa.Table:
+        own = rows.filter(pa.compute.equal(rows.column("block"), -1))
+        known = _unpack(own.column("histories")[0].as_py(), np.uint32).astype(np.int64)
+        figures = _unpack(own.column("sums")[0].as_py(), np.float64).reshape(-1, TOP + 3)
+        alpha = backoff(figures, figures[:, -1], d)
+        if known.size:
+            at = np.minimum(np.searchsorted(hot, known), hot.size - 1)
+            alpha = np.where(hot[at] == known, hot_alpha[at], alpha)
+        out = []
+        for block, touched, fixed, low, docs, histories in zip(*(rows.column(c).to_pylist() for c in ("block", "touched", "fixed", "low", "unseen_docs", "unseen_histories")), strict=True):
+            if block == -1:
+                continue
+            touched, docs = _unpack(touched, np.uint32).astype(np.int64), _unpack(docs, np.uint32).astype(np.int64)
+            part = np.frombuffer(fixed, np.float64) + log_d @ _unpack(low, np.uint32).reshape(TOP + 1, -1)
+            if docs.size:
+                weights = alpha[np.searchsorted(known, _unpack(histories, np.uint32).astype(np.int64))]
+                part = part + np.bincount(docs, weights, minlength=int(touched.max()) + 1)[touched]
+            out.append((block, touched.astype(np.uint32).tobytes(), part.tobytes()))
+        return pa.table([pa.array([x[k] for x in out], t) for k, t in enumerate((pa.int64(), pa.binary(), pa.binary()))], names=["block", "touched", "part"])
+
+    return sums.groupBy("bucket").applyInArrow(run, "block long, touched binary, part binary")
 
 
 def _documents(infos: DataFrame, parts: DataFrame, uni: Unigrams) -> DataFrame:
