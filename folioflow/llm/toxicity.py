@@ -2,7 +2,7 @@
 
 Features are the presence of words and of word beginnings of 3 to 8 bytes (A-Z lower-cased, split at
 ASCII marks), hashed to 2^22.  Confirmed toxic examples are the positives; a sample of the other text, toxic
-or not, is the unlabelled set.  Of texts with the same two feature minima (copies), each sample has one.
+or not, is the unlabelled set.  Of texts that share word minima (copies), each sample has one.
 Candidate features are those of several positives; kept are those most typical of positives after the
 class prior's share of positives is taken out of the unlabelled rates.
 A linear numpy classifier then minimises the non-negative risk
@@ -57,14 +57,20 @@ def features(part: T.Part, wanted: np.ndarray | None = None) -> tuple[np.ndarray
     return r, k
 
 
-def sketches(part: T.Part) -> np.ndarray:
-    """A hash of two minima of each row's hashed features, which copies share; of its bytes if it has none."""
-    rows, keys = features(part)
-    out = np.arange(part.rows).astype(np.uint64)
-    if rows.size:
+def sketches(part: T.Part, pairs: int = 3) -> np.ndarray:
+    """rows x pairs hashes, each of two minima of a row's hashed words of six bytes and more: copies share most of them, other texts hardly any.
+
+    Rows without such words get hashes of their own."""
+    data = T.LOWER[part.data]
+    words = T.find_words(data, part.offsets, T.ALNUM)
+    long_ones = np.flatnonzero(words.ends - words.starts >= 6)
+    out = T.mix64(np.arange(part.rows, dtype=np.uint64)[:, None] + np.arange(pairs, dtype=np.uint64) * np.uint64(1 << 40))
+    if long_ones.size:
+        rows, h = words.rows[long_ones], T.hash_words(data, words, T.ALNUM)[long_ones]
         first = np.flatnonzero(np.concatenate(([True], rows[1:] != rows[:-1])))
-        minima = [np.minimum.reduceat(T.mix64(keys.astype(np.uint64) + np.uint64(seed << 40)), first) for seed in (1, 2)]
-        out[rows[first]] = T.mix64(minima[0] ^ (minima[1] << np.uint64(1)))
+        minima = [np.minimum.reduceat(T.mix64(h + np.uint64((k + 1) << 33)), first) for k in range(2 * pairs)]
+        for k in range(pairs):
+            out[rows[first], k] = T.mix64(minima[2 * k] ^ (minima[2 * k + 1] << np.uint64(1)))
     return out.astype(np.int64)
 
 
@@ -104,7 +110,7 @@ def _feature_counts(docs: DataFrame, wanted: np.ndarray | None) -> DataFrame:
     return docs.select("text").mapInArrow(count, "key int, n int").groupBy("key").agg(F.sum("n").alias("n"))
 
 
-def fit_nnpu(pos: tuple[np.ndarray, np.ndarray, int], unl: tuple[np.ndarray, np.ndarray, int], width: int, prior: float, steps: int = 600, rate: float = 0.05, decay: float = 1e-6) -> tuple[np.ndarray, float]:
+def fit_nnpu(pos: tuple[np.ndarray, np.ndarray, int], unl: tuple[np.ndarray, np.ndarray, int], width: int, prior: float, steps: int = 600, rate: float = 0.05, decay: float = 1e-5) -> tuple[np.ndarray, float]:
     """Weights and bias of the linear classifier.  pos, unl: row and column of each present feature, and the number of rows."""
     w, b = np.zeros(width), np.log(prior / (1 - prior))
     m, v, mb, vb = np.zeros(width), np.zeros(width), 0.0, 0.0
@@ -149,16 +155,18 @@ def train(docs: DataFrame, labels: DataFrame, *, positives: int = 2500, unlabell
     def sketched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [sketches(part) for part in T.parts(batch.column(0))]
-            sketch = pa.array(np.concatenate(found) if found else np.zeros(0, dtype=np.int64))
-            yield pa.RecordBatch.from_arrays([*batch.columns, sketch], names=["text", "order", "positive", "unlabelled", "sketch"])
+            keys = np.concatenate(found) if found else np.zeros((0, 3), dtype=np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(keys[:, k]) for k in range(3))], names=["text", "order", "positive", "unlabelled", "k0", "k1", "k2"])
 
-    drawn = joined.where("positive or unlabelled").mapInArrow(sketched, "text string, order long, positive boolean, unlabelled boolean, sketch long")
-    sample = table(drawn.dropDuplicates(["sketch", "positive"]), "toxicity-sample")
+    drawn = joined.where("positive or unlabelled").mapInArrow(sketched, "text string, order long, positive boolean, unlabelled boolean, k0 long, k1 long, k2 long")
+    for key in ("k0", "k1", "k2"):
+        drawn = drawn.dropDuplicates([key, "positive"])
+    sample = table(drawn.select("text", "order", "positive", "unlabelled"), "toxicity-sample")
     sizes = sample.agg(F.sum(F.col("positive").cast("int")).alias("p"), F.sum(F.col("unlabelled").cast("int")).alias("u")).first()
     n_pos, n_unl = sizes["p"] or 0, sizes["u"] or 0
     if not n_pos or not n_unl:
         return nothing
-    least = max(5, n_pos // 300) if n_pos >= 50 else 1
+    least = max(5, n_pos // 100) if n_pos >= 50 else 1
     # a bitmap of fixed size marks the candidates; at most n_pos * features / least of them
     counts_p = {r["key"]: r["n"] for r in _feature_counts(sample.where("positive"), None).where(F.col("n") >= least).collect()}
     if not counts_p:
