@@ -37,6 +37,7 @@ BASE = {
 NOTICES = [
     ("mit", "released under the mit license", 3),
     ("mit", "licensed under the mit license", 3),
+    ("mit", "under the mit license", 2),
     ("apache-2", "apache license version 2", 2),
     ("cc-by-nc", "licensed under cc by nc", 2),
     ("cc-by-nd", "licensed under cc by nd", 2),
