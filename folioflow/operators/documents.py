@@ -67,15 +67,19 @@ def balance(df: DataFrame, text: str) -> DataFrame:
 
 
 def merge(df: DataFrame, doc: str, order: str, source: str, chunk: str) -> DataFrame:
-    """One tagged document of the tagged chunks of each doc: doc, tagged, level, n_spans.  Each document is one group."""
+    """One tagged document of the tagged chunks of each doc: doc, tagged, level, n_spans.
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(order)
-        tagged, spans, level = S.merge_chunks(rows[source].iloc[0], rows[chunk].tolist())
-        return pd.DataFrame({doc: [rows[doc].iloc[0]], "tagged": [tagged], "level": [level], "n_spans": [len(spans)]})
+    The chunks of a document come together in an aggregation; Python then sees batches of documents, not a call for each."""
+    parts = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(chunk).alias("c"))))
+    docs = df.groupBy(doc).agg(F.min_by(source, order).alias("source"), F.transform(parts, lambda p: p["c"]).alias("chunks"))
+    schema = StructType([docs.schema[doc], *StructType.fromDDL("tagged string, level string, n_spans int")])
 
-    kind = dict(df.dtypes)[doc]
-    return df.select(doc, order, source, chunk).groupBy(doc).applyInPandas(run, f"{doc} {kind}, tagged string, level string, n_spans int")
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            made = [S.merge_chunks(text or "", list(chunks)) for text, chunks in zip(batch["source"], batch["chunks"], strict=True)]
+            yield pd.DataFrame({doc: batch[doc], "tagged": [m[0] for m in made], "level": [m[2] for m in made], "n_spans": [len(m[1]) for m in made]})
+
+    return docs.mapInPandas(run, schema)
 
 
 def chunk_pages(df: DataFrame, doc: str, page: str, words: str, target: int, most: int, overlap: int = 1) -> DataFrame:

@@ -234,13 +234,12 @@ def gold_exclusion(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _contained(spark: SparkSession, d: str) -> DataFrame:
-    """Documents and the items that stand in them: they meet on four consecutive words of the item's middle, then the text decides."""
-    docs = read(spark, d, "documents").select("doc_id", "text", F.split("text", r"\s+").alias("w"))
-    gram = lambda w: F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - 3, F.lit(1))), lambda i: F.array_join(F.slice(w, i, F.lit(4)), " "))
-    grams = docs.select("doc_id", "text", F.explode(F.array_distinct(gram(F.col("w")))).alias("g"))
-    items = read(spark, d, "benchmark").select("item_id", F.col("text").alias("item"), F.split("text", r"\s+").alias("iw"))
-    keyed = items.where(F.size("iw") >= 6).select("item_id", "item", F.array_join(F.slice("iw", F.lit(2), F.lit(4)), " ").alias("g"))
-    return grams.join(keyed, "g").where(F.contains("text", "item")).select("doc_id", "item_id", "text", "item")
+    """Documents and the items that stand in them: they meet on the item's longest inner word, then the text decides."""
+    docs = read(spark, d, "documents").select("doc_id", "text", F.explode(F.array_distinct(F.split("text", r"\s+"))).alias("w"))
+    inner = F.expr("slice(split(text, '[ \n]'), 2, greatest(size(split(text, '[ \n]')) - 2, 0))")
+    word = F.array_max(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
+    items = read(spark, d, "benchmark").select("item_id", F.col("text").alias("item"), word.alias("w")).where("w is not null")
+    return docs.join(items, "w").where(F.contains("text", "item")).select("doc_id", "item_id", "text", "item")
 
 
 @query("select doc_id, item_id, instr(d.text, b.text) as place from documents d, benchmark b where contains(d.text, b.text)")
