@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_left
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 from difflib import SequenceMatcher
@@ -119,11 +120,21 @@ def rebalance(tagged: str, void: frozenset[str] = VOID) -> str:
 
 def resolve_overlaps(spans: list[Span]) -> tuple[list[Span], list[Span]]:
     """Best spans first by (confidence, quality, start, chunk); one that overlaps a chosen one is rejected."""
-    chosen: list[Span] = []
+    starts: list[int] = []
+    chosen: list[Span] = []  # apart from each other, by start
     rejected: list[Span] = []
     for s in sorted(spans, key=lambda s: (-s.confidence, -s.quality, s.start, s.chunk, s.end, s.label)):
-        clash = any(max(s.start, c.start) < min(s.end, c.end) for c in chosen)
-        (rejected if clash else chosen).append(s)
+        at = bisect_left(starts, s.end) if s.end > s.start else bisect_left(starts, s.start)
+        # spans of no length overlap nothing
+        i = at - 1
+        while i >= 0 and chosen[i].start == chosen[i].end:
+            i -= 1
+        if s.end > s.start and i >= 0 and chosen[i].end > s.start:
+            rejected.append(s)
+            continue
+        at = bisect_left(starts, s.start)
+        starts.insert(at, s.start)
+        chosen.insert(at, s)
     return sorted(chosen, key=order_key), rejected
 
 
@@ -260,17 +271,20 @@ def apply_patches(text: str, reply: str) -> tuple[str, list[str]]:
 def match_spans(gold: list[Span], predicted: list[Span], tolerance: int = 0) -> dict[str, tuple[int, int, int]]:
     """By label, (tp, fp, fn): predictions in order take the first free gold span within the tolerance at both ends."""
     counts: dict[str, list[int]] = {}
-    free = list(gold)
+    free: dict[tuple[str, int], list[int]] = {}
+    for i, g in enumerate(gold):
+        free.setdefault((g.label, g.start), []).append(i)
     for p in predicted:
         own = counts.setdefault(p.label, [0, 0, 0])
-        hit = next((g for g in free if g.label == p.label and abs(g.start - p.start) <= tolerance and abs(g.end - p.end) <= tolerance), None)
-        if hit is None:
-            own[1] += 1
-        else:
+        near = [(i, k) for k in range(p.start - tolerance, p.start + tolerance + 1) for i in free.get((p.label, k), ()) if abs(gold[i].end - p.end) <= tolerance]
+        if near:
+            i, k = min(near)
+            free[p.label, k].remove(i)
             own[0] += 1
-            free.remove(hit)
-    for g in free:
-        counts.setdefault(g.label, [0, 0, 0])[2] += 1
+        else:
+            own[1] += 1
+    for (label, _), left in free.items():
+        counts.setdefault(label, [0, 0, 0])[2] += len(left)
     return {k: (v[0], v[1], v[2]) for k, v in counts.items()}
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import itertools
 import random
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable
 
 from .spans import Span
@@ -45,15 +46,14 @@ def rewrite(text: str, spans: list[Span], pattern: str, change: Callable[[re.Mat
         at = m.end()
     out.append(text[at:])
 
+    ends = [b for _, b, _, _ in steps]
+
     def move(place: int, end: bool) -> int:
-        shift = 0
-        for a, b, c, d in steps:
-            if place < a or (place == a and not end) or (place == a and end):
-                break
-            if place < b:
-                return d if end else c
-            shift = d - b
-        return place + shift
+        i = bisect_right(ends, place) if not end else bisect_left(ends, place)
+        # steps before i end at or before the place
+        if i < len(steps) and steps[i][0] < place:
+            return steps[i][3] if end else steps[i][2]
+        return place + (steps[i - 1][3] - steps[i - 1][1] if i else 0)
 
     moved = [Span(move(s.start, False), move(s.end, True), s.label) for s in spans]
     return "".join(out), [s for s in moved if s.end > s.start]
@@ -208,10 +208,19 @@ def project_figures(text: str, expected: list[str]) -> str:
 
 def repeated_prefix(known: str, chunk: str, least: int = 15) -> int:
     """How many characters at a chunk's begin repeat the end of the known text; 0 below least (SEQ-14)."""
-    for n in range(min(len(known), len(chunk)), least - 1, -1):
-        if known.endswith(chunk[:n]):
-            return n
-    return 0
+    # prefix function of the chunk, then the known text's end run through it
+    chunk_fail, k = [0] * len(chunk), 0
+    for i in range(1, len(chunk)):
+        while k and chunk[i] != chunk[k]:
+            k = chunk_fail[k - 1]
+        k += chunk[i] == chunk[k]
+        chunk_fail[i] = k
+    k = 0
+    for c in known[-len(chunk) :] if chunk else "":
+        while k and (k == len(chunk) or c != chunk[k]):
+            k = chunk_fail[k - 1]
+        k += c == chunk[k]
+    return k if k >= least else 0
 
 
 def group_questions(spans: list[Span], text: str) -> list[dict]:

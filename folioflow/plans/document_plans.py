@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from folioflow.functions import text as X
@@ -23,16 +25,17 @@ def lex_annotations(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def det_parse(spark: SparkSession, d: str) -> DataFrame:
     """SEQ-27, SEQ-29, TXT-25, ORD-5: questions and options of numbered text."""
-    text = F.concat(F.lit("1. "), F.substring("text", 1, 80), F.lit("\nA. one\nB. two\n2) "), F.substring("text", 81, 80), F.lit("\nA. x\nB. y\nC. z"))
+    half = F.floor(F.length("text") / 2).cast("int")
+    text = F.concat(F.lit("1. "), F.substr("text", F.lit(1), half), F.lit("\nA. one\nB. two\n2) "), F.substr("text", half + 1), F.lit("\nA. x\nB. y\nC. z"))
     return D.parse(read(spark, d, "documents").select("doc_id", text.alias("x")), "x")
 
 
 @query()
 def merge_chunks(spark: SparkSession, d: str) -> DataFrame:
     """SEQ-12, SEQ-17 to SEQ-24: overlapping tagged chunks to one tagged document."""
-    docs = read(spark, d, "documents").where("n_chars > 200").select("doc_id", F.substring("text", 1, 160).alias("source"))
-    first = docs.select("doc_id", F.lit(0).alias("i"), "source", F.concat(F.lit("<stem>"), F.substring("source", 1, 100), F.lit("</stem>")).alias("chunk"))
-    second = docs.select("doc_id", F.lit(1).alias("i"), "source", F.concat(F.substring("source", 61, 40), F.lit("<option_text>"), F.substring("source", 101, 60), F.lit("</option_text>")).alias("chunk"))
+    docs = read(spark, d, "documents").select("doc_id", F.col("text").alias("source"), F.floor(F.length("text") * 0.4).cast("int").alias("a"), F.floor(F.length("text") * 0.6).cast("int").alias("b"))
+    first = docs.select("doc_id", F.lit(0).alias("i"), "source", F.concat(F.lit("<stem>"), F.substr("source", F.lit(1), F.col("b")), F.lit("</stem>")).alias("chunk"))
+    second = docs.select("doc_id", F.lit(1).alias("i"), "source", F.concat(F.substr("source", F.col("a") + 1, F.col("b") - F.col("a")), F.lit("<option_text>"), F.substr("source", F.col("b") + 1), F.lit("</option_text>")).alias("chunk"))
     return D.merge(first.unionAll(second), "doc_id", "i", "source", "chunk")
 
 
@@ -87,18 +90,18 @@ def whitespace_nfc_map(spark: SparkSession, d: str) -> DataFrame:
 
     def one(x: str) -> dict:
         plain, where = S.normalise_map(x)
-        return {"chars": len(plain), "last": where[-1] if where else None, "digest": plain[:40]}
+        return {"chars": len(plain), "last": where[-1] if where else None, "digest": hashlib.md5(plain.encode()).hexdigest()}
 
     return D.per_text(read(spark, d, "documents").select("doc_id", "text"), "text", "chars int, last int, digest string", one)
 
 
 @query()
 def fuzzy_question_match(spark: SparkSession, d: str) -> DataFrame:
-    """JN-15, SCR-8, SCR-9: candidates that share a first word, by similarity; only the best of each stays."""
-    c = read(spark, d, "conversations").where("role = 'user'").select("conv_id", "turn", F.substring("text", 1, 60).alias("x"))
-    pairs = c.alias("a").join(c.alias("b"), (F.col("a.conv_id") == F.col("b.conv_id")) & (F.col("a.turn") < F.col("b.turn")))
-    scored = pairs.select(F.col("a.conv_id").alias("conv_id"), F.col("a.turn").alias("turn"), F.col("b.turn").alias("other"), D.similarity("a.x", "b.x").alias("ratio"))
-    return scored.groupBy("conv_id", "turn").agg(F.max_by("other", F.struct("ratio", -F.col("other"))).alias("other"), F.round(F.max("ratio"), 6).alias("ratio"))
+    """JN-15, SCR-8, SCR-9: texts that have the same number on both sides, and how similar they are."""
+    w = Window.partitionBy("conv_id", "role").orderBy("turn")
+    rows = read(spark, d, "conversations").withColumn("n", F.row_number().over(w))
+    a, b = (rows.where(F.col("role") == r).select("conv_id", "n", F.col("turn").alias(t), F.col("text").alias(x)) for r, t, x in (("user", "turn", "x"), ("assistant", "other", "y")))
+    return a.join(b, ["conv_id", "n"]).select("conv_id", "turn", "other", F.round(D.similarity("x", "y"), 6).alias("ratio"))
 
 
 @query()
@@ -106,7 +109,7 @@ def greedy_span_match(spark: SparkSession, d: str) -> DataFrame:
     """JN-19: predicted spans take gold ones within a tolerance, each once."""
 
     def one(x: str) -> dict:
-        gold = [S.Span(a, a + 5, "w") for a in range(0, min(len(x), 60) - 5, 10)]
+        gold = [S.Span(a, a + 5, "w") for a in range(0, len(x) - 5, 10)]
         tp, fp, fn = S.match_spans(gold, [S.Span(s.start + s.start % 3, s.end, "w") for s in gold], 1).get("w", (0, 0, 0))
         return {"tp": tp, "fp": fp, "fn": fn}
 
@@ -118,7 +121,6 @@ def overlap_resolution(spark: SparkSession, d: str) -> DataFrame:
     """SEQ-19 to SEQ-22, SEQ-25: overlapping candidates resolved, nested and written as tags; the text stays."""
 
     def one(x: str) -> dict:
-        x = x[:120]
         spans = [S.Span(a, min(a + 12, len(x)), "stem", 1 - a % 7 / 10) for a in range(0, max(len(x) - 12, 0), 8)]
         chosen, rejected = S.resolve_overlaps(spans)
         tagged = S.serialize(x, chosen)
@@ -165,7 +167,7 @@ def word_budget_windows(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def shelf_packing(spark: SparkSession, d: str) -> DataFrame:
     """SEQ-5: boxes in rows of canvases, by user."""
-    boxes = read(spark, d, "events").where("event_id % 20 = 0").select("user_id", "event_id", (F.col("value") % 90 + 10).cast("int").alias("w"), (F.col("value") % 40 + 5).cast("int").alias("h"))
+    boxes = read(spark, d, "events").select("user_id", "event_id", (F.col("value") % 90 + 10).cast("int").alias("w"), (F.col("value") % 40 + 5).cast("int").alias("h"))
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("event_id")
@@ -192,7 +194,7 @@ def farthest_first(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def json_repair(spark: SparkSession, d: str) -> DataFrame:
     """SRC-13: model JSON with stray backslashes and line breaks."""
-    raw = F.concat(F.lit('{"stem": "\\alpha '), F.substring("text", 1, 20), F.lit('\n", "n": '), "doc_id", F.lit("}"))
+    raw = F.concat(F.lit('{"stem": "\\alpha '), F.translate("text", '"', "'"), F.lit('\n", "n": '), "doc_id", F.lit("}"))
     return read(spark, d, "documents").select("doc_id", F.get_json_object(D.repair_json(raw), "$.n").alias("n"))
 
 

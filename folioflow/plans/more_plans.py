@@ -36,18 +36,18 @@ def target_discovery(spark: SparkSession, d: str) -> DataFrame:
     return exact.join(fuzzy, "source", "left").select("source", "n", F.coalesce("name", "fuzzy").alias("input"))
 
 
-@query("select doc_id, source from (select doc_id, source, case when doc_id % 17 = 0 then 'DISCARD' when doc_id % 5 = 0 then 'NEEDS_REVISION' else 'PASS' end as decision from documents) where decision = 'DISCARD' and doc_id in (select doc_id from labels)")
+@query("select doc_id, source from (select doc_id, source, case when n_chars < 500 then 'DISCARD' when n_chars < 1000 then 'NEEDS_REVISION' else 'PASS' end as decision from documents) where decision = 'DISCARD' and doc_id in (select doc_id from labels)")
 def defective_chunks(spark: SparkSession, d: str) -> DataFrame:
     """SRC-20: discarded chunks whose record exists."""
-    decision = F.when(F.col("doc_id") % 17 == 0, "DISCARD").when(F.col("doc_id") % 5 == 0, "NEEDS_REVISION").otherwise("PASS")
+    decision = F.when(F.col("n_chars") < 500, "DISCARD").when(F.col("n_chars") < 1000, "NEEDS_REVISION").otherwise("PASS")
     return read(spark, d, "documents").where(decision == "DISCARD").join(read(spark, d, "labels").select("doc_id"), "doc_id", "left_semi").select("doc_id", "source")
 
 
-@query(r"""select doc_id, case when t <> '' and (starts_with('<stem', t) or starts_with('<section', t) or starts_with('</stem', t)) then substring(x, 1, length(x) - length(t)) else x end as trimmed from (select doc_id, x, regexp_extract(x, '</?[A-Za-z_]*\z') t from (select doc_id, substring(text, 1, 30) || case doc_id % 4 when 0 then '<ste' when 1 then '</st' when 2 then '<i' else '' end x from documents))""")
+@query(r"""select doc_id, case when t <> '' and (starts_with('<stem', t) or starts_with('<section', t) or starts_with('</stem', t)) then substring(x, 1, length(x) - length(t)) else x end as trimmed from (select doc_id, x, regexp_extract(x, '</?[A-Za-z_]*\z') t from (select doc_id, text || case doc_id % 4 when 0 then '<ste' when 1 then '</st' when 2 then '<i' else '' end x from documents))""")
 def trim_unclosed_tag(spark: SparkSession, d: str) -> DataFrame:
     """TXT-9: a trailing tag that was cut off goes if it begins like one of the schema."""
     k = F.col("doc_id") % 4
-    rows = read(spark, d, "documents").select("doc_id", F.concat(F.substring("text", 1, 30), F.when(k == 0, "<ste").when(k == 1, "</st").when(k == 2, "<i").otherwise("")).alias("x"))
+    rows = read(spark, d, "documents").select("doc_id", F.concat("text", F.when(k == 0, "<ste").when(k == 1, "</st").when(k == 2, "<i").otherwise("")).alias("x"))
     t = F.regexp_extract("x", r"</?[A-Za-z_]*\z", 0)
     known = F.lit(False)
     for tag in ("<stem", "<section", "</stem"):
@@ -94,12 +94,12 @@ def zero_length_spans(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "documents").select("doc_id", F.size(F.filter(spans, lambda s: (s["b"] > s["a"]) & (F.trim(F.substr("text", s["a"] + 1, s["b"] - s["a"])) != ""))).cast("long").alias("kept"))
 
 
-@query(r"""select conv_id, not bool_or(regexp_matches(x, '<stem>\s*</stem>')) as valid, cast(sum(len(regexp_extract_all(x, '</question_label>\s*<option_label>'))) as bigint) as adjacent from (select conv_id, case turn % 3 when 0 then '<stem> </stem>' when 1 then '<question_label>1</question_label><option_label>A</option_label>' else '<stem>x</stem>' end x from conversations where conv_id % 3 = 0 or turn % 3 > 0) group by conv_id""")
+@query(r"""select conv_id, not bool_or(regexp_matches(x, '<stem>\s*</stem>')) as valid, cast(sum(len(regexp_extract_all(x, '</question_label>\s*<option_label>'))) as bigint) as adjacent from (select conv_id, case turn % 3 when 0 then '<stem> </stem>' when 1 then '<question_label>1</question_label><option_label>A</option_label>' else '<stem>x</stem>' end x from conversations) group by conv_id""")
 def cloze_validity(spark: SparkSession, d: str) -> DataFrame:
     """FLT-10: no empty stems; how often options follow a label at once."""
     k = F.col("turn") % 3
     x = F.when(k == 0, "<stem> </stem>").when(k == 1, "<question_label>1</question_label><option_label>A</option_label>").otherwise("<stem>x</stem>")
-    rows = read(spark, d, "conversations").where("conv_id % 3 = 0 or turn % 3 > 0").select("conv_id", x.alias("x"))
+    rows = read(spark, d, "conversations").select("conv_id", x.alias("x"))
     return rows.groupBy("conv_id").agg((~F.bool_or(F.col("x").rlike(r"<stem>\s*</stem>"))).alias("valid"), F.sum(F.regexp_count("x", F.lit(r"</question_label>\s*<option_label>"))).cast("long").alias("adjacent"))
 
 
@@ -110,11 +110,11 @@ def priority_order(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(r"""select doc_id, case when regexp_matches(x, '(?m)^(?:<{5,9}|={5,9}|>{5,9})') then 0 else 100 end as conflict_score, len(list_filter(regexp_extract_all(x, '(?s)<stimulus>(.*?)</stimulus>', 1), lambda s: regexp_matches(s, '</?(?:stem|option_text|question_label)'))) as nested
-from (select doc_id, case doc_id % 3 when 0 then '<stimulus>a<stem>b</stem></stimulus>' when 1 then '<stimulus>' || substring(text, 1, 20) || '</stimulus>' else '=======' || chr(10) || 'x' end x from documents)""")
+from (select doc_id, case doc_id % 3 when 0 then '<stimulus>a<stem>b</stem></stimulus>' when 1 then '<stimulus>' || text || '</stimulus>' else '=======' || chr(10) || 'x' end x from documents)""")
 def conflict_and_nesting(spark: SparkSession, d: str) -> DataFrame:
     """SCR-3, SCR-5: conflict markers, and tags within stimuli."""
     k = F.col("doc_id") % 3
-    x = F.when(k == 0, "<stimulus>a<stem>b</stem></stimulus>").when(k == 1, F.concat(F.lit("<stimulus>"), F.substring("text", 1, 20), F.lit("</stimulus>"))).otherwise("=======\nx")
+    x = F.when(k == 0, "<stimulus>a<stem>b</stem></stimulus>").when(k == 1, F.concat(F.lit("<stimulus>"), "text", F.lit("</stimulus>"))).otherwise("=======\nx")
     inner = F.regexp_extract_all("x", F.lit("(?s)<stimulus>(.*?)</stimulus>"), F.lit(1))
     rows = read(spark, d, "documents").select("doc_id", x.alias("x"))
     return rows.select("doc_id", F.when(X.has_conflict_markers("x"), 0).otherwise(100).alias("conflict_score"), F.size(F.filter(inner, lambda s: s.rlike("</?(?:stem|option_text|question_label)"))).cast("long").alias("nested"))
@@ -137,12 +137,12 @@ def cartography_scan(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("page_id", (F.col("i") + 1).cast("long").alias("place"), F.when(F.col("t").startswith("h"), "section").otherwise("question").alias("kind"))
 
 
-@query("""with s as (select user_id, event_id, greatest(1, least(20, dayofmonth(ts))) a, greatest(1, least(20, dayofmonth(ts) + event_id % 4)) b, event_type from events where event_id % 5 = 0) select user_id, count(*) as objects, min(a) as first_page, max(b) as last_page, list_sort(list(event_id) filter (event_type = 'click' and b - a <= 2)) as stimuli from s group by user_id""")
+@query("""with s as (select user_id, event_id, greatest(1, least(20, dayofmonth(ts))) a, greatest(1, least(20, dayofmonth(ts) + event_id % 4)) b, event_type from events) select user_id, count(*) as objects, min(a) as first_page, max(b) as last_page, list_sort(list(event_id) filter (event_type = 'click' and b - a <= 2)) as stimuli from s group by user_id""")
 def manifest_build(spark: SparkSession, d: str) -> DataFrame:
     """SEQ-33: objects with their page spans kept within the document."""
     day = F.dayofmonth("ts")
     keep = lambda c: F.greatest(F.lit(1), F.least(F.lit(20), c)).cast("long")
-    rows = read(spark, d, "events").where("event_id % 5 = 0").select("user_id", "event_id", "event_type", keep(day).alias("a"), keep(day + F.col("event_id") % 4).alias("b"))
+    rows = read(spark, d, "events").select("user_id", "event_id", "event_type", keep(day).alias("a"), keep(day + F.col("event_id") % 4).alias("b"))
     found = F.array_sort(F.collect_list(F.when((F.col("event_type") == "click") & (F.col("b") - F.col("a") <= 2), F.col("event_id"))))
     return rows.groupBy("user_id").agg(F.count(F.lit(1)).alias("objects"), F.min("a").alias("first_page"), F.max("b").alias("last_page"), F.when(F.size(found) > 0, found).alias("stimuli"))
 
@@ -152,8 +152,7 @@ def augment_jitter(spark: SparkSession, d: str) -> DataFrame:
     """GEN-2, GEN-4, GEN-5: jitter and noise with moved spans; span texts are the same but for what was changed."""
 
     def one(x: str) -> dict:
-        x = x[:200]
-        spans = [S.Span(m.start(), m.end(), "word") for m in re.finditer(r"\S+", x)][:20]
+        spans = [S.Span(m.start(), m.end(), "word") for m in re.finditer(r"\S+", x)]
         y, moved = G.jitter(x, spans, G.stable_seed(x))
         z, _ = G.noise(x, spans, G.stable_seed(x))
         return {"grown": len(y) - len(x), "faithful": [y[s.start : s.end] for s in moved] == [x[s.start : s.end] for s in spans], "noisy": sum(a != b for a, b in zip(x, z))}
@@ -166,11 +165,11 @@ def synthetic_questions(spark: SparkSession, d: str) -> DataFrame:
     """GEN-6 to GEN-11, GEN-17, GEN-18, GEN-20, SEQ-28: exams of questions with spans, read back as questions."""
 
     def one(x: str) -> dict:
-        words, seed = (x.split() + ["x"] * 12)[:12], G.stable_seed(x[:50])
-        pieces = [G.question(i + 1, " ".join(words[i : i + 3]), [f"{w}{k}" for k, w in enumerate(words[i : i + 4])], 0, seed + i) for i in range(3)]
+        words, seed = x.split() + ["a", "b", "c", "d"], G.stable_seed(x)
+        pieces = [G.question(i // 40 + 1, " ".join(words[i : i + 36]), [f"{w}{k}" for k, w in enumerate(words[-4:])], 0, seed + i) for i in range(0, len(words), 40)]
         text, spans = G.exam([(t, s) for t, s, _ in pieces])
         back = G.group_questions(spans, text)
-        orders, right = G.ordering_choices(words[:4], seed)
+        orders, right = G.ordering_choices(["a", "b", "c", "d"], seed)
         key = "".join(chr(65 + a) for _, _, a in pieces)
         return {"questions": len(back), "options": sum(len(q["options"]) for q in back), "key": key, "right": right, "grid": G.answer_grid(key), "tasks": len(G.blueprint("maths", 5, seed)), "font": G.style(seed)["font"], "head": G.header("school", "maths", 45, str(seed % 1000)).split("\n")[1], "orders": len(orders)}
 
@@ -182,8 +181,8 @@ def dynamic_windows(spark: SparkSession, d: str) -> DataFrame:
     """SEQ-8, SEQ-14: windows of drawn sizes, and what a chunk repeats of the text before it."""
 
     def one(x: str) -> dict:
-        found = G.random_windows(len(x.split()), (64, 128, 256), 0.75, G.stable_seed(x[:20]))
-        return {"n": len(found), "end": found[-1][1] if found else 0, "repeated": G.repeated_prefix(x[:100], x[60:160])}
+        found = G.random_windows(len(x.split()), (64, 128, 256), 0.75, G.stable_seed(x))
+        return {"n": len(found), "end": found[-1][1] if found else 0, "repeated": G.repeated_prefix(x[: len(x) * 6 // 10], x[len(x) * 4 // 10 :])}
 
     return D.per_text(read(spark, d, "documents").select("doc_id", "text"), "text", "n int, end int, repeated int", one)
 
@@ -193,7 +192,7 @@ def reference_expansion(spark: SparkSession, d: str) -> DataFrame:
     """TXT-27, TXT-36, TXT-37, TXT-39: references to chunks, figures and headings."""
 
     def one(x: str) -> dict:
-        text, n = G.expand_references(f"[CHUNK_1] {x[:20]} {{{{C_2}}}} [CHUNK_9]", {"1": "one", "2": "two"})
+        text, n = G.expand_references(f"[CHUNK_1] {x} {{{{C_2}}}} [CHUNK_9]", {"1": "one", "2": "two"})
         figures = G.project_figures('<figure id="a"/><figure id="a"/><figure id="z"/>', ["a", "b"])
         return {"expanded": n, "unknown": "[CHUNK_9]" in text, "figures": figures.count("<figure"), "start": G.absorb_heading("## 1. x", S.Span(3, 5, "question_label")).start}
 

@@ -121,10 +121,10 @@ def active_fill_with_reset(spark: SparkSession, d: str) -> DataFrame:
     return _turns(spark, d).select("conv_id", "turn", active.alias("active"))
 
 
-@query("select conv_id, t as missing from (select conv_id, unnest(range(min(turn), max(turn) + 1)) t from conversations where turn % 4 <> 2 group by conv_id) x where not exists (select 1 from conversations c where c.turn % 4 <> 2 and c.conv_id = x.conv_id and c.turn = x.t)")
+@query("select conv_id, t as missing from (select conv_id, unnest(range(min(turn), max(turn) + 1)) t from conversations where role = 'user' group by conv_id) x where not exists (select 1 from conversations c where c.role = 'user' and c.conv_id = x.conv_id and c.turn = x.t)")
 def missing_turns(spark: SparkSession, d: str) -> DataFrame:
     """AGG-27, SET-2, SEQ-30: numbers of the range that were not seen."""
-    seen = _turns(spark, d).where("turn % 4 <> 2").groupBy("conv_id").agg(F.min("turn").alias("a"), F.max("turn").alias("b"), F.collect_set("turn").alias("s"))
+    seen = _turns(spark, d).where("role = 'user'").groupBy("conv_id").agg(F.min("turn").alias("a"), F.max("turn").alias("b"), F.collect_set("turn").alias("s"))
     return seen.select("conv_id", F.explode(F.array_except(F.sequence("a", "b"), "s")).alias("missing"))
 
 
@@ -181,28 +181,28 @@ def bio_segments(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy("conv_id", (F.col("seg") - 1).alias("segment"), "label").agg(F.min("turn").alias("first"), F.max("turn").alias("last"))
 
 
-@query(r"""with t as (select doc_id, i, n, i * 7 as s, i * 7 + 5 as e from (select doc_id, least(n_chars // 7, 60) n, unnest(range(0, least(n_chars // 7, 60))) i from documents)), p as (select doc_id, j, j * 50 as a, j * 50 + 30 as b from (select doc_id, unnest(range(0, 8)) j from documents)),
+@query(r"""with t as (select doc_id, i, n, i * 7 as s, i * 7 + 5 as e from (select doc_id, n_chars // 7 n, unnest(range(0, n_chars // 7)) i from documents)), p as (select doc_id, j, j * 50 as a, j * 50 + 30 as b from (select doc_id, unnest(range(0, n_chars // 50 + 1)) j from documents)),
 o as (select t.doc_id, t.i, max(p.j) j from t join p on p.doc_id = t.doc_id and greatest(s, a) < least(e, b) group by 1, 2) select doc_id, i, case when lag(j) over (partition by doc_id order by i) = j and lag(i) over (partition by doc_id order by i) = i - 1 then 'I' else 'B' end as tag, j from o""")
 def bio_alignment(spark: SparkSession, d: str) -> DataFrame:
     """JN-5, JN-6, WIN-10: tokens get the span of the highest priority that they overlap."""
-    docs = read(spark, d, "documents").select("doc_id", F.least(F.floor(F.col("n_chars") / 7), F.lit(60)).alias("n"))
+    docs = read(spark, d, "documents").select("doc_id", F.floor(F.col("n_chars") / 7).alias("n"), F.floor(F.col("n_chars") / 50).alias("m"))
     t = docs.where("n > 0").select("doc_id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("i")).withColumn("s", F.col("i") * 7).withColumn("e", F.col("s") + 5)
-    p = docs.select("doc_id", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(7).cast("long"))).alias("j")).withColumn("a", F.col("j") * 50).withColumn("b", F.col("a") + 30)
+    p = docs.select("doc_id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("m"))).alias("j")).withColumn("a", F.col("j") * 50).withColumn("b", F.col("a") + 30)
     o = R.interval_join(t, p, "doc_id", "s", "e", "a", "b", 512).groupBy("doc_id", "i").agg(F.max("j").alias("j"))
     w = Window.partitionBy("doc_id").orderBy("i")
     return o.select("doc_id", "i", F.when((F.lag("j").over(w) == F.col("j")) & (F.lag("i").over(w) == F.col("i") - 1), "I").otherwise("B").alias("tag"), "j")
 
 
-@query(r"""with t as (select doc_id, unnest(range(0, 40)) i from documents), p as (select doc_id, unnest(range(0, 8)) j from documents) select t.doc_id, i, min(j) as j from t join p on p.doc_id = t.doc_id and i * 7 + 1 >= j * 40 and i * 7 + 1 < j * 40 + 55 group by 1, 2""")
+@query(r"""with t as (select doc_id, unnest(range(0, n_chars // 7 + 1)) i from documents), p as (select doc_id, unnest(range(0, n_chars // 40 + 1)) j from documents) select t.doc_id, i, min(j) as j from t join p on p.doc_id = t.doc_id and i * 7 + 1 >= j * 40 and i * 7 + 1 < j * 40 + 55 group by 1, 2""")
 def anchor_alignment(spark: SparkSession, d: str) -> DataFrame:
     """JN-7: tokens get the first span that holds their first character."""
-    docs = read(spark, d, "documents").select("doc_id")
-    t = docs.select("doc_id", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(39).cast("long"))).alias("i")).withColumn("s", F.col("i") * 7 + 1).withColumn("e", F.col("s") + 1)
-    p = docs.select("doc_id", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(7).cast("long"))).alias("j")).withColumn("a", F.col("j") * 40).withColumn("b", F.col("a") + 55)
+    docs = read(spark, d, "documents").select("doc_id", F.floor(F.col("n_chars") / 7).alias("n"), F.floor(F.col("n_chars") / 40).alias("m"))
+    t = docs.select("doc_id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n"))).alias("i")).withColumn("s", F.col("i") * 7 + 1).withColumn("e", F.col("s") + 1)
+    p = docs.select("doc_id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("m"))).alias("j")).withColumn("a", F.col("j") * 40).withColumn("b", F.col("a") + 55)
     return R.interval_join(t, p, "doc_id", "s", "e", "a", "b", 512).groupBy("doc_id", "i").agg(F.min("j").alias("j"))
 
 
-SEAM = "(select user_id, event_id, dayofmonth(ts) a, dayofmonth(ts) + event_id % 4 b from events where event_id % 7 = 0)"
+SEAM = "(select user_id, event_id, dayofmonth(ts) a, dayofmonth(ts) + event_id % 4 b from events)"
 
 
 @query(f"select u.user_id, u.p as seam from (select distinct user_id, unnest(range(1, 31)) p from {SEAM}) u where not exists (select 1 from {SEAM} s where s.user_id = u.user_id and s.a <= u.p and u.p < s.b)")
@@ -216,7 +216,7 @@ def seam_clean(spark: SparkSession, d: str) -> DataFrame:
 
 def _intervals(spark: SparkSession, d: str) -> DataFrame:
     day = F.dayofmonth("ts")
-    return read(spark, d, "events").where("event_id % 7 = 0").select("user_id", "event_id", day.cast("long").alias("a"), (day + F.col("event_id") % 4).alias("b"))
+    return read(spark, d, "events").select("user_id", "event_id", day.cast("long").alias("a"), (day + F.col("event_id") % 4).alias("b"))
 
 
 @query(f"select c.user_id, c.p as cut, list_sort(list(s.event_id)) as severed from (select distinct user_id, unnest([8, 16, 24] :: bigint[]) p from {SEAM}) c join {SEAM} s on s.user_id = c.user_id and s.a <= c.p and c.p < s.b group by 1, 2")
@@ -333,10 +333,10 @@ def span_coalesce(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "events").groupBy("user_id", "event_type").agg(F.max_by("event_id", F.struct(v.alias("v"), (-F.col("event_id")).alias("e"))).alias("best"), F.round(F.least(F.lit(1.0), F.max(v) / 200 + 0.05 * (n - 1)), 6).alias("confidence"))
 
 
-@query("with f as (select conv_id, role, min(turn) i, count(*) n from conversations where turn % 6 <> 5 group by 1, 2) select conv_id, string_agg(role || ':' || n, ',' order by i) as sections from f group by conv_id")
+@query("with f as (select conv_id, role, min(turn) i, count(*) n from conversations group by 1, 2) select conv_id, string_agg(role || ':' || n, ',' order by i) as sections from f group by conv_id")
 def ordered_regroup(spark: SparkSession, d: str) -> DataFrame:
     """AGG-33: groups in the order in which they first occur."""
-    g = _turns(spark, d).where("turn % 6 <> 5").groupBy("conv_id", "role").agg(F.min("turn").alias("i"), F.count(F.lit(1)).alias("n"))
+    g = _turns(spark, d).groupBy("conv_id", "role").agg(F.min("turn").alias("i"), F.count(F.lit(1)).alias("n"))
     rows = F.array_sort(F.collect_list(F.struct("i", F.concat_ws(":", "role", "n").alias("x"))))
     return g.groupBy("conv_id").agg(F.array_join(F.transform(rows, lambda r: r["x"]), ",").alias("sections"))
 
@@ -349,16 +349,16 @@ def answer_key_map(spark: SparkSession, d: str) -> DataFrame:
     return last.groupBy("doc_id").agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws("=", "k", "v"))), ",").alias("keys"))
 
 
-BASE = "(select user_id, count(*) n, 'old' s from events where event_id % 3 <> 0 group by user_id)"
-CHANGE = "(select user_id, count(*) n, 'new' s from events where user_id % 4 = 0 or event_id < 50 group by user_id)"
+BASE = "(select user_id, count(*) n, 'old' s from events where event_type <> 'click' group by user_id)"
+CHANGE = "(select user_id, count(*) n, 'new' s from events where event_type = 'click' or value > 100 group by user_id)"
 
 
 @query(f"select coalesce(b.user_id, c.user_id) as user_id, case when c.user_id is not null then c.n else b.n end as n, case when c.user_id is not null then c.s else b.s end as s from {BASE} b full join {CHANGE} c on b.user_id = c.user_id")
 def ledger_upsert(spark: SparkSession, d: str) -> DataFrame:
     """SNK-5, SNK-6: changes replace or add rows."""
     e = read(spark, d, "events")
-    base = e.where("event_id % 3 <> 0").groupBy("user_id").agg(F.count(F.lit(1)).alias("n")).withColumn("s", F.lit("old"))
-    change = e.where("user_id % 4 = 0 or event_id < 50").groupBy("user_id").agg(F.count(F.lit(1)).alias("n")).withColumn("s", F.lit("new"))
+    base = e.where("event_type <> 'click'").groupBy("user_id").agg(F.count(F.lit(1)).alias("n")).withColumn("s", F.lit("old"))
+    change = e.where("event_type = 'click' or value > 100").groupBy("user_id").agg(F.count(F.lit(1)).alias("n")).withColumn("s", F.lit("new"))
     return R.upsert(base, change, "user_id", ["n", "s"])
 
 
@@ -366,8 +366,8 @@ def ledger_upsert(spark: SparkSession, d: str) -> DataFrame:
 def branch_merge(spark: SparkSession, d: str) -> DataFrame:
     """JN-3, JN-26: only known rows change, and only if the branch passes its gate; with the difference."""
     e = read(spark, d, "events")
-    base = e.where("event_id % 3 <> 0").groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
-    change = e.where("user_id % 4 = 0 or event_id < 50").groupBy("user_id").agg(F.count(F.lit(1)).alias("m"))
+    base = e.where("event_type <> 'click'").groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    change = e.where("event_type = 'click' or value > 100").groupBy("user_id").agg(F.count(F.lit(1)).alias("m"))
     n, m = F.col("n"), F.col("m")
     return base.join(change, "user_id", "left").select("user_id", F.when(m > n, m).otherwise(n).alias("n"), F.when(m.isNull(), "kept").when(m > n, "merged").otherwise("rejected").alias("status"), (F.coalesce(m, n) - n).alias("delta"))
 
@@ -382,11 +382,11 @@ def issue_multiset_match(spark: SparkSession, d: str) -> DataFrame:
     return R.multiset_cascade(e.where("event_id % 2 = 0"), e.where("event_id % 2 = 1"), [["user_id", "event_type", "props"], ["user_id", "event_type"]], "event_id")
 
 
-@query("""with p as (select user_id, event_type, arg_max(event_id, {'t': ts, 'e': event_id}) v from events where event_type in ('click', 'view') group by 1, 2) select b.user_id, coalesce(e.v, 0) as edge, a.v as answer from (select distinct user_id from events where user_id % 2 = 0) b left join p e on e.user_id = b.user_id and e.event_type = 'click' left join p a on a.user_id = b.user_id and a.event_type = 'view'""")
+@query("""with p as (select user_id, event_type, arg_max(event_id, {'t': ts, 'e': event_id}) v from events where event_type in ('click', 'view') group by 1, 2) select b.user_id, coalesce(e.v, 0) as edge, a.v as answer from (select distinct user_id from events where event_type = 'purchase') b left join p e on e.user_id = b.user_id and e.event_type = 'click' left join p a on a.user_id = b.user_id and a.event_type = 'view'""")
 def graph_patch_latest(spark: SparkSession, d: str) -> DataFrame:
     """JN-23: the last patch of each kind applies; patches of unknown nodes do nothing."""
     e = read(spark, d, "events")
-    nodes = e.where("user_id % 2 = 0").select("user_id").distinct()
+    nodes = e.where("event_type = 'purchase'").select("user_id").distinct()
     patch = e.where(F.col("event_type").isin("click", "view")).groupBy("user_id").agg(*[F.max_by(F.when(F.col("event_type") == t, F.col("event_id")), F.when(F.col("event_type") == t, F.struct("ts", "event_id"))).alias(n) for t, n in (("click", "edge"), ("view", "answer"))])
     return nodes.join(patch, "user_id", "left").select("user_id", F.coalesce("edge", F.lit(0)).alias("edge"), "answer")
 
@@ -398,19 +398,19 @@ def confirmation_normalise(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "events").select("event_id", F.when(a.isin("yes", "true", "y"), True).when(a.isin("no", "false"), False).alias("confirmed"))
 
 
-@query("""select event_id from events e where (event_type = 'click' and event_id % 5 = 0) or exists (select 1 from events c where c.user_id = e.user_id and c.event_type = 'view' and c.event_id % 4 = 0 and c.event_id = e.event_id - 1)""")
+@query("""select event_id from events e where (event_type = 'click' and value > 100) or exists (select 1 from events c where c.user_id = e.user_id and c.event_type = 'view' and c.event_id = e.event_id - 1)""")
 def confirmation_gate(spark: SparkSession, d: str) -> DataFrame:
     """JN-18: issues that were confirmed, and critical ones in any case."""
     e = read(spark, d, "events")
-    confirmed = e.where("event_type = 'view' and event_id % 4 = 0").select("user_id", (F.col("event_id") + 1).alias("event_id"), F.lit(True).alias("c"))
-    return e.join(confirmed, ["user_id", "event_id"], "left").where((F.col("event_type") == "click") & (F.col("event_id") % 5 == 0) | F.col("c")).select("event_id")
+    confirmed = e.where("event_type = 'view'").select("user_id", (F.col("event_id") + 1).alias("event_id"), F.lit(True).alias("c"))
+    return e.join(confirmed, ["user_id", "event_id"], "left").where((F.col("event_type") == "click") & (F.col("value") > 100) | F.col("c")).select("event_id")
 
 
-@query("""select d.doc_id, coalesce(l.quality, b.toxic, 7) as value, case when l.doc_id is not null then 'first' when b.doc_id is not null then 'second' else 'none' end as layer from documents d left join (select * from labels where doc_id % 2 = 0) l using (doc_id) left join (select * from labels where doc_id % 3 = 0) b using (doc_id)""")
+@query("""select d.doc_id, coalesce(l.quality, b.toxic, 7) as value, case when l.doc_id is not null then 'first' when b.doc_id is not null then 'second' else 'none' end as layer from documents d left join (select * from labels where quality = 0) l using (doc_id) left join (select * from labels where toxic = 0) b using (doc_id)""")
 def layered_lookup(spark: SparkSession, d: str) -> DataFrame:
     """JN-1, JN-2, JN-4, JN-22, SRC-21: the first layer that has a value."""
     labels = read(spark, d, "labels")
-    a, b = labels.where("doc_id % 2 = 0").select("doc_id", F.col("quality").alias("x")), labels.where("doc_id % 3 = 0").select("doc_id", F.col("toxic").alias("y"))
+    a, b = labels.where("quality = 0").select("doc_id", F.col("quality").alias("x")), labels.where("toxic = 0").select("doc_id", F.col("toxic").alias("y"))
     rows = read(spark, d, "documents").select("doc_id").join(a, "doc_id", "left").join(b, "doc_id", "left")
     return rows.select("doc_id", F.coalesce("x", "y", F.lit(7)).alias("value"), F.when(F.col("x").isNotNull(), "first").when(F.col("y").isNotNull(), "second").otherwise("none").alias("layer"))
 
@@ -469,21 +469,24 @@ def synthetic_ratio(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "documents").agg(F.count(F.lit(1)).alias("real")).select("real", F.round(F.col("real") * 0.4 / 0.6).cast("long").alias("synthetic"))
 
 
-@query("select doc_id, k, case when s >= p then s + 7 else s end as s, case when e > p then e + 7 else e end as e from (select doc_id, k, k * 40 s, k * 40 + 25 e, (n_chars // 3) p from (select doc_id, n_chars, unnest(range(0, 5)) k from documents)) where not (s < p and p < e)")
+@query("select doc_id, k, case when s >= p then s + 7 else s end as s, case when e > p then e + 7 else e end as e from (select doc_id, k, k * 40 s, k * 40 + 25 e, (n_chars // 3) p from (select doc_id, n_chars, unnest(range(0, n_chars // 40 + 1)) k from documents)) where not (s < p and p < e)")
 def span_shift_injection(spark: SparkSession, d: str) -> DataFrame:
     """GEN-14, GEN-9, GEN-13: spans behind an insertion move; none may be split by it."""
-    rows = read(spark, d, "documents").select("doc_id", F.floor(F.col("n_chars") / 3).alias("p"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(4).cast("long"))).alias("k")).withColumn("s", F.col("k") * 40).withColumn("e", F.col("k") * 40 + 25)
+    rows = read(spark, d, "documents").select("doc_id", F.floor(F.col("n_chars") / 3).alias("p"), F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("n_chars") / 40))).alias("k")).withColumn("s", F.col("k") * 40).withColumn("e", F.col("k") * 40 + 25)
     s, e, p = F.col("s"), F.col("e"), F.col("p")
     return rows.where(~((s < p) & (p < e))).select("doc_id", "k", F.when(s >= p, s + 7).otherwise(s).alias("s"), F.when(e > p, e + 7).otherwise(e).alias("e"))
 
 
-@query("select q.doc_id, arg_min(m.p_partkey, md5(q.doc_id || ':' || m.p_partkey)) as module from (select doc_id, ['ECONOMY', 'STANDARD', 'PROMO'][cast(doc_id % 3 as integer) + 1] s from documents where doc_id < 200) q join (select p_partkey, string_split(p_type, ' ')[1] s from part where p_size < 20) m using (s) group by q.doc_id")
+@query("""with m as (select p_partkey, split_part(p_type, ' ', 1) s, row_number() over (partition by split_part(p_type, ' ', 1) order by p_partkey) - 1 i, count(*) over (partition by split_part(p_type, ' ', 1)) n from part where p_size < 20),
+q as (select doc_id, ['ECONOMY', 'STANDARD', 'PROMO'][cast(doc_id % 3 as integer) + 1] s, cast('0x' || substring(md5(cast(doc_id as varchar)), 1, 8) as bigint) h from documents) select q.doc_id, m.p_partkey as module from q join m on m.s = q.s and m.i = q.h % m.n""")
 def module_sampling(spark: SparkSession, d: str) -> DataFrame:
-    """GEN-15, GEN-16: one module of the subject and within the length cap, by hash."""
+    """GEN-15, GEN-16: one module of the subject and within the length cap, by hash: the hash gives its number, so a document meets one module only."""
     s = F.element_at(F.array(F.lit("ECONOMY"), F.lit("STANDARD"), F.lit("PROMO")), (F.col("doc_id") % 3 + 1).cast("int"))
-    q = read(spark, d, "documents").where("doc_id < 200").select("doc_id", s.alias("s"))
+    q = read(spark, d, "documents").select("doc_id", s.alias("s"), F.conv(F.substring(F.md5(F.col("doc_id").cast("string")), 1, 8), 16, 10).cast("long").alias("h"))
     m = read(spark, d, "part").where("p_size < 20").select("p_partkey", F.split_part("p_type", F.lit(" "), F.lit(1)).alias("s"))
-    return q.join(m, "s").groupBy("doc_id").agg(F.min_by("p_partkey", F.md5(F.concat_ws(":", "doc_id", "p_partkey"))).alias("module"))
+    m = m.withColumn("i", F.row_number().over(Window.partitionBy("s").orderBy("p_partkey")) - 1)
+    counts = m.groupBy("s").agg(F.count(F.lit(1)).alias("n"))
+    return q.join(counts, "s").withColumn("i", F.col("h") % F.col("n")).join(m, ["s", "i"]).select("doc_id", F.col("p_partkey").alias("module"))
 
 
 @query("""select source, count(*) pages, round(avg(case when n_chars >= 1000 or (n_chars >= 400 and doc_id % 4 <= 2) then 1.0 else 0.0 end), 6) as share, case when avg(case when n_chars >= 1000 or (n_chars >= 400 and doc_id % 4 <= 2) then 1.0 else 0.0 end) >= 0.85 then 'DIGITAL' when avg(case when n_chars >= 1000 or (n_chars >= 400 and doc_id % 4 <= 2) then 1.0 else 0.0 end) <= 0.15 then 'SCANNED' else 'HYBRID' end as kind from documents group by source""")
@@ -494,21 +497,21 @@ def digital_scanned(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "documents").groupBy("source").agg(F.count(F.lit(1)).alias("pages"), F.round(share, 6).alias("share"), F.when(share >= 0.85, "DIGITAL").when(share <= 0.15, "SCANNED").otherwise("HYBRID").alias("kind"))
 
 
-@query("""with b as (select event_id, user_id, value % 100 as y, (value * 7) % 50 as x from events where user_id < 40), g as (select *, case when y - lag(y) over (partition by user_id order by y, event_id) <= 12 then 0 else 1 end n from b), r as (select *, sum(n) over (partition by user_id order by y, event_id) row_no from g)
+@query("""with b as (select event_id, user_id, value % 100 as y, (value * 7) % 50 as x from events), g as (select *, case when y - lag(y) over (partition by user_id order by y, event_id) <= 12 then 0 else 1 end n from b), r as (select *, sum(n) over (partition by user_id order by y, event_id) row_no from g)
 select event_id, cast(row_no as bigint) as row_no, row_number() over (partition by user_id order by row_no, x, event_id) as reading from r""")
 def figure_reading_order(spark: SparkSession, d: str) -> DataFrame:
     """SRC-18, SRC-19: boxes in rows by vertical gaps, then from left to right, numbered through."""
     v = F.col("value")
     w = Window.partitionBy("user_id").orderBy("y", "event_id")
-    b = read(spark, d, "events").where("user_id < 40").select("event_id", "user_id", (v % 100).alias("y"), ((v * 7) % 50).alias("x"))
+    b = read(spark, d, "events").select("event_id", "user_id", (v % 100).alias("y"), ((v * 7) % 50).alias("x"))
     b = b.withColumn("n", F.when(F.col("y") - F.lag("y").over(w) <= 12, 0).otherwise(1)).withColumn("row_no", F.sum("n").over(w))
     return b.select("event_id", "row_no", F.row_number().over(Window.partitionBy("user_id").orderBy("row_no", "x", "event_id")).cast("long").alias("reading"))
 
 
-@query("select source, count(*) as chunks from documents where doc_id % 3 = 0 group by source having count(*) > 16")
+@query("select source, count(*) as chunks from documents group by source having count(*) > 1")
 def multi_chunk_docs(spark: SparkSession, d: str) -> DataFrame:
     """SRC-6: documents of several chunks."""
-    return read(spark, d, "documents").where("doc_id % 3 = 0").groupBy("source").agg(F.count(F.lit(1)).alias("chunks")).where("chunks > 16")
+    return read(spark, d, "documents").groupBy("source").agg(F.count(F.lit(1)).alias("chunks")).where("chunks > 1")
 
 
 @query("select doc_id, source from documents where n_chars between 500 and 15000 and doc_id in (select min(doc_id) from documents group by md5(text)) and length(substring(text, 1, 200)) >= 80")
@@ -549,10 +552,10 @@ def logit_blend(spark: SparkSession, d: str) -> DataFrame:
     return x.groupBy("vec_id", F.floor(F.col("i") / 4).alias("pos")).agg(F.round(F.sum(F.col("v").cast("double") * h) / F.sum(h), 6).alias("blended"))
 
 
-@query("select doc_id, seg, s, e, g + (p - s) as mapped from (select doc_id, k seg, k * 100 s, k * 100 + 80 e, k * 130 + 5 g, unnest([k * 100 + 10, k * 100 + 85]) p from (select doc_id, unnest(range(0, 3)) k from documents)) where p < e")
+@query("select doc_id, seg, s, e, g + (p - s) as mapped from (select doc_id, k seg, k * 100 s, k * 100 + 80 e, k * 130 + 5 g, unnest([k * 100 + 10, k * 100 + 85]) p from (select doc_id, unnest(range(0, n_chars // 130 + 1)) k from documents)) where p < e")
 def piecewise_map(spark: SparkSession, d: str) -> DataFrame:
     """SEQ-15: offsets through ordered segments; gaps between segments map to nothing."""
-    seg = read(spark, d, "documents").select("doc_id", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(2).cast("long"))).alias("k"))
+    seg = read(spark, d, "documents").select("doc_id", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("n_chars") / 130))).alias("k"))
     rows = seg.select("doc_id", F.col("k").alias("seg"), (F.col("k") * 100).alias("s"), (F.col("k") * 100 + 80).alias("e"), (F.col("k") * 130 + 5).alias("g"), F.explode(F.array(F.col("k") * 100 + 10, F.col("k") * 100 + 85)).alias("p"))
     return rows.where("p < e").select("doc_id", "seg", "s", "e", (F.col("g") + F.col("p") - F.col("s")).alias("mapped"))
 
@@ -564,15 +567,16 @@ def prefix_max_end(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "events").select("user_id", "event_id", F.max(F.col("event_id") % 50).over(w).alias("prefix_max"))
 
 
-@query("select doc_id, list_distinct(list_transform(string_split(substring(text, 1, 60), ' '), lambda w: lower(w))).list_sort() as words from documents")
+@query("select doc_id, list_distinct(list_transform(string_split(text, ' '), lambda w: lower(w))).list_sort() as words from documents")
 def dedupe_preserving(spark: SparkSession, d: str) -> DataFrame:
     """SET-4: distinct elements (sorted here, for comparison)."""
-    return read(spark, d, "documents").select("doc_id", F.array_sort(F.array_distinct(F.transform(F.split(F.substring("text", 1, 60), " "), lambda w: F.lower(w)))).alias("words"))
+    return read(spark, d, "documents").select("doc_id", F.array_sort(F.array_distinct(F.transform(F.split("text", " "), lambda w: F.lower(w)))).alias("words"))
 
 
-@query("select doc_id, lang, 'real' as origin from documents where doc_id % 2 = 0 union all select doc_id, lang, 'synthetic' from documents where doc_id % 5 = 0")
+@query("select doc_id, lang, 'real' as origin from documents union all select item_id, 'none', 'synthetic' from benchmark")
 def union_sources(spark: SparkSession, d: str) -> DataFrame:
     """SET-1: real and synthetic rows together; their order comes from a seeded hash."""
     docs = read(spark, d, "documents")
-    both = docs.where("doc_id % 2 = 0").select("doc_id", "lang", F.lit("real").alias("origin")).unionByName(docs.where("doc_id % 5 = 0").select("doc_id", "lang", F.lit("synthetic").alias("origin")))
+    made = read(spark, d, "benchmark").select(F.col("item_id").alias("doc_id"), F.lit("none").alias("lang"), F.lit("synthetic").alias("origin"))
+    both = docs.select("doc_id", "lang", F.lit("real").alias("origin")).unionByName(made)
     return both.orderBy(F.xxhash64("doc_id", "origin", F.lit(42)))

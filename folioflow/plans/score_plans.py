@@ -110,7 +110,7 @@ def category_scorecard(spark: SparkSession, d: str) -> DataFrame:
     return A.scorecard(_decided(_scored(spark, d)), "lang", "score", "decision")
 
 
-CASES = "(select user_id, event_id, case event_type when 'click' then 'unannotated_question' when 'view' then 'stimulus_nesting' when 'purchase' then 'broken_system_tag' else 'odd' end as category, ['INFO', 'MINOR', 'MAJOR', 'CRITICAL'][cast(event_id % 4 as integer) + 1] as severity from events where event_id % 10 = 0)"
+CASES = "(select user_id, event_id, case event_type when 'click' then 'unannotated_question' when 'view' then 'stimulus_nesting' when 'purchase' then 'broken_system_tag' else 'odd' end as category, ['INFO', 'MINOR', 'MAJOR', 'CRITICAL'][cast(event_id % 4 as integer) + 1] as severity from events)"
 PENALTY = """case when severity = 'INFO' then 0.0 else case category when 'unannotated_question' then case severity when 'CRITICAL' then 50.0 when 'MAJOR' then 20.0 else 10.0 end
 when 'stimulus_nesting' then case severity when 'CRITICAL' then 100.0 when 'MAJOR' then 50.0 else 20.0 end when 'broken_system_tag' then case severity when 'CRITICAL' then 40.0 when 'MAJOR' then 15.0 else 5.0 end
 else case severity when 'CRITICAL' then 30.0 when 'MAJOR' then 15.0 else 5.0 end end end"""
@@ -121,7 +121,7 @@ def _issues(spark: SparkSession, d: str) -> DataFrame:
     t = F.col("event_type")
     category = F.when(t == "click", "unannotated_question").when(t == "view", "stimulus_nesting").when(t == "purchase", "broken_system_tag").otherwise("odd")
     severity = F.element_at(F.array(*map(F.lit, A.SEVERITIES)), (F.col("event_id") % 4 + 1).cast("int"))
-    return read(spark, d, "events").where("event_id % 10 = 0").select("user_id", "event_id", category.alias("category"), severity.alias("severity"))
+    return read(spark, d, "events").select("user_id", "event_id", category.alias("category"), severity.alias("severity"))
 
 
 @query(f"""select user_id, cast(sum(p) as double) as total, cast(coalesce(sum(p) filter (severity = 'CRITICAL'), 0) as double) as critical, cast(coalesce(sum(p) filter (severity = 'MAJOR'), 0) as double) as major, cast(coalesce(sum(p) filter (severity = 'MINOR'), 0) as double) as minor
@@ -189,11 +189,11 @@ def span_candidate_quality(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "documents").select("doc_id", F.round(q, 6).alias("quality"))
 
 
-@query("select doc_id, length(stem) + length(opts) + case when doc_id % 2 = 0 then 20 else 0 end + 5 * least(doc_id % 14, 10) + case when doc_id % 3 = 0 then 3 else 0 end as quality from (select doc_id, substring(text, 1, 60) stem, substring(text, 61, 40) opts from documents)")
+@query("select doc_id, length(text) + length(source) + case when doc_id % 2 = 0 then 20 else 0 end + 5 * least(doc_id % 14, 10) + case when doc_id % 3 = 0 then 3 else 0 end as quality from documents")
 def question_quality(spark: SparkSession, d: str) -> DataFrame:
     """SCR-16: completeness of a question: texts, explanation, options, answer."""
     i = F.col("doc_id")
-    q = F.length(F.substring("text", 1, 60)) + F.length(F.substring("text", 61, 40)) + F.when(i % 2 == 0, 20).otherwise(0) + 5 * F.least(i % 14, F.lit(10)) + F.when(i % 3 == 0, 3).otherwise(0)
+    q = F.length("text") + F.length("source") + F.when(i % 2 == 0, 20).otherwise(0) + 5 * F.least(i % 14, F.lit(10)) + F.when(i % 3 == 0, 3).otherwise(0)
     return read(spark, d, "documents").select("doc_id", q.cast("long").alias("quality"))
 
 
@@ -269,13 +269,13 @@ def spurious_issue_filter(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "events").where(~F.col("props").rlike(r'"k": 1\d') & (F.col("event_type") != "error")).select("event_id")
 
 
-@query("""with g as (select 'w' label, doc_id, unnest(range(0, 3)) k from documents), p as (select 'w' label, doc_id, unnest(range(0, 3)) k2 from documents where doc_id % 3 <> 0),
+@query("""with g as (select 'w' label, doc_id, unnest(range(0, 3)) k from documents), p as (select 'w' label, doc_id, unnest(range(0, 3)) k2 from documents where lang <> 'de'),
 a as (select label, doc_id, k s, count(*) a from g group by all), b as (select label, doc_id, k2 + (doc_id % 2) s, count(*) b from p group by all)
 select label, cast(sum(least(coalesce(a, 0), coalesce(b, 0))) as bigint) tp, cast(sum(greatest(coalesce(b, 0) - coalesce(a, 0), 0)) as bigint) fp, cast(sum(greatest(coalesce(a, 0) - coalesce(b, 0), 0)) as bigint) fn from a full join b using (label, doc_id, s) group by label""")
 def span_match_exact(spark: SparkSession, d: str) -> DataFrame:
     """JN-20: gold and predicted spans as multisets of bounds."""
-    docs = read(spark, d, "documents").select("doc_id", F.lit("w").alias("label"), F.explode(F.sequence(F.lit(0), F.lit(2))).alias("k"))
-    return E.multiset_match(docs.withColumnRenamed("k", "s"), docs.where("doc_id % 3 <> 0").select("doc_id", "label", (F.col("k") + F.col("doc_id") % 2).alias("s")), ["label", "doc_id", "s"])
+    docs = read(spark, d, "documents").select("doc_id", "lang", F.lit("w").alias("label"), F.explode(F.sequence(F.lit(0), F.lit(2))).alias("k"))
+    return E.multiset_match(docs.select("doc_id", "label", F.col("k").alias("s")), docs.where("lang <> 'de'").select("doc_id", "label", (F.col("k") + F.col("doc_id") % 2).alias("s")), ["label", "doc_id", "s"])
 
 
 @query("""select doc_id, least(g1, p1) - greatest(g0, p0) as inter, round(greatest(0, least(g1, p1) - greatest(g0, p0)) / cast(g1 - g0 + p1 - p0 - greatest(0, least(g1, p1) - greatest(g0, p0)) as double), 6) as iou

@@ -217,10 +217,10 @@ def verbatim_equality(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "documents").select("doc_id", (X.verbatim("text") == X.verbatim(other)).alias("same"), X.has_conflict_markers(other).alias("conflict"))
 
 
-@query("""select doc_id, list_reduce(list_prepend(cast(0 as bigint), list_transform(string_split(head, ''), lambda c: cast(unicode(c) as bigint))), lambda a, c: (a * 31 + c) % 4294967296) as seed from (select doc_id, substring(text, 1, 40) head from documents)""")
+@query("""select doc_id, list_reduce(list_prepend(cast(0 as bigint), list_transform(string_split(head, ''), lambda c: cast(unicode(c) as bigint))), lambda a, c: (a * 31 + c) % 4294967296) as seed from (select doc_id, text head from documents)""")
 def stable_seed_hash(spark: SparkSession, d: str) -> DataFrame:
-    """GEN-12: polynomial hash of the first 40 characters."""
-    return read(spark, d, "documents").select("doc_id", X.stable_seed(F.substring("text", 1, 40)).alias("seed"))
+    """GEN-12: polynomial hash of texts."""
+    return read(spark, d, "documents").select("doc_id", X.stable_seed("text").alias("seed"))
 
 
 @query("""select doc_id, cast('0x' || substring(md5('42:' || doc_id), 1, 8) as bigint) / 4294967295.0 < 0.1 as dev from documents""")
@@ -238,11 +238,11 @@ def tone_strip_translate(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(r"""select doc_id, array_to_string(list_transform(tok, lambda t: t || chr(9) || case when regexp_matches(t, '^\d+$') then 'B-number' when regexp_matches(t, '^\p{Lu}') then 'B-name' else 'O' end), chr(10)) as conll
-from (select doc_id, regexp_extract_all(text, '[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]')[1:50] tok from documents)""")
+from (select doc_id, regexp_extract_all(text, '[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]') tok from documents)""")
 def conll_export(spark: SparkSession, d: str) -> DataFrame:
-    """SNK-4: token and tag lines of the first 50 tokens."""
+    """SNK-4: token and tag lines."""
     tag = lambda t: F.when(t.rlike(r"^\d+$"), "B-number").when(t.rlike(r"^\p{Lu}"), "B-name").otherwise("O")
-    return read(spark, d, "documents").select("doc_id", F.array_join(F.transform(F.slice(X.tokens("text"), 1, 50), lambda t: F.concat(t, F.lit("\t"), tag(t))), "\n").alias("conll"))
+    return read(spark, d, "documents").select("doc_id", F.array_join(F.transform(X.tokens("text"), lambda t: F.concat(t, F.lit("\t"), tag(t))), "\n").alias("conll"))
 
 
 @query("""select p_partkey, list_distinct(list_filter([try_cast(case when regexp_matches(l, '^\\d+$') then l end as integer), case when regexp_matches(l, '^[A-Z]$') then ascii(l) - 64 end, case when list_position(['I','II','III','IV','V','VI','VII','VIII','IX','X'], l) > 0 then list_position(['I','II','III','IV','V','VI','VII','VIII','IX','X'], l) end], lambda x: x is not null)).list_sort() as readings
