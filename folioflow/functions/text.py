@@ -152,8 +152,7 @@ def ordinals(label: str | Column) -> Column:
 def stable_seed(text: str | Column) -> Column:
     """Polynomial hash of base 31 over code points, modulo 2^32."""
     chars = F.filter(F.split(_lit(text), ""), lambda c: c != "")
-    code = lambda c: F.conv(F.hex(F.encode(c, "UTF-32")), 16, 10).cast("long")
-    return F.aggregate(chars, F.lit(0).cast("long"), lambda a, c: (a * 31 + code(c)) % 4294967296)
+    return F.aggregate(chars, F.lit(0).cast("long"), lambda a, c: (a * 31 + F.ascii(c)) % 4294967296)
 
 
 def is_dev(doc_id: str | Column, ratio: float, seed: str = "42") -> Column:

@@ -31,12 +31,14 @@ def rewrite(text: str, spans: list[Span], pattern: str, change: Callable[[re.Mat
     """Replace the matches of a pattern outside of what keep matches, and move the spans along.
 
     A span's end within a replaced part goes to the part's new end, its start to the new start."""
-    protected = [m.span() for m in re.finditer(keep, text, re.S)] if keep else []
+    protected = [m.span() for m in re.finditer(keep, text, re.M)] if keep else []
+    begins = [a for a, _ in protected]
     out: list[str] = []
     at = size = 0
     steps: list[tuple[int, int, int, int]] = []  # old start, old end, new start, new end
     for m in re.finditer(pattern, text):
-        if any(m.start() < b and a < m.end() for a, b in protected):
+        i = bisect_right(begins, m.start())
+        if (i and protected[i - 1][1] > m.start()) or (i < len(begins) and begins[i] < m.end()):
             continue
         new = change(m)
         out += [text[at : m.start()], new]
@@ -62,7 +64,7 @@ def rewrite(text: str, spans: list[Span], pattern: str, change: Callable[[re.Mat
 def jitter(text: str, spans: list[Span], seed: int) -> tuple[str, list[Span]]:
     """White space between words varied; formulas, table rows and line breaks stay (GEN-2)."""
     rng = random.Random(seed)
-    return rewrite(text, spans, r"(?<=\S) +(?=\S)", lambda m: rng.choice((" ", " ", "  ", "   ")), r"\$[^$\n]*\$|^\|.*$|\n\|[^\n]*")
+    return rewrite(text, spans, r"(?<=\S) +(?=\S)", lambda m: rng.choice((" ", " ", "  ", "   ")), r"\$[^$\n]*\$|^\|.*$")
 
 
 def noise(text: str, spans: list[Span], seed: int, share: float = 0.1) -> tuple[str, list[Span]]:
