@@ -55,3 +55,17 @@ def multiset_cascade(left: DataFrame, right: DataFrame, keys: list[list[str]], i
         left = left.join(hit, id_col, "left_anti")
         right = right.join(hit.select(F.col("match").alias(id_col)), id_col, "left_anti")
     return out
+
+
+def trailing(df: DataFrame, by: str, time: str, span: int, **sums: str) -> DataFrame:
+    """df with calls (rows of the same group within span before each row, itself included) and sums of columns over them.
+
+    A group is cut into stretches of span; each row also goes to the next stretch as context, so no task holds a whole
+    group, however many rows it has."""
+    at = F.floor(F.col(time) / span)
+    rows = df.withColumn("_c", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("_s", at + F.col("_c"))
+    w = Window.partitionBy(by, "_s").orderBy(time).rangeBetween(-span, 0)
+    out = rows.withColumn("calls", F.count(F.lit(1)).over(w))
+    for name, column in sums.items():
+        out = out.withColumn(name, F.sum(column).over(w))
+    return out.where("_c = 0").drop("_c", "_s")

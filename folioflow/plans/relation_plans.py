@@ -62,16 +62,16 @@ def chunk_conversations_greedy(spark: SparkSession, d: str) -> DataFrame:
     return chunks.groupBy("conv_id", F.col("x.c").alias("chunk")).agg(F.min("x.p.turn").alias("first_turn"), F.max("x.p.turn").alias("last_turn"), F.sum("x.p.w").alias("words"))
 
 
-@query("""with recursive t as (select source, doc_id, n_chars // 4 as w, row_number() over (partition by source order by doc_id) r from documents),
-f as (select source, doc_id, r, 100 + w total, cast(0 as bigint) batch from t where r = 1 union all
-select t.source, t.doc_id, t.r, case when f.total + t.w > 4000 then 100 + t.w else f.total + t.w end, f.batch + case when f.total + t.w > 4000 then 1 else 0 end from f join t on t.source = f.source and t.r = f.r + 1)
-select source, batch, count(*) as docs, cast(max(total) as bigint) as tokens from f group by source, batch""")
+@query("""with recursive t as (select source, doc_id, n_chars // 4 as w, row_number() over (partition by source, doc_id // 4096 order by doc_id) r, doc_id // 4096 as block from documents),
+f as (select source, block, doc_id, r, 100 + w total, cast(0 as bigint) batch from t where r = 1 union all
+select t.source, t.block, t.doc_id, t.r, case when f.total + t.w > 4000 then 100 + t.w else f.total + t.w end, f.batch + case when f.total + t.w > 4000 then 1 else 0 end from f join t on t.source = f.source and t.block = f.block and t.r = f.r + 1)
+select source, block, batch, count(*) as docs, cast(max(total) as bigint) as tokens from f group by source, block, batch""")
 def batch_pack_documents(spark: SparkSession, d: str) -> DataFrame:
-    """SEQ-4: next-fit batches of 4000 tokens with an overhead of 100, by source."""
-    docs = read(spark, d, "documents").select("source", "doc_id", F.floor(F.col("n_chars") / 4).cast("long").alias("w"))
-    groups = docs.groupBy("source").agg(F.array_sort(F.collect_list(F.struct("doc_id", "w"))).alias("p"))
-    rows = groups.withColumn("b", P.next_fit(F.transform("p", lambda p: p["w"]), 4000, 100)).select("source", F.explode(F.arrays_zip("p", "b")).alias("x"))
-    return rows.groupBy("source", F.col("x.b").alias("batch")).agg(F.count(F.lit(1)).alias("docs"), (F.sum("x.p.w") + 100).alias("tokens"))
+    """SEQ-4: next-fit batches of 4000 tokens with an overhead of 100, by source, in blocks of ids, so that a large source is many groups."""
+    docs = read(spark, d, "documents").select("source", F.floor(F.col("doc_id") / 4096).alias("block"), "doc_id", F.floor(F.col("n_chars") / 4).cast("long").alias("w"))
+    groups = docs.groupBy("source", "block").agg(F.array_sort(F.collect_list(F.struct("doc_id", "w"))).alias("p"))
+    rows = groups.withColumn("b", P.next_fit(F.transform("p", lambda p: p["w"]), 4000, 100)).select("source", "block", F.explode(F.arrays_zip("p", "b")).alias("x"))
+    return rows.groupBy("source", "block", F.col("x.b").alias("batch")).agg(F.count(F.lit(1)).alias("docs"), (F.sum("x.p.w") + 100).alias("tokens"))
 
 
 @query("""with p as (select conv_id, turn, text, turn // 3 as chunk from conversations), o as (select *, coalesce(sum(length(text) + 2) over (partition by conv_id, chunk order by turn rows between unbounded preceding and 1 preceding), 0) ls from p)
@@ -275,9 +275,8 @@ def usage_summary_grouping_sets(spark: SparkSession, d: str) -> DataFrame:
 def rolling_5h_usage(spark: SparkSession, d: str) -> DataFrame:
     """AGG-2: usage and cost of the five hours before each call, by caller."""
     e = read(spark, d, "events").withColumn("us", F.unix_micros(F.col("ts").cast("timestamp")))
-    w = Window.partitionBy("user_id").orderBy("us").rangeBetween(-5 * 3600 * 1_000_000, 0)
-    n, total = F.count(F.lit(1)).over(w), F.sum("value").over(w)
-    return e.select("event_id", n.alias("calls"), F.round(total, 4).alias("tokens"), F.round((0.75 * total + 3.75 * n) / 1000000, 12).alias("cost"))
+    rows = R.trailing(e, "user_id", "us", 5 * 3600 * 1_000_000, total="value")
+    return rows.select("event_id", "calls", F.round("total", 4).alias("tokens"), F.round((0.75 * F.col("total") + 3.75 * F.col("calls")) / 1000000, 12).alias("cost"))
 
 
 @query("select date_trunc('hour', ts) as hour_start, event_type, count(*) as n, round(sum(value), 4) as total from events group by 1, 2")
@@ -306,8 +305,9 @@ def catalog_distributions(spark: SparkSession, d: str) -> DataFrame:
     k = F.when(F.col("event_id") % 9 == 0, "Unknown / Null").otherwise(F.get_json_object("props", "$.k"))
     wide = read(spark, d, "events").select(F.explode(F.create_map(F.lit("event_type"), "event_type", F.lit("user"), F.col("user_id").cast("string"), F.lit("k"), k)).alias("dim", "v"))
     c = wide.groupBy("dim", "v").agg(F.count(F.lit(1)).alias("n"))
-    c = c.withColumn("pct", F.round(100.0 * F.col("n") / F.sum("n").over(Window.partitionBy("dim")), 4)).withColumn("r", F.row_number().over(Window.partitionBy("dim").orderBy(F.desc("n"), "v")))
-    return c.where("r <= 15").drop("r")
+    totals = c.groupBy("dim").agg(F.sum("n").alias("t"))  # a row for each dimension
+    c = c.join(totals, "dim").withColumn("pct", F.round(100.0 * F.col("n") / F.col("t"), 4)).withColumn("r", F.row_number().over(Window.partitionBy("dim").orderBy(F.desc("n"), "v")))
+    return c.where("r <= 15").drop("r", "t")
 
 
 @query("select source, count(*) n, cast(sum(n_chars) as bigint) as chars, round(100.0 * sum(length(text) - length(replace(text, ' ', ''))) / sum(n_chars), 4) as overhead from documents group by source order by sum(n_chars) desc, source limit 10")
