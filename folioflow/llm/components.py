@@ -1,8 +1,8 @@
 """Connected components by alternating large-star and small-star steps.
 
-Each step is an aggregation and a join on node ids; a node with very many neighbours meets a pre-aggregated
-minimum, and its edges are split by the adaptive join.  After each step the edges are written to the
-shared folder, which cuts the lineage.
+Each step is an aggregation and a join on node ids.  The minima are pre-aggregated, and written before the join, so
+that the adaptive join can split the edges of a node with very many neighbours.  After each round the edges are
+written to the shared folder, which cuts the lineage.
 """
 
 from __future__ import annotations
@@ -16,14 +16,14 @@ from ._shared import table
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node gets the node's smallest neighbour."""
     both = edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    least = table(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "minima")
     return both.join(least, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """A node and its smaller neighbours get the smallest of these."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
+    least = table(down.groupBy("u").agg(F.min("v").alias("m")), "minima")
     joined = down.join(least, "u")
     moved = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionAll(least.select("u", F.col("m").alias("v"))).distinct()
@@ -42,7 +42,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     for _ in range(max_rounds):
         if not seen[0]:
             break
-        current = table(_small_star(_large_star(current)), "edges")
+        current = table(_small_star(table(_large_star(current), "edges")), "edges")
         now = _digest(current)
         if now == seen:
             break
