@@ -166,6 +166,12 @@ def row_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return total[offsets[1:]] - total[offsets[:-1]]
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df, dealt out anew if it has fewer partitions than there are cores; larger inputs stay as they are read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def append_columns(df: DataFrame, fields: list[StructField], compute: Callable[[pa.RecordBatch], list[pa.Array]]) -> DataFrame:
     """df with more columns, which compute makes of each Arrow batch.  Columns of df with the same names go."""
     new = {f.name for f in fields}

@@ -205,6 +205,6 @@ def held_out() -> Column:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Languages of all documents, learnt from those outside the held-out fold."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    docs = T.spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang"))
     model = train(docs.where(~held_out()))
     return predict(docs.select("doc_id", held_out().alias("held_out"), "text"), model).drop("text")

@@ -183,5 +183,5 @@ def scan(df: DataFrame, *, text_col: str = "text", base: dict[str, str] | None =
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence labels of all documents."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    docs = T.spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
     return scan(docs).drop("text", "spans")

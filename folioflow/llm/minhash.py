@@ -241,4 +241,4 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80, id_co
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicates among all documents, by shingles of four words and similarity 0.8."""
-    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), words=4)
+    return near_duplicates(T.spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")), words=4)

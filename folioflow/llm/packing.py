@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from ._bytebpe import load
 from ._shared import table
+from ._text import spread
 
 CAPACITY = 2048
 #: Longer pieces than this share of the capacity are large; each is tried.
@@ -238,5 +239,5 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 2048 tokens."""
     import public_tokenizers
 
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
     return pack(docs, public_tokenizers.path("byte_bpe_50k.json"))

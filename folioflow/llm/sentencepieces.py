@@ -24,9 +24,10 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField
 
+from ._text import append_columns, spread
+
 SPACE = "▁"
 _SEGMENT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 #: Segments of more characters have a heap of their own.
@@ -282,8 +283,6 @@ def process(df: DataFrame, model: str, *, text_col: str = "text", ids: bool = Fa
         kinds = [pa.int64(), pa.string(), pa.string(), *[pa.list_(pa.int32())] * ids, *[pa.string()] * decoded]
         return [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
 
-    from ._text import append_columns
-
     return append_columns(df, fields, compute)
 
 
@@ -291,5 +290,5 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded texts of all documents, as hashes."""
     import public_tokenizers
 
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("doc_id"), F.col("text"))
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
     return process(docs, public_tokenizers.path("piece_bpe_32k.model")).drop("text")
