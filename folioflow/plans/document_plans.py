@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from folioflow.functions import text as X
 from folioflow.operators import documents as D
 from folioflow.operators import spans as S
-from folioflow.registry import query, read
+from folioflow.registry import query, read, read_texts
 
 
 @query()
@@ -27,13 +27,13 @@ def det_parse(spark: SparkSession, d: str) -> DataFrame:
     """SEQ-27, SEQ-29, TXT-25, ORD-5: questions and options of numbered text."""
     half = F.floor(F.length("text") / 2).cast("int")
     text = F.concat(F.lit("1. "), F.substr("text", F.lit(1), half), F.lit("\nA. one\nB. two\n2) "), F.substr("text", half + 1), F.lit("\nA. x\nB. y\nC. z"))
-    return D.parse(read(spark, d, "documents").select("doc_id", text.alias("x")), "x")
+    return D.parse(read_texts(spark, d).select("doc_id", text.alias("x")), "x")
 
 
 @query()
 def merge_chunks(spark: SparkSession, d: str) -> DataFrame:
     """SEQ-12, SEQ-17 to SEQ-24: overlapping tagged chunks to one tagged document."""
-    docs = read(spark, d, "documents").select("doc_id", F.col("text").alias("source"), F.floor(F.length("text") * 0.4).cast("int").alias("a"), F.floor(F.length("text") * 0.6).cast("int").alias("b"))
+    docs = read_texts(spark, d).select("doc_id", F.col("text").alias("source"), F.floor(F.length("text") * 0.4).cast("int").alias("a"), F.floor(F.length("text") * 0.6).cast("int").alias("b"))
     first = docs.select("doc_id", F.lit(0).alias("i"), "source", F.concat(F.lit("<stem>"), F.substr("source", F.lit(1), F.col("b")), F.lit("</stem>")).alias("chunk"))
     second = docs.select("doc_id", F.lit(1).alias("i"), "source", F.concat(F.substr("source", F.col("a") + 1, F.col("b") - F.col("a")), F.lit("<option_text>"), F.substr("source", F.col("b") + 1), F.lit("</option_text>")).alias("chunk"))
     return D.merge(first.unionAll(second), "doc_id", "i", "source", "chunk")
@@ -81,7 +81,7 @@ def latex_spans(spark: SparkSession, d: str) -> DataFrame:
         found = S.latex_spans(x)
         return {"n": len(found), "places": [list(p) for p in found], "valid": sum(S.latex_valid(x[a:b].strip("$")) for a, b in found)}
 
-    return D.per_text(read(spark, d, "documents").select("doc_id", "text"), "text", "n int, places array<array<int>>, valid int", one)
+    return D.per_text(read_texts(spark, d).select("doc_id", "text"), "text", "n int, places array<array<int>>, valid int", one)
 
 
 @query()
@@ -92,7 +92,7 @@ def whitespace_nfc_map(spark: SparkSession, d: str) -> DataFrame:
         plain, where = S.normalise_map(x)
         return {"chars": len(plain), "last": where[-1] if where else None, "digest": hashlib.md5(plain.encode()).hexdigest()}
 
-    return D.per_text(read(spark, d, "documents").select("doc_id", "text"), "text", "chars int, last int, digest string", one)
+    return D.per_text(read_texts(spark, d).select("doc_id", "text"), "text", "chars int, last int, digest string", one)
 
 
 @query()
@@ -113,7 +113,7 @@ def greedy_span_match(spark: SparkSession, d: str) -> DataFrame:
         tp, fp, fn = S.match_spans(gold, [S.Span(s.start + s.start % 3, s.end, "w") for s in gold], 1).get("w", (0, 0, 0))
         return {"tp": tp, "fp": fp, "fn": fn}
 
-    return D.per_text(read(spark, d, "documents").select("doc_id", "text"), "text", "tp int, fp int, fn int", one)
+    return D.per_text(read_texts(spark, d).select("doc_id", "text"), "text", "tp int, fp int, fn int", one)
 
 
 @query()
@@ -126,7 +126,7 @@ def overlap_resolution(spark: SparkSession, d: str) -> DataFrame:
         tagged = S.serialize(x, chosen)
         return {"chosen": len(chosen), "rejected": len(rejected), "faithful": S.lex(tagged, ("stem",))[0] == x}
 
-    return D.per_text(read(spark, d, "documents").select("doc_id", "text"), "text", "chosen int, rejected int, faithful boolean", one)
+    return D.per_text(read_texts(spark, d).select("doc_id", "text"), "text", "chosen int, rejected int, faithful boolean", one)
 
 
 @query()
@@ -139,7 +139,7 @@ def search_replace_patch(spark: SparkSession, d: str) -> DataFrame:
         patched, refused = S.apply_patches(x, f"<<<<<<< SEARCH\n{old}\n=======\nNEW\n>>>>>>> REPLACE")
         return {"applied": "NEW" in patched, "refused": len(refused), "chars": len(patched)}
 
-    return D.per_text(read(spark, d, "documents").select("doc_id", "text"), "text", "applied boolean, refused int, chars int", one)
+    return D.per_text(read_texts(spark, d).select("doc_id", "text"), "text", "applied boolean, refused int, chars int", one)
 
 
 @query()
@@ -150,7 +150,7 @@ def fidelity_first_difference(spark: SparkSession, d: str) -> DataFrame:
         found = S.first_difference(x, x[:50] + "\n" + x[50:90] + ("" if len(x) % 2 else "#") + x[90:])
         return {"same": found is None, "place": found[0] if found else None}
 
-    return D.per_text(read(spark, d, "documents").select("doc_id", "text"), "text", "same boolean, place int", one)
+    return D.per_text(read_texts(spark, d).select("doc_id", "text"), "text", "same boolean, place int", one)
 
 
 @query()
@@ -161,7 +161,7 @@ def word_budget_windows(spark: SparkSession, d: str) -> DataFrame:
         found = S.word_windows([1 + len(w) // 4 for w in x.split()], 128, 16)
         return {"n": len(found), "last_end": found[-1][1] if found else 0}
 
-    return D.per_text(read(spark, d, "documents").select("doc_id", "text"), "text", "n int, last_end int", one)
+    return D.per_text(read_texts(spark, d).select("doc_id", "text"), "text", "n int, last_end int", one)
 
 
 @query()
@@ -195,7 +195,7 @@ def farthest_first(spark: SparkSession, d: str) -> DataFrame:
 def json_repair(spark: SparkSession, d: str) -> DataFrame:
     """SRC-13: model JSON with stray backslashes and line breaks."""
     raw = F.concat(F.lit('{"stem": "\\alpha '), F.translate("text", '"', "'"), F.lit('\n", "n": '), "doc_id", F.lit("}"))
-    return read(spark, d, "documents").select("doc_id", F.get_json_object(D.repair_json(raw), "$.n").alias("n"))
+    return read_texts(spark, d).select("doc_id", F.get_json_object(D.repair_json(raw), "$.n").alias("n"))
 
 
 @query("""select event_id, case event_id % 3 when 0 then '[1, 2]' when 1 then '[' || event_id || ']' else '[]' end as items from events""")

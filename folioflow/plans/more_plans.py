@@ -12,7 +12,7 @@ from folioflow.functions import text as X
 from folioflow.operators import documents as D
 from folioflow.operators import spans as S
 from folioflow.operators import synthetic as G
-from folioflow.registry import query, read
+from folioflow.registry import query, read, read_texts
 
 
 @query("""select conv_id, turn, 'chunk' as kind from conversations where role = 'assistant' union all select conv_id, min(turn), 'merged' from conversations where conv_id not in (select conv_id from conversations where role = 'assistant') group by conv_id""")
@@ -27,7 +27,7 @@ def exam_tree_scan(spark: SparkSession, d: str) -> DataFrame:
 @query("""with t as (select source, count(*) n from documents where contains(lang, 'e') group by source having count(*) > 1), i as (select distinct 'src' || (page_id % 12) name from pages) select t.source, n, coalesce(e.name, (select min(name) from i where starts_with(t.source, i.name))) as input from t left join i e on e.name = t.source""")
 def target_discovery(spark: SparkSession, d: str) -> DataFrame:
     """SRC-7: documents of several chunks and their input: by name, else by the name's beginning."""
-    t = read(spark, d, "documents").where(F.contains("lang", F.lit("e"))).groupBy("source").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    t = read_texts(spark, d).where(F.contains("lang", F.lit("e"))).groupBy("source").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     names = read(spark, d, "pages").select(F.concat(F.lit("src"), F.col("page_id") % 12).alias("name")).distinct()
     exact = t.join(names, F.col("source") == F.col("name"), "left")
     # all beginnings of a name meet the inputs' names, instead of every name with every input
@@ -40,14 +40,14 @@ def target_discovery(spark: SparkSession, d: str) -> DataFrame:
 def defective_chunks(spark: SparkSession, d: str) -> DataFrame:
     """SRC-20: discarded chunks whose record exists."""
     decision = F.when(F.col("n_chars") < 500, "DISCARD").when(F.col("n_chars") < 1000, "NEEDS_REVISION").otherwise("PASS")
-    return read(spark, d, "documents").where(decision == "DISCARD").join(read(spark, d, "labels").select("doc_id"), "doc_id", "left_semi").select("doc_id", "source")
+    return read_texts(spark, d).where(decision == "DISCARD").join(read(spark, d, "labels").select("doc_id"), "doc_id", "left_semi").select("doc_id", "source")
 
 
 @query(r"""select doc_id, case when t <> '' and (starts_with('<stem', t) or starts_with('<section', t) or starts_with('</stem', t)) then substring(x, 1, length(x) - length(t)) else x end as trimmed from (select doc_id, x, regexp_extract(x, '</?[A-Za-z_]*\z') t from (select doc_id, text || case doc_id % 4 when 0 then '<ste' when 1 then '</st' when 2 then '<i' else '' end x from documents))""")
 def trim_unclosed_tag(spark: SparkSession, d: str) -> DataFrame:
     """TXT-9: a trailing tag that was cut off goes if it begins like one of the schema."""
     k = F.col("doc_id") % 4
-    rows = read(spark, d, "documents").select("doc_id", F.concat("text", F.when(k == 0, "<ste").when(k == 1, "</st").when(k == 2, "<i").otherwise("")).alias("x"))
+    rows = read_texts(spark, d).select("doc_id", F.concat("text", F.when(k == 0, "<ste").when(k == 1, "</st").when(k == 2, "<i").otherwise("")).alias("x"))
     t = F.regexp_extract("x", r"</?[A-Za-z_]*\z", 0)
     known = F.lit(False)
     for tag in ("<stem", "<section", "</stem"):
@@ -76,7 +76,7 @@ def heuristic_metadata(spark: SparkSession, d: str) -> DataFrame:
 def tokenizer_variants(spark: SparkSession, d: str) -> DataFrame:
     """TXT-22, TXT-23: tokens with whole formulas, and tokens without tags."""
     atomic = F.regexp_extract_all("text", F.lit(r"\$[^$\n]+\$|" + X.TOKEN), F.lit(0))
-    return read(spark, d, "documents").select("doc_id", F.size(atomic).cast("long").alias("atomic"), F.size(X.tokens(F.regexp_replace("text", r"</?[A-Za-z][^>]*>", ""))).cast("long").alias("plain"))
+    return read_texts(spark, d).select("doc_id", F.size(atomic).cast("long").alias("atomic"), F.size(X.tokens(F.regexp_replace("text", r"</?[A-Za-z][^>]*>", ""))).cast("long").alias("plain"))
 
 
 @query("""select conv_id, string_agg('<page_metadata>{"p": ' || (10 + rn) || '}</page_metadata>', '' order by turn) as blocks from (select conv_id, turn, row_number() over (partition by conv_id order by turn) - 1 rn from conversations) group by conv_id""")
@@ -91,7 +91,7 @@ def metadata_renumber(spark: SparkSession, d: str) -> DataFrame:
 def zero_length_spans(spark: SparkSession, d: str) -> DataFrame:
     """FLT-4: spans of some text."""
     spans = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in ((0, 5), (7, 7), (10, 30))])
-    return read(spark, d, "documents").select("doc_id", F.size(F.filter(spans, lambda s: (s["b"] > s["a"]) & (F.trim(F.substr("text", s["a"] + 1, s["b"] - s["a"])) != ""))).cast("long").alias("kept"))
+    return read_texts(spark, d).select("doc_id", F.size(F.filter(spans, lambda s: (s["b"] > s["a"]) & (F.trim(F.substr("text", s["a"] + 1, s["b"] - s["a"])) != ""))).cast("long").alias("kept"))
 
 
 @query(r"""select conv_id, not bool_or(regexp_matches(x, '<stem>\s*</stem>')) as valid, cast(sum(len(regexp_extract_all(x, '</question_label>\s*<option_label>'))) as bigint) as adjacent from (select conv_id, case turn % 3 when 0 then '<stem> </stem>' when 1 then '<question_label>1</question_label><option_label>A</option_label>' else '<stem>x</stem>' end x from conversations) group by conv_id""")
@@ -106,7 +106,7 @@ def cloze_validity(spark: SparkSession, d: str) -> DataFrame:
 @query("select doc_id, row_number() over (partition by source order by case when lang = 'en' then 1 else 0 end, doc_id) as place from documents")
 def priority_order(spark: SparkSession, d: str) -> DataFrame:
     """FLT-15: other subjects first, otherwise in the given order."""
-    return read(spark, d, "documents").select("doc_id", F.row_number().over(Window.partitionBy("source").orderBy(F.when(F.col("lang") == "en", 1).otherwise(0), "doc_id")).cast("long").alias("place"))
+    return read_texts(spark, d).select("doc_id", F.row_number().over(Window.partitionBy("source").orderBy(F.when(F.col("lang") == "en", 1).otherwise(0), "doc_id")).cast("long").alias("place"))
 
 
 @query(r"""select doc_id, case when regexp_matches(x, '(?m)^(?:<{5,9}|={5,9}|>{5,9})') then 0 else 100 end as conflict_score, len(list_filter(regexp_extract_all(x, '(?s)<stimulus>(.*?)</stimulus>', 1), lambda s: regexp_matches(s, '</?(?:stem|option_text|question_label)'))) as nested
@@ -116,7 +116,7 @@ def conflict_and_nesting(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("doc_id") % 3
     x = F.when(k == 0, "<stimulus>a<stem>b</stem></stimulus>").when(k == 1, F.concat(F.lit("<stimulus>"), "text", F.lit("</stimulus>"))).otherwise("=======\nx")
     inner = F.regexp_extract_all("x", F.lit("(?s)<stimulus>(.*?)</stimulus>"), F.lit(1))
-    rows = read(spark, d, "documents").select("doc_id", x.alias("x"))
+    rows = read_texts(spark, d).select("doc_id", x.alias("x"))
     return rows.select("doc_id", F.when(X.has_conflict_markers("x"), 0).otherwise(100).alias("conflict_score"), F.size(F.filter(inner, lambda s: s.rlike("</?(?:stem|option_text|question_label)"))).cast("long").alias("nested"))
 
 
@@ -157,7 +157,7 @@ def augment_jitter(spark: SparkSession, d: str) -> DataFrame:
         z, _ = G.noise(x, spans, G.stable_seed(x))
         return {"grown": len(y) - len(x), "faithful": [y[s.start : s.end] for s in moved] == [x[s.start : s.end] for s in spans], "noisy": sum(a != b for a, b in zip(x, z))}
 
-    return D.per_text(read(spark, d, "documents").select("doc_id", "text"), "text", "grown int, faithful boolean, noisy int", one)
+    return D.per_text(read_texts(spark, d).select("doc_id", "text"), "text", "grown int, faithful boolean, noisy int", one)
 
 
 @query()
@@ -173,7 +173,7 @@ def synthetic_questions(spark: SparkSession, d: str) -> DataFrame:
         key = "".join(chr(65 + a) for _, _, a in pieces)
         return {"questions": len(back), "options": sum(len(q["options"]) for q in back), "key": key, "right": right, "grid": G.answer_grid(key), "tasks": len(G.blueprint("maths", 5, seed)), "font": G.style(seed)["font"], "head": G.header("school", "maths", 45, str(seed % 1000)).split("\n")[1], "orders": len(orders)}
 
-    return D.per_text(read(spark, d, "documents").select("doc_id", "text"), "text", "questions int, options int, key string, right int, grid string, tasks int, font string, head string, orders int", one)
+    return D.per_text(read_texts(spark, d).select("doc_id", "text"), "text", "questions int, options int, key string, right int, grid string, tasks int, font string, head string, orders int", one)
 
 
 @query()
@@ -184,7 +184,7 @@ def dynamic_windows(spark: SparkSession, d: str) -> DataFrame:
         found = G.random_windows(len(x.split()), (64, 128, 256), 0.75, G.stable_seed(x))
         return {"n": len(found), "end": found[-1][1] if found else 0, "repeated": G.repeated_prefix(x[: len(x) * 6 // 10], x[len(x) * 4 // 10 :])}
 
-    return D.per_text(read(spark, d, "documents").select("doc_id", "text"), "text", "n int, end int, repeated int", one)
+    return D.per_text(read_texts(spark, d).select("doc_id", "text"), "text", "n int, end int, repeated int", one)
 
 
 @query()
@@ -196,7 +196,7 @@ def reference_expansion(spark: SparkSession, d: str) -> DataFrame:
         figures = G.project_figures('<figure id="a"/><figure id="a"/><figure id="z"/>', ["a", "b"])
         return {"expanded": n, "unknown": "[CHUNK_9]" in text, "figures": figures.count("<figure"), "start": G.absorb_heading("## 1. x", S.Span(3, 5, "question_label")).start}
 
-    return D.per_text(read(spark, d, "documents").select("doc_id", "text"), "text", "expanded int, unknown boolean, figures int, start int", one)
+    return D.per_text(read_texts(spark, d).select("doc_id", "text"), "text", "expanded int, unknown boolean, figures int, start int", one)
 
 
 @query()
@@ -222,4 +222,4 @@ def revision_loop(spark: SparkSession, d: str) -> DataFrame:
         text, decision, score = G.revise(x, review, S.rebalance)
         return {"decision": decision, "score": score, "changed": text != x}
 
-    return D.per_text(read(spark, d, "pages").select("page_id", "html"), "html", "decision string, score double, changed boolean", one)
+    return D.per_text(read_texts(spark, d, "pages").select("page_id", "html"), "html", "decision string, score double, changed boolean", one)

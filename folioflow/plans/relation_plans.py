@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from folioflow.functions import text as X
 from folioflow.operators import pages as P
 from folioflow.operators import relational as R
-from folioflow.registry import query, read
+from folioflow.registry import query, read, read_texts
 
 WORDS = r"cast(len(case when trim(regexp_replace(text, '\s+', ' ', 'g')) = '' then [] else string_split(trim(regexp_replace(text, '\s+', ' ', 'g')), ' ') end) as bigint)"
 
@@ -185,7 +185,7 @@ def bio_segments(spark: SparkSession, d: str) -> DataFrame:
 o as (select t.doc_id, t.i, max(p.j) j from t join p on p.doc_id = t.doc_id and greatest(s, a) < least(e, b) group by 1, 2) select doc_id, i, case when lag(j) over (partition by doc_id order by i) = j and lag(i) over (partition by doc_id order by i) = i - 1 then 'I' else 'B' end as tag, j from o""")
 def bio_alignment(spark: SparkSession, d: str) -> DataFrame:
     """JN-5, JN-6, WIN-10: tokens get the span of the highest priority that they overlap."""
-    docs = read(spark, d, "documents").select("doc_id", F.floor(F.col("n_chars") / 7).alias("n"), F.floor(F.col("n_chars") / 50).alias("m"))
+    docs = read_texts(spark, d).select("doc_id", F.floor(F.col("n_chars") / 7).alias("n"), F.floor(F.col("n_chars") / 50).alias("m"))
     t = docs.where("n > 0").select("doc_id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("i")).withColumn("s", F.col("i") * 7).withColumn("e", F.col("s") + 5)
     p = docs.select("doc_id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("m"))).alias("j")).withColumn("a", F.col("j") * 50).withColumn("b", F.col("a") + 30)
     o = R.interval_join(t, p, "doc_id", "s", "e", "a", "b", 512).groupBy("doc_id", "i").agg(F.max("j").alias("j"))
@@ -196,7 +196,7 @@ def bio_alignment(spark: SparkSession, d: str) -> DataFrame:
 @query(r"""with t as (select doc_id, unnest(range(0, n_chars // 7 + 1)) i from documents), p as (select doc_id, unnest(range(0, n_chars // 40 + 1)) j from documents) select t.doc_id, i, min(j) as j from t join p on p.doc_id = t.doc_id and i * 7 + 1 >= j * 40 and i * 7 + 1 < j * 40 + 55 group by 1, 2""")
 def anchor_alignment(spark: SparkSession, d: str) -> DataFrame:
     """JN-7: tokens get the first span that holds their first character."""
-    docs = read(spark, d, "documents").select("doc_id", F.floor(F.col("n_chars") / 7).alias("n"), F.floor(F.col("n_chars") / 40).alias("m"))
+    docs = read_texts(spark, d).select("doc_id", F.floor(F.col("n_chars") / 7).alias("n"), F.floor(F.col("n_chars") / 40).alias("m"))
     t = docs.select("doc_id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n"))).alias("i")).withColumn("s", F.col("i") * 7 + 1).withColumn("e", F.col("s") + 1)
     p = docs.select("doc_id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("m"))).alias("j")).withColumn("a", F.col("j") * 40).withColumn("b", F.col("a") + 55)
     return R.interval_join(t, p, "doc_id", "s", "e", "a", "b", 512).groupBy("doc_id", "i").agg(F.min("j").alias("j"))
@@ -235,7 +235,7 @@ def gold_exclusion(spark: SparkSession, d: str) -> DataFrame:
 
 def _contained(spark: SparkSession, d: str) -> DataFrame:
     """Documents and the items that stand in them: they meet on the item's longest inner word, then the text decides."""
-    docs = read(spark, d, "documents").select("doc_id", "text", F.explode(F.array_distinct(F.split("text", r"\s+"))).alias("w"))
+    docs = read_texts(spark, d).select("doc_id", "text", F.explode(F.array_distinct(F.split("text", r"\s+"))).alias("w"))
     inner = F.expr("slice(split(text, '[ \n]'), 2, greatest(size(split(text, '[ \n]')) - 2, 0))")
     word = F.array_max(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
     items = read(spark, d, "benchmark").select("item_id", F.col("text").alias("item"), word.alias("w")).where("w is not null")
@@ -256,7 +256,7 @@ def shingle_overlap(spark: SparkSession, d: str) -> DataFrame:
     def shingles(table: str, key: str) -> DataFrame:
         w = F.split(X.collapse_blank("text"), " ")
         gram = F.transform(F.sequence(F.lit(1), F.size("w") - 2), lambda i: F.array_join(F.slice("w", i, F.lit(3)), " "))
-        return read(spark, d, table).select(key, w.alias("w")).where(F.size("w") >= 3).select(key, F.explode(F.array_distinct(gram)).alias("g"))
+        return read_texts(spark, d, table).select(key, w.alias("w")).where(F.size("w") >= 3).select(key, F.explode(F.array_distinct(gram)).alias("g"))
 
     both = shingles("documents", "doc_id").join(shingles("benchmark", "item_id"), "g").groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("anchors"))
     return both.where("anchors >= 3").select("doc_id", "item_id", "anchors", F.round(F.least(F.lit(0.95), 0.75 + 0.05 * F.col("anchors")), 6).alias("confidence"))

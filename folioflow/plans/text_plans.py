@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from folioflow.functions import text as X
 from folioflow.operators import windows as W
-from folioflow.registry import query, read
+from folioflow.registry import query, read, read_texts
 
 TOKENS = r"regexp_extract_all(text, '[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]')"
 
@@ -18,7 +18,7 @@ select doc_id, n as n_tokens, k as window_id, k * 384 as start_token, least(k *
 from (select *, unnest(range(0, greatest(cast(ceil((n - 512) / 384.0) as bigint), 0) + 1)) k from t where n > 0)""")
 def token_windows(spark: SparkSession, d: str) -> DataFrame:
     """SEQ-6, TXT-21: windows of 512 tokens every 384, the last one reaching the end."""
-    n = read(spark, d, "documents").select("doc_id", F.size(X.tokens("text")).cast("long").alias("n_tokens"))
+    n = read_texts(spark, d).select("doc_id", F.size(X.tokens("text")).cast("long").alias("n_tokens"))
     return W.sliding_windows(n, "n_tokens", 512, 384)
 
 
@@ -29,7 +29,7 @@ w as (select doc_id, n, scale, size, stride, unnest(range(0, greatest(cast(ceil(
 select doc_id, n as n_tokens, cast(size as bigint) as window_size, row_number() over (partition by doc_id order by scale, k) - 1 as chunk_idx, k * stride as start_token, least(k * stride + size, n) as end_token from w""")
 def multi_scale_windows(spark: SparkSession, d: str) -> DataFrame:
     """SEQ-7: windows at several scales, numbered through."""
-    n = read(spark, d, "documents").select("doc_id", F.size(X.tokens("text")).cast("long").alias("n_tokens"))
+    n = read_texts(spark, d).select("doc_id", F.size(X.tokens("text")).cast("long").alias("n_tokens"))
     return W.multi_scale_windows(n, "doc_id", "n_tokens", [(512, 384), (768, 576), (1024, 768), (2048, 1536)])
 
 
@@ -38,7 +38,7 @@ from (select doc_id, cast(len({TOKENS}) as bigint) n from documents)""")
 def window_count_formula(spark: SparkSession, d: str) -> DataFrame:
     """AGG-26: number of windows from the number of tokens alone."""
     n = F.size(X.tokens("text"))
-    return read(spark, d, "documents").select("doc_id", W.window_count(n, 1024, 768).alias("n_windows"))
+    return read_texts(spark, d).select("doc_id", W.window_count(n, 1024, 768).alias("n_windows"))
 
 
 @query("""select md5(trim(regexp_replace(text, '\\s+', ' ', 'g'))) as key, min(doc_id) as first_doc, count(*) as occurrences, count(distinct source) as sources,
@@ -46,14 +46,14 @@ greatest(1, cast(floor(length(min_by(trim(regexp_replace(text, '\\s+', ' ', 'g')
 def ws_collapse_hash_dedup(spark: SparkSession, d: str) -> DataFrame:
     """AGG-15, TXT-7, TXT-24: texts that differ in white space only, with their first text's token estimate."""
     line = X.collapse_blank("text")
-    docs = read(spark, d, "documents").select(F.md5(line).alias("key"), "doc_id", "source", X.token_estimate(line).alias("estimate"))
+    docs = read_texts(spark, d).select(F.md5(line).alias("key"), "doc_id", "source", X.token_estimate(line).alias("estimate"))
     return docs.groupBy("key").agg(F.min("doc_id").alias("first_doc"), F.count(F.lit(1)).alias("occurrences"), F.countDistinct("source").alias("sources"), F.min_by("estimate", "doc_id").alias("tokens"))
 
 
 @query("select min(doc_id) as doc_id, sha256(text) as digest from documents group by sha256(text)")
 def exact_dedup_keep_first(spark: SparkSession, d: str) -> DataFrame:
     """AGG-16: one document of each SHA-256."""
-    return read(spark, d, "documents").groupBy(F.sha2("text", 256).alias("digest")).agg(F.min("doc_id").alias("doc_id")).select("doc_id", "digest")
+    return read_texts(spark, d).groupBy(F.sha2("text", 256).alias("digest")).agg(F.min("doc_id").alias("doc_id")).select("doc_id", "digest")
 
 
 @query(r"""with f as (select doc_id, unnest(regexp_extract_all(text, '\$[^$\n]+\$')) f from documents)
@@ -61,14 +61,14 @@ select latex, count(*) as n from (select case when regexp_matches(b, '=|\\approx
 when length(b) <= 30 then '[MATH_EXPR_SHORT]' else '[MATH_EXPR_LONG]' end as latex from (select regexp_replace(regexp_replace(f, '^\$+|\$+$', '', 'g'), '^\s+|\s+$', '', 'g') b from f)) group by 1""")
 def latex_class(spark: SparkSession, d: str) -> DataFrame:
     """TXT-19: classes of inline formulas."""
-    f = read(spark, d, "documents").select(F.explode(F.regexp_extract_all("text", F.lit(r"\$[^$\n]+\$"), F.lit(0))).alias("f"))
+    f = read_texts(spark, d).select(F.explode(F.regexp_extract_all("text", F.lit(r"\$[^$\n]+\$"), F.lit(0))).alias("f"))
     return f.groupBy(X.latex_class("f").alias("latex")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(r"select doc_id, case when length(text) <= 800 then text else regexp_replace(substring(text, 1, 800), ' +[^ ]*\z', '') || ' ...' end as short from documents")
 def token_budget_truncate(spark: SparkSession, d: str) -> DataFrame:
     """TXT-12: at most 200 tokens of four characters, cut at a space."""
-    return read(spark, d, "documents").select("doc_id", X.truncate("text", 200).alias("short"))
+    return read_texts(spark, d).select("doc_id", X.truncate("text", 200).alias("short"))
 
 
 VALID = r"""length(b) >= 12 and not regexp_matches(b, '^(?:[A-D]\.|\d+\.)$') and length(regexp_replace(b, '[^\p{L}\p{N}]', '', 'g')) >= 3
@@ -79,7 +79,7 @@ and (len(case when c = '' then [] else string_split(c, ' ') end) >= 3 or (length
 from (select doc_id, generate_subscripts(ls, 1) - 1 as line_no, unnest(ls) as line from (select doc_id, string_split(text, chr(10)) ls from documents)))""")
 def text_validity_filter(spark: SparkSession, d: str) -> DataFrame:
     """TXT-35, FLT-5: lines that make valid chunks."""
-    lines = read(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    lines = read_texts(spark, d).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     return lines.select("doc_id", F.col("line_no").cast("long").alias("line_no"), X.is_valid_chunk("line").alias("valid"))
 
 
@@ -88,7 +88,7 @@ from (select lang, cast(len({TOKENS}) as double) t, cast(len(case when x = '' th
 from (select *, trim(regexp_replace(text, '\s+', ' ', 'g')) x from documents)) group by lang""")
 def tokenizer_fertility(spark: SparkSession, d: str) -> DataFrame:
     """AGG-25: tokens per word, characters and bytes per token, by language."""
-    docs = read(spark, d, "documents").select("lang", F.size(X.tokens("text")).cast("double").alias("t"), F.size(X.split_words("text")).cast("double").alias("w"), F.length("text").cast("double").alias("c"), F.octet_length("text").cast("double").alias("b"))
+    docs = read_texts(spark, d).select("lang", F.size(X.tokens("text")).cast("double").alias("t"), F.size(X.split_words("text")).cast("double").alias("w"), F.length("text").cast("double").alias("c"), F.octet_length("text").cast("double").alias("b"))
     ratio = lambda a, b: F.round(F.try_divide(F.sum(a), F.sum(b)), 6)
     return docs.groupBy("lang").agg(ratio("t", "w").alias("tokens_per_word"), ratio("c", "t").alias("chars_per_token"), ratio("b", "t").alias("bytes_per_token"))
 
@@ -123,7 +123,7 @@ def strip_prohibited_tags(spark: SparkSession, d: str) -> DataFrame:
 def math_inequality_repair(spark: SparkSession, d: str) -> DataFrame:
     """TXT-29: <24> becomes ' < 24'."""
     made = F.concat(F.lit("x <"), "n_chars", F.lit("> y < "), "doc_id", F.lit(" > z"))
-    return read(spark, d, "documents").select("doc_id", X.repair_inequality(made).alias("fixed"))
+    return read_texts(spark, d).select("doc_id", X.repair_inequality(made).alias("fixed"))
 
 
 @query(r"""select conv_id, turn, regexp_replace(regexp_replace(regexp_replace(regexp_replace(x, '(?s)<think>.*?</think>', '', 'g'), '(?s)<think>.*$', '', 'g'), '```[A-Za-z]*\n?', '', 'g'), '^\s+|\s+$', '', 'g') as reply
@@ -192,7 +192,7 @@ from documents, (select item_id, text as b from benchmark) where instr(text, arr
 def anchor_find(spark: SparkSession, d: str) -> DataFrame:
     """TXT-47: where an item begins in a document: by its first 30 characters, else by its first four words."""
     items = read(spark, d, "benchmark").select("item_id", F.col("text").alias("b"), F.array_join(F.slice(F.split("text", " "), 1, 4), " ").alias("head"))
-    return W.anchors(read(spark, d, "documents").select("doc_id", "text"), items)
+    return W.anchors(read_texts(spark, d).select("doc_id", "text"), items)
 
 
 @query(r"""select doc_id, case when length(text) <= 1000 then text else rtrim(substring(text, 1, h)) || '[' || (t - h) || ']' || ltrim(substring(text, t + 1)) end as sampled, case when length(text) <= 1000 then 0 else t - h end as elided
@@ -203,7 +203,7 @@ def head_tail_sample(spark: SparkSession, d: str) -> DataFrame:
     text, size = F.col("text"), F.length("text")
     hp = F.instr(F.reverse(F.substring(text, 1, 700)), ".")
     tp = F.instr(F.substring(text, size - 299, size), ".")
-    docs = read(spark, d, "documents").withColumn("h", F.when(hp > 0, 700 - hp + 1).otherwise(700)).withColumn("t", F.when(tp > 0, size - 300 + tp).otherwise(size - 300))
+    docs = read_texts(spark, d).withColumn("h", F.when(hp > 0, 700 - hp + 1).otherwise(700)).withColumn("t", F.when(tp > 0, size - 300 + tp).otherwise(size - 300))
     cut = F.concat(F.rtrim(F.expr("substring(text, 1, h)")), F.lit("["), F.col("t") - F.col("h"), F.lit("]"), F.ltrim(F.expr("substring(text, t + 1)")))
     return docs.select("doc_id", F.when(size <= 1000, text).otherwise(cut).alias("sampled"), F.when(size <= 1000, 0).otherwise(F.col("t") - F.col("h")).cast("long").alias("elided"))
 
@@ -214,27 +214,27 @@ def verbatim_equality(spark: SparkSession, d: str) -> DataFrame:
     """TXT-44, TXT-45, FLT-11: equality but for tags and white space, and conflict markers."""
     k = F.col("doc_id") % 3
     other = F.when(k == 0, F.concat(F.lit("<p>"), F.replace("text", F.lit(" "), F.lit("  ")), F.lit("</p>"))).when(k == 1, F.concat("text", F.lit("x"))).otherwise(F.concat("text", F.lit("\n<<<<<<< SEARCH")))
-    return read(spark, d, "documents").select("doc_id", (X.verbatim("text") == X.verbatim(other)).alias("same"), X.has_conflict_markers(other).alias("conflict"))
+    return read_texts(spark, d).select("doc_id", (X.verbatim("text") == X.verbatim(other)).alias("same"), X.has_conflict_markers(other).alias("conflict"))
 
 
 @query("""select doc_id, list_reduce(list_prepend(cast(0 as bigint), list_transform(string_split(head, ''), lambda c: cast(unicode(c) as bigint))), lambda a, c: (a * 31 + c) % 4294967296) as seed from (select doc_id, text head from documents)""")
 def stable_seed_hash(spark: SparkSession, d: str) -> DataFrame:
     """GEN-12: polynomial hash of texts."""
-    return read(spark, d, "documents").select("doc_id", X.stable_seed("text").alias("seed"))
+    return read_texts(spark, d).select("doc_id", X.stable_seed("text").alias("seed"))
 
 
 @query("""select doc_id, cast('0x' || substring(md5('42:' || doc_id), 1, 8) as bigint) / 4294967295.0 < 0.1 as dev from documents""")
 def hash_dev_split(spark: SparkSession, d: str) -> DataFrame:
     """GEN-22: document-level split; parts and augmented twins follow their document."""
     name = F.concat(F.col("doc_id").cast("string"), F.when(F.col("doc_id") % 2 == 0, "::chunk_1").otherwise("_aug"))
-    return read(spark, d, "documents").select("doc_id", X.is_dev(name, 0.1).alias("dev"))
+    return read_texts(spark, d).select("doc_id", X.is_dev(name, 0.1).alias("dev"))
 
 
 @query("select doc_id, translate(text, 'àâáäãåçèéêëìíîïñòóôöõùúûüÿÀÂÁÄÇÈÉÊËÌÍÎÏÑÒÓÔÖÙÚÛÜ', 'aaaaaaceeeeiiiinooooouuuuyAAAACEEEEIIIINOOOOUUUU') as plain from documents where lang <> 'en'")
 def tone_strip_translate(spark: SparkSession, d: str) -> DataFrame:
     """GEN-4: letters without their marks."""
     accents = "àâáäãåçèéêëìíîïñòóôöõùúûüÿÀÂÁÄÇÈÉÊËÌÍÎÏÑÒÓÔÖÙÚÛÜ", "aaaaaaceeeeiiiinooooouuuuyAAAACEEEEIIIINOOOOUUUU"
-    return read(spark, d, "documents").where("lang <> 'en'").select("doc_id", F.translate("text", *accents).alias("plain"))
+    return read_texts(spark, d).where("lang <> 'en'").select("doc_id", F.translate("text", *accents).alias("plain"))
 
 
 @query(r"""select doc_id, array_to_string(list_transform(tok, lambda t: t || chr(9) || case when regexp_matches(t, '^\d+$') then 'B-number' when regexp_matches(t, '^\p{Lu}') then 'B-name' else 'O' end), chr(10)) as conll
@@ -242,7 +242,7 @@ from (select doc_id, regexp_extract_all(text, '[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]')
 def conll_export(spark: SparkSession, d: str) -> DataFrame:
     """SNK-4: token and tag lines."""
     tag = lambda t: F.when(t.rlike(r"^\d+$"), "B-number").when(t.rlike(r"^\p{Lu}"), "B-name").otherwise("O")
-    return read(spark, d, "documents").select("doc_id", F.array_join(F.transform(X.tokens("text"), lambda t: F.concat(t, F.lit("\t"), tag(t))), "\n").alias("conll"))
+    return read_texts(spark, d).select("doc_id", F.array_join(F.transform(X.tokens("text"), lambda t: F.concat(t, F.lit("\t"), tag(t))), "\n").alias("conll"))
 
 
 @query("""select p_partkey, list_distinct(list_filter([try_cast(case when regexp_matches(l, '^\\d+$') then l end as integer), case when regexp_matches(l, '^[A-Z]$') then ascii(l) - 64 end, case when list_position(['I','II','III','IV','V','VI','VII','VIII','IX','X'], l) > 0 then list_position(['I','II','III','IV','V','VI','VII','VIII','IX','X'], l) end], lambda x: x is not null)).list_sort() as readings
@@ -260,7 +260,7 @@ def span_trim(spark: SparkSession, d: str) -> DataFrame:
     """TXT-28: spans without outer white space; null if nothing is left."""
     x = F.expr("substring(text, cast(doc_id % 50 + 1 as int), 40)")
     lead, end = F.length(x) - F.length(F.regexp_replace(x, r"^\s+", "")), F.length(F.regexp_replace(x, r"\s+$", ""))
-    return read(spark, d, "documents").select("doc_id", lead.cast("long").alias("lead_blank"), (F.length(x) - end).cast("long").alias("tail_blank"), F.when(end > lead, X.strip_blank(x)).alias("trimmed"))
+    return read_texts(spark, d).select("doc_id", lead.cast("long").alias("lead_blank"), (F.length(x) - end).cast("long").alias("tail_blank"), F.when(end > lead, X.strip_blank(x)).alias("trimmed"))
 
 
 @query(r"""select doc_id, array_to_string(list_transform(ls, lambda l, i: case when strip then substring(l, 4) else l end), '|') as options from (select doc_id, ls, list_bool_and(list_transform(ls, lambda l, i: starts_with(l, chr(cast(64 + i as integer)) || '. '))) as strip
@@ -270,7 +270,7 @@ def option_prefix_clean(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("doc_id") % 3
     a, b = F.concat(F.lit("A. "), "lang"), F.concat(F.lit("B. "), "source")
     made = F.when(k == 0, F.array(a, b, F.lit("C. x"))).when(k == 1, F.array(a, F.col("source"), F.lit("C. x"))).otherwise(F.array("lang", "source"))
-    docs = read(spark, d, "documents").select("doc_id", made.alias("o"))
+    docs = read_texts(spark, d).select("doc_id", made.alias("o"))
     lettered = F.transform("o", lambda o, i: o.startswith(F.concat(F.chr(i + 65), F.lit(". "))))
     return docs.select("doc_id", F.array_join(F.when(F.forall(lettered, lambda x: x), F.transform("o", lambda o: F.substr(o, F.lit(4)))).otherwise(F.col("o")), "|").alias("options"))
 

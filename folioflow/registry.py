@@ -27,5 +27,13 @@ def query(sql: str | None = None, name: str | None = None) -> Callable[[Query],
     return add
 
 
+def read_texts(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
+    """A table for work that is heavy for each row: dealt out anew if its files have fewer splits than there are cores.
+
+    Large tables have enough splits and are read as they are, without a shuffle."""
+    df, cores = read(spark, sf_dir, table), spark.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
