@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from folioflow.functions import text as X
+from folioflow.operators import batches as B
 from folioflow.operators import pages as P
 from folioflow.operators import relational as R
 from folioflow.registry import query, read, read_texts
@@ -67,11 +68,9 @@ f as (select source, block, doc_id, r, 100 + w total, cast(0 as bigint) batch fr
 select t.source, t.block, t.doc_id, t.r, case when f.total + t.w > 4000 then 100 + t.w else f.total + t.w end, f.batch + case when f.total + t.w > 4000 then 1 else 0 end from f join t on t.source = f.source and t.block = f.block and t.r = f.r + 1)
 select source, block, batch, count(*) as docs, cast(max(total) as bigint) as tokens from f group by source, block, batch""")
 def batch_pack_documents(spark: SparkSession, d: str) -> DataFrame:
-    """SEQ-4: next-fit batches of 4000 tokens with an overhead of 100, by source, in blocks of ids, so that a large source is many groups."""
-    docs = read(spark, d, "documents").select("source", F.floor(F.col("doc_id") / 4096).alias("block"), "doc_id", F.floor(F.col("n_chars") / 4).cast("long").alias("w"))
-    groups = docs.groupBy("source", "block").agg(F.array_sort(F.collect_list(F.struct("doc_id", "w"))).alias("p"))
-    rows = groups.withColumn("b", P.next_fit(F.transform("p", lambda p: p["w"]), 4000, 100)).select("source", "block", F.explode(F.arrays_zip("p", "b")).alias("x"))
-    return rows.groupBy("source", "block", F.col("x.b").alias("batch")).agg(F.count(F.lit(1)).alias("docs"), (F.sum("x.p.w") + 100).alias("tokens"))
+    """SEQ-4: next-fit batches of 4000 tokens with an overhead of 100 over all documents of a source; block is where the first id of the batch lies, and cuts nothing."""
+    found = B.next_fit(read(spark, d, "documents"), "source", "doc_id", F.floor(F.col("n_chars") / 4), 4000, 100)
+    return found.select("source", F.floor(F.col("first") / 4096).alias("block"), "batch", "docs", "tokens")
 
 
 @query("""with p as (select conv_id, turn, text, turn // 3 as chunk from conversations), o as (select *, coalesce(sum(length(text) + 2) over (partition by conv_id, chunk order by turn rows between unbounded preceding and 1 preceding), 0) ls from p)
