@@ -66,18 +66,19 @@ def balance(df: DataFrame, text: str) -> DataFrame:
     return per_text(df, text, "unclosed int, unexpected int, mismatched int, truncated int, score int, mended boolean", one)
 
 
-def merge(df: DataFrame, doc: str, order: str, source: str, chunk: str) -> DataFrame:
-    """One tagged document of the tagged chunks of each doc: doc, tagged, level, n_spans.
+def merge(df: DataFrame, doc: str, order: str, raw: str, chunk: str) -> DataFrame:
+    """One tagged document of the overlapping raw chunks of each doc and their tagged forms: doc, tagged, level, n_spans.
 
     The chunks of a document come together in an aggregation; Python then sees batches of documents, not a call for each."""
-    parts = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(chunk).alias("c"))))
-    docs = df.groupBy(doc).agg(F.min_by(source, order).alias("source"), F.transform(parts, lambda p: p["c"]).alias("chunks"))
+    empty = lambda c: F.coalesce(F.col(c), F.lit(""))
+    parts = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), empty(raw).alias("r"), empty(chunk).alias("c"))))
+    docs = df.groupBy(doc).agg(parts.alias("p")).select(doc, F.transform("p", lambda p: p["r"]).alias("raws"), F.transform("p", lambda p: p["c"]).alias("chunks"))
     schema = StructType([docs.schema[doc], *StructType.fromDDL("tagged string, level string, n_spans int")])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            made = [S.merge_chunks(text or "", list(chunks)) for text, chunks in zip(batch["source"], batch["chunks"], strict=True)]
-            yield pd.DataFrame({doc: batch[doc], "tagged": [m[0] for m in made], "level": [m[2] for m in made], "n_spans": [len(m[1]) for m in made]})
+            made = [S.merge_raw(list(raws), list(chunks)) for raws, chunks in zip(batch["raws"], batch["chunks"], strict=True)]
+            yield pd.DataFrame({doc: batch[doc], "tagged": [m[1] for m in made], "level": [m[3] for m in made], "n_spans": [len(m[2]) for m in made]})
 
     return docs.mapInPandas(run, schema)
 

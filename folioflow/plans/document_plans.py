@@ -32,11 +32,12 @@ def det_parse(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def merge_chunks(spark: SparkSession, d: str) -> DataFrame:
-    """SEQ-12, SEQ-17 to SEQ-24: overlapping tagged chunks to one tagged document."""
-    docs = read_texts(spark, d).select("doc_id", F.col("text").alias("source"), F.floor(F.length("text") * 0.4).cast("int").alias("a"), F.floor(F.length("text") * 0.6).cast("int").alias("b"))
-    first = docs.select("doc_id", F.lit(0).alias("i"), "source", F.concat(F.lit("<stem>"), F.substr("source", F.lit(1), F.col("b")), F.lit("</stem>")).alias("chunk"))
-    second = docs.select("doc_id", F.lit(1).alias("i"), "source", F.concat(F.substr("source", F.col("a") + 1, F.col("b") - F.col("a")), F.lit("<option_text>"), F.substr("source", F.col("b") + 1), F.lit("</option_text>")).alias("chunk"))
-    return D.merge(first.unionAll(second), "doc_id", "i", "source", "chunk")
+    """SEQ-12, SEQ-17 to SEQ-24: overlapping raw chunks and their tagged forms to one tagged document."""
+    docs = read_texts(spark, d).select("doc_id", F.coalesce("text", F.lit("")).alias("x"), F.floor(F.length("text") * 0.4).cast("int").alias("a"), F.floor(F.length("text") * 0.6).cast("int").alias("b"))
+    head, both, tail = F.substr("x", F.lit(1), F.col("b")), F.substr("x", F.col("a") + 1, F.col("b") - F.col("a")), F.substr("x", F.col("b") + 1)
+    first = docs.select("doc_id", F.lit(0).alias("i"), head.alias("raw"), F.concat(F.lit("<stem>"), head, F.lit("</stem>")).alias("chunk"))
+    second = docs.select("doc_id", F.lit(1).alias("i"), F.concat(both, tail).alias("raw"), F.concat(both, F.lit("<option_text>"), tail, F.lit("</option_text>")).alias("chunk"))
+    return D.merge(first.unionAll(second), "doc_id", "i", "raw", "chunk")
 
 
 @query()
