@@ -242,7 +242,8 @@ def latex_valid(formula: str) -> bool:
 
 
 def apply_patches(text: str, reply: str) -> tuple[str, list[str]]:
-    """Apply SEARCH/REPLACE blocks of a reply: exact, else by trimmed lines.  What occurs more than once or never is refused."""
+    """Apply SEARCH/REPLACE blocks of a reply: exact, else by trimmed lines, else by tokens with any white space
+    between them (blocks of up to 2500 characters and 300 tokens).  What occurs more than once or never is refused."""
     block = re.compile(r"<{5,9} ?SEARCH\n(.*?)\n?={5,9}\n(.*?)\n?>{5,9} ?REPLACE", re.S)
     refused: list[str] = []
     places: list[tuple[int, int, str]] = []
@@ -258,6 +259,10 @@ def apply_patches(text: str, reply: str) -> tuple[str, list[str]]:
             continue
         lines = [re.escape(x.strip()) for x in old.splitlines() if x.strip()]
         loose = list(re.finditer(r"[ \t]*" + r"[ \t]*\n\s*".join(lines) + r"[ \t]*", text)) if lines else []
+        if not loose and len(old) <= 2500:
+            # the tokens with any white space between them
+            tokens = re.findall(r"\w+|[^\w\s]", old)
+            loose = list(re.finditer(r"\s*".join(map(re.escape, tokens)), text)) if 0 < len(tokens) <= 300 else []
         if len(loose) == 1:
             places.append((loose[0].start(), loose[0].end(), new))
         else:
