@@ -391,15 +391,16 @@ def build_source(raws: list[str]) -> tuple[str, list[list[tuple[int, int, int, i
     """The source of overlapping raw chunks, the stretches (start and end in the chunk, and in the source) of each, and how many characters differ where chunks overlap.
 
     A chunk reuses the places of what it shares with the one before; every other character is appended."""
-    source, size, maps, differ = [], 0, [], 0
-    prev, prev_at = "", []
+    source, maps, differ = "", [], 0
+    prev, prev_at = "", np.empty(0, dtype=np.int64)
+    spread = lambda lo, hi, n: lo + np.minimum(hi - lo - 1, np.arange(n) * (hi - lo) // max(n, 1))
     for n, raw in enumerate(raws):
-        clean, keep = strip_markup(raw)
-        at = [-1] * len(clean)
+        clean, kept = strip_markup(raw)
+        keep, at = np.array(kept, dtype=np.int64), np.full(len(clean), -1, dtype=np.int64)
         found = overlap(prev, clean) if n else None
         if found:
             a, b, c, d = found
-            at[c:d] = [prev_at[a + min(b - a - 1, k * (b - a) // (d - c))] for k in range(d - c)]
+            at[c:d] = prev_at[spread(a, b, d - c)]
             lead = clean[:c]
             again = prev.rfind(lead) if lead.strip() else -1
             if again >= 0:
@@ -408,25 +409,18 @@ def build_source(raws: list[str]) -> tuple[str, list[list[tuple[int, int, int, i
                 known, where = normalise_map(prev)
                 again = known.rfind(plain)
                 if again >= 0:
-                    lo, hi = where[again], where[again + len(plain) - 1] + 1
-                    at[:c] = [prev_at[lo + min(hi - lo - 1, k * (hi - lo) // c)] for k in range(c)]
-        for k, c in enumerate(clean):
-            if at[k] < 0:
-                at[k] = size
-                source.append(c)
-                size += 1
-            elif source[at[k]] != c and not (c.isspace() and source[at[k]].isspace()):
-                differ += 1
-        runs, k = [], 0
-        while k < len(clean):
-            e = k + 1
-            while e < len(clean) and keep[e] == keep[e - 1] + 1 and at[e] == at[e - 1] + 1:
-                e += 1
-            runs.append((keep[k], keep[e - 1] + 1, at[k], at[e - 1] + 1))
-            k = e
+                    at[:c] = prev_at[spread(where[again], where[again + len(plain) - 1] + 1, c)]
+        new = np.flatnonzero(at < 0)
+        at[new] = len(source) + np.arange(len(new))
+        source += clean if len(new) == len(clean) else "".join([clean[k] for k in new.tolist()])
+        cuts = [0, *(np.flatnonzero((np.diff(at) != 1) | (np.diff(keep) != 1)) + 1).tolist(), len(clean)] if clean else []
+        runs = [(int(keep[k]), int(keep[e - 1]) + 1, int(at[k]), int(at[e - 1]) + 1) for k, e in zip(cuts, cuts[1:])]
+        for (k, e), (_, _, p, q) in zip(zip(cuts, cuts[1:]), runs):
+            if source[p:q] != clean[k:e]:
+                differ += sum(x != y and not (x.isspace() and y.isspace()) for x, y in zip(source[p:q], clean[k:e]))
         maps.append(runs)
         prev, prev_at = clean, at
-    return "".join(source), maps, differ
+    return source, maps, differ
 
 
 def text_map(text: str, raw: str) -> tuple[list[int], str]:
