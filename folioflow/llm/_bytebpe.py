@@ -2,7 +2,9 @@
 
 The file is one of the tokenizers library.  Where its merges are ranked as its ids are, tiktoken's
 merger gives the same ids several times faster; it is used for texts of characters below U+0250, whose
-classes are the same in both libraries' regular expressions, and the tokenizers library for all others.
+classes are the same in both libraries' regular expressions, without the strings of added tokens (as
+<|endoftext|>), which the tokenizers library finds first.  That library encodes all others, as it is by default:
+the string of an added token in a text is that token.
 """
 
 from __future__ import annotations
@@ -28,16 +30,18 @@ def _byte_letters() -> dict[str, int]:
 
 class ByteBPE:
     def __init__(self, path: str):
-        self.path, self.fast, self.whole = path, None, None
+        self.path, self.fast, self.whole, self.added = path, None, None, None
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model, letters = spec["model"], _byte_letters()
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         ranked = all(model["vocab"].get(a + b) == 256 + i for i, (a, b) in enumerate(merges))
+        own = {t["content"] for t in spec.get("added_tokens", ())}
+        if own:
+            self.added = re.compile("|".join(map(re.escape, sorted(own))))
         if ranked and spec.get("normalizer") is None and model.get("dropout") is None:
             import tiktoken
 
-            own = {t["content"] for t in spec.get("added_tokens", ())}
             ranks = {bytes(letters[c] for c in t): i for t, i in model["vocab"].items() if t not in own}
             self.fast = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
@@ -46,12 +50,11 @@ class ByteBPE:
             from tokenizers import Tokenizer
 
             self.whole = Tokenizer.from_file(self.path)
-            self.whole.encode_special_tokens = True
         return self.whole
 
     def encode(self, text: str) -> np.ndarray:
         """The text's ids, without special tokens."""
-        if self.fast is not None and not _OTHER.search(text) and not (len(text) >= 1000 and _LONG_SPACE.search(text)):
+        if self.fast is not None and not (self.added and self.added.search(text)) and not _OTHER.search(text) and not (len(text) >= 1000 and _LONG_SPACE.search(text)):
             return np.array(self.fast.encode_ordinary(text), dtype="<u4")
         return np.array(self.library().encode(text, add_special_tokens=False).ids, dtype="<u4")
 

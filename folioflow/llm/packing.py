@@ -2,8 +2,10 @@
 
 Only lengths go to the planner, as a histogram of at most `capacity` numbers.  It rounds large lengths up
 within groups of equal cardinality, finds the best configurations of the few sizes (a linear programme by
-column generation), rounds their multiplicities down, substitutes the actual lengths, and puts what is
-left, longest first, where it fits best.  It does so with several bounds of what is large and keeps the
+column generation), rounds their multiplicities down and substitutes actual lengths: the longest that is left
+of each group, and in the last slot of a configuration the longest large one that fits, so that little of what
+was rounded up is lost.  What is left, longest first, and then the small lengths go where they fit best.  The
+planner does so with a few bounds of what is large and numbers of groups, and keeps the
 plan with the fewest sequences.  The plan is a table of runs: the documents of one length with
 ranks lo..hi go to consecutive sequences.  Its size depends on the capacity and the number of groups, not
 on the number of documents.  Each document finds its place by its length and its rank among those of that
@@ -30,9 +32,8 @@ from ._shared import table
 from ._text import spread
 
 CAPACITY = 2048
-#: Longer pieces than this share of the capacity are large; each is tried.
-LARGE = (1 / 2, 1 / 4, 1 / 8)
-GROUPS = 64
+#: Longer pieces than this share of the capacity are large, in so many groups; each is tried.
+SCHEMES = ((1 / 4, 64), (1 / 4, 32), (1 / 8, 16))
 
 
 def pieces(docs: DataFrame, tokenizer: str, *, capacity: int = CAPACITY, end: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -63,24 +64,30 @@ def configurations(sizes: np.ndarray, demand: np.ndarray, capacity: int, rounds:
     sum of multiplicities: the linear programme, by column generation with a knapsack for each new column."""
     m = len(sizes)
     basis = np.diag((capacity // sizes).astype(float))
+    room = np.arange(capacity + 1)
+    fits = room[:, None] >= sizes[None, :]
+    rest = np.where(fits, room[:, None] - sizes[None, :], 0)
     for _ in range(rounds):
-        x = np.linalg.solve(basis, demand)
         price = np.linalg.solve(basis.T, np.ones(m))
-        value, last = np.zeros(capacity + 1), np.full(capacity + 1, -1)
-        for c in range(1, capacity + 1):
-            fit = np.where(sizes <= c, value[np.maximum(c - sizes, 0)] + price, -1.0)
-            i = int(fit.argmax())
-            value[c], last[c] = (fit[i], i) if fit[i] > value[c - 1] + 1e-12 else (value[c - 1], -1)
-        if value[capacity] <= 1 + 1e-7:
+        # value[c]: the most that one, two, ... pieces within c are worth; picks: the piece added last
+        gain, value, picks = np.where(fits, np.maximum(price, 0), -np.inf), np.zeros(capacity + 1), []
+        for _ in range(capacity // int(sizes.min())):
+            more = value[rest] + gain
+            best = more.argmax(axis=1)
+            more = more[room, best]
+            better = more > value + 1e-12
+            if not better.any():
+                break
+            picks.append(np.where(better, best, -1))
+            value = np.where(better, more, value)
+        if value[capacity] <= 1 + 1e-6:
             break
         column, c = np.zeros(m), capacity
-        while c > 0:
-            if last[c] < 0:
-                c -= 1
-            else:
-                column[last[c]] += 1
-                c -= sizes[last[c]]
-        step = np.linalg.solve(basis, column)
+        for pick in reversed(picks):
+            if pick[c] >= 0:
+                column[pick[c]] += 1
+                c -= sizes[pick[c]]
+        x, step = np.linalg.solve(basis, demand), np.linalg.solve(basis, column)
         ratio = np.where(step > 1e-9, np.maximum(x, 0) / np.maximum(step, 1e-9), np.inf)
         if not np.isfinite(ratio).any():
             break
@@ -90,26 +97,33 @@ def configurations(sizes: np.ndarray, demand: np.ndarray, capacity: int, rounds:
 
 
 class Planner:
-    """Places runs of equal lengths into runs of sequences that are filled alike."""
+    """Places runs of equal lengths into runs of sequences that are filled alike.
+
+    left and rank: by length, how many pieces have no place yet, and how many have one."""
 
-    def __init__(self, capacity: int):
+    def __init__(self, histogram: np.ndarray, capacity: int):
         self.capacity, self.sequences = capacity, 0
+        self.left, self.rank = histogram.astype(np.int64), np.zeros(capacity + 1, dtype=np.int64)
         self.open: dict[int, list[tuple[int, int]]] = {}  # by room: (first sequence, number of them)
         self.rooms = np.zeros(capacity + 1, dtype=bool)
         self.runs: list[tuple[int, int, int, int, int, int]] = []  # length, rank from, rank to, number in a sequence, first sequence, offset
+        self.carried: dict[int, int] = {}  # large pieces placed by configurations of so many pieces
 
     def add(self, room: int, first: int, n: int) -> None:
         if n and room:
             self.open.setdefault(room, []).append((first, n))
             self.rooms[room] = True
 
-    def put(self, length: int, rank: int, each: int, first: int, n: int, room: int) -> None:
-        """each pieces of one length from a rank on into each of n sequences with so much room."""
+    def put(self, length: int, each: int, first: int, n: int, room: int) -> None:
+        """each pieces of one length into each of n sequences with so much room."""
+        rank = int(self.rank[length])
         self.runs.append((length, rank, rank + each * n, each, first, self.capacity - room))
+        self.rank[length] += each * n
+        self.left[length] -= each * n
 
-    def best_fit(self, length: int, rank: int, n: int) -> None:
-        """n pieces of a length, from a rank on.  A sequence that took one is the tightest for the next, so it is filled first."""
-        while n:
+    def best_fit(self, length: int) -> None:
+        """All pieces of a length.  A sequence that took one is the tightest for the next, so it is filled first."""
+        while n := int(self.left[length]):
             fits = np.flatnonzero(self.rooms[length:])
             if fits.size:
                 room = length + int(fits[0])
@@ -123,83 +137,65 @@ class Planner:
                 first, self.sequences = self.sequences, self.sequences + many
             each = min(room // length, n)
             used = min(many, n // each)
-            self.put(length, rank, each, first, used, room)
+            self.put(length, each, first, used, room)
             self.add(room - each * length, first, used)
             self.add(room, first + used, many - used)
-            rank, n = rank + each * used, n - each * used
-
 
-def plan(histogram: np.ndarray, *, capacity: int = CAPACITY, large: tuple[float, ...] = LARGE, groups: int = GROUPS) -> np.ndarray:
+    def _choose(self, slots: list[tuple[int, int]], large: int) -> dict[int, int] | None:
+        """Lengths for the slots of one sequence: the longest that is left of each group, and for the last slot the longest of all that fits."""
+        room, chosen = self.capacity, {}
+        for i, (low, top) in enumerate(slots):
+            if i == len(slots) - 1:
+                low, top = large, min(room, self.capacity - 1)
+            some = np.flatnonzero(self.left[low + 1 : top + 1])[::-1] + low + 1
+            length = next((int(x) for x in some if self.left[x] > chosen.get(int(x), 0)), None)
+            if length is None:
+                return None
+            chosen[length] = chosen.get(length, 0) + 1
+            room -= length
+        return chosen
+
+    def fill(self, slots: list[tuple[int, int]], times: int, large: int) -> None:
+        """Substitute actual pieces in a configuration, so many times at most.  slots: bounds of the groups (low, top], longest first."""
+        while times > 0 and (chosen := self._choose(slots, large)):
+            many = min(times, *(int(self.left[x]) // each for x, each in chosen.items()))
+            first, room = self.sequences, self.capacity
+            self.sequences += many
+            for length, each in sorted(chosen.items(), reverse=True):
+                self.put(length, each, first, many, room)
+                room -= each * length
+            self.add(room, first, many)
+            self.carried[len(slots)] = self.carried.get(len(slots), 0) + many * len(slots)
+            times -= many
+
+
+def plan(histogram: np.ndarray, *, capacity: int = CAPACITY, schemes: tuple[tuple[float, int], ...] = SCHEMES) -> np.ndarray:
     """Runs (length, rank from, rank to, number in a sequence, first sequence, offset) for histogram[length] pieces of each length.
 
-    large: shares of the capacity above which a length counts as large; the best plan stays.  groups: the number of
-    groups of equal cardinality, which are the sizes of the configurations."""
-    found = min((_grouped(histogram, capacity, share, groups) for share in large), key=lambda p: p.sequences)
+    schemes: pairs of the share of the capacity above which a length counts as large, and the number of groups of
+    equal cardinality; of the plans that linear grouping makes with them, the one with the fewest sequences stays."""
+    found = min((grouped(histogram, capacity, share, groups) for share, groups in schemes), key=lambda p: p.sequences)
     return np.array(sorted(found.runs), dtype=np.int64).reshape(-1, 6)
 
 
-def _grouped(histogram: np.ndarray, capacity: int, large: float, groups: int) -> Planner:
-    """The plan with one bound of what is large."""
-    out, n = Planner(capacity), histogram.astype(np.int64)
-    if n[capacity]:
-        out.put(capacity, 0, 1, 0, int(n[capacity]), capacity)
-        out.sequences = int(n[capacity])
-    lengths = np.arange(capacity - 1, int(capacity * large), -1)
-    lengths = lengths[n[lengths] > 0]
-    total = int(n[lengths].sum())
-    if total >= groups:
-        ends = np.cumsum(n[lengths])
-        cuts = [total * g // groups for g in range(groups + 1)]
-        # a group's size is its largest length; groups of the same size are one
-        tops = [int(lengths[np.searchsorted(ends, lo, side="right")]) for lo in cuts[:-1]]
-        members: dict[int, int] = {}
-        for size, lo, hi in zip(tops, cuts, cuts[1:]):
-            members[size] = members.get(size, 0) + hi - lo
-        sizes = np.array(sorted(members, reverse=True))
-        demand = np.array([members[s] for s in sizes], dtype=float)
-        # what is still to be taken of each group: runs of (length, rank from, rank to), longest first
-        queues: list[list[list[int]]] = [[] for _ in sizes]
-        at, left, rank = 0, int(n[lengths[0]]), 0
-        for g, size in enumerate(sizes):
-            need = members[int(size)]
-            while need:
-                take = min(need, left)
-                queues[g].append([int(lengths[at]), rank, rank + take])
-                need, left, rank = need - take, left - take, rank + take
-                if not left and at + 1 < len(lengths):
-                    at, rank = at + 1, 0
-                    left = int(n[lengths[at]])
-        for config, times in configurations(sizes, demand, capacity):
-            slots = [g for g in np.flatnonzero(config) for _ in range(config[g])]
-            room = min(sum(hi - lo for _, lo, hi in queues[g]) // config[g] for g in set(slots))
-            times = min(int(times + 1e-6), room)
-            if times <= 0:
-                continue
-            filled = [(out.sequences, times, capacity)]  # runs of these sequences, and their room
-            out.sequences += times
-            for g in slots:
-                following = []
-                for first, many, room in filled:
-                    while many:
-                        length, lo, hi = queues[g][0]
-                        take = min(many, hi - lo)
-                        out.put(length, lo, 1, first, take, room)
-                        following.append((first, take, room - length))
-                        first, many = first + take, many - take
-                        queues[g][0][1] += take
-                        if lo + take == hi:
-                            queues[g].pop(0)
-                filled = following
-            for first, many, room in filled:
-                out.add(room, first, many)
-        rest = sorted((tuple(r) for q in queues for r in q), reverse=True)
-    else:
-        rest = [(int(k), 0, int(n[k])) for k in lengths]
-    for length, lo, hi in rest:
-        out.best_fit(length, lo, hi - lo)
-    for length in range(min(int(capacity * large), capacity - 1), 0, -1):
-        if n[length]:
-            out.best_fit(length, 0, int(n[length]))
+def grouped(histogram: np.ndarray, capacity: int, share: float, groups: int) -> Planner:
+    """The plan of linear grouping with one bound of what is large and one number of groups."""
+    out, large = Planner(histogram, capacity), int(capacity * share)
+    if n := int(out.left[capacity]):
+        out.put(capacity, 1, 0, n, capacity)
+        out.sequences = n
+    lengths = np.flatnonzero(out.left[large + 1 : capacity])[::-1] + large + 1
+    if lengths.size:
+        counts = out.left[lengths]
+        # all pieces of one length are in the group of the first of them
+        group = (np.cumsum(counts) - counts) * groups // int(counts.sum())
+        starts = np.flatnonzero(np.diff(group, prepend=-1))
+        tops, demand = lengths[starts], np.add.reduceat(counts, starts)
+        lows = np.append(tops[1:], large)
+        for config, times in sorted(configurations(tops, demand.astype(float), capacity), key=lambda x: -x[1]):
+            out.fill([(int(lows[g]), int(tops[g])) for g in np.flatnonzero(config) for _ in range(config[g])], int(times + 1e-6), large)
+    for length in range(capacity - 1, 0, -1):
+        out.best_fit(length)
     return out
 
 

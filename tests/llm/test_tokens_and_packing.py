@@ -7,10 +7,12 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from folioflow.llm import _bytebpe, licenses, packing, sentencepieces
 
@@ -51,6 +53,23 @@ def test_forgetting_changes_nothing(monkeypatch):
     assert [i for _, i in encoder.encode(texts)] == encoder.library.encode(texts)
 
 
+@pytest.fixture(scope="module")
+def plain_library():
+    return Tokenizer.from_file(BPE)
+
+
+@pytest.mark.parametrize("text", ["hello <|endoftext|> there", "<|endoftext|>", "a<|endoftext|><|endoftext|> b", "<|endoftext", "日本<|endoftext|>語 ½", " " * 1500 + "x", "a\x00b\u2028c", "ǅ ß 𝒳"])
+def test_ids_are_those_of_the_library_by_default(plain_library, text):
+    assert _bytebpe.load(BPE).encode(text).tolist() == plain_library.encode(text, add_special_tokens=False).ids
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", *"ab<|>endoftx \n日é"]), max_size=30))
+def test_ids_with_added_tokens_equal_the_library(plain_library, parts):
+    text = "".join(parts)
+    assert _bytebpe.load(BPE).encode(text).tolist() == plain_library.encode(text, add_special_tokens=False).ids
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.text(alphabet=st.characters(min_codepoint=0, max_codepoint=0x24F), max_size=60))
 def test_fast_ids_equal_the_tokenizers_library(text):
@@ -81,10 +100,70 @@ def test_plans_are_whole_and_tight(n):
     rng = np.random.default_rng(n)
     lengths = np.minimum(rng.lognormal(4, 1.2, n).astype(int) + 1, 256)
     histogram = np.bincount(lengths, minlength=257)
-    used = check_plan(histogram, 256, packing.plan(histogram, capacity=256, groups=16))
+    used = check_plan(histogram, 256, packing.plan(histogram, capacity=256, schemes=((1 / 4, 16),)))
     assert used >= lengths.sum() / 256 and used <= lengths.sum() / 256 * 1.05 + 2
 
 
+def plain_best_fit(histogram, capacity):
+    """Sequences of best fit, longest first, piece by piece."""
+    rooms, used = [0] * (capacity + 1), 0
+    for length in range(capacity, 0, -1):
+        for _ in range(histogram[length]):
+            room = next((r for r in range(length, capacity + 1) if rooms[r]), None)
+            if room is None:
+                used, room = used + 1, capacity
+            else:
+                rooms[room] -= 1
+            rooms[room - length] += 1
+    return used
+
+
+def test_linear_grouping_needs_no_more_than_best_fit():
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"])["text"].to_pylist()
+    bpe, histogram = _bytebpe.load(BPE), np.zeros(2049, dtype=np.int64)
+    for t in texts:
+        n = len(bpe.encode(t or "")) + 1
+        histogram[2048] += (n - 1) // 2048
+        histogram[(n - 1) % 2048 + 1] += 1
+    runs, share, groups = packing.plan(histogram), *packing.SCHEMES[0]
+    found = packing.grouped(histogram, 2048, share, groups)
+    assert check_plan(histogram, 2048, runs) == found.sequences <= plain_best_fit(histogram, 2048)
+    large = histogram[int(2048 * share) + 1 : 2048].sum()
+    assert sum(n for size, n in found.carried.items() if size > 1) > large / 2
+    assert sum(found.carried.values()) > 0.75 * large
+
+
+def optimum(lengths, capacity):
+    """The fewest sequences, by search."""
+    best = len(lengths)
+
+    def go(i, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if i == len(lengths):
+            best = len(rooms)
+            return
+        for k, r in enumerate(rooms):
+            if r >= lengths[i] and r not in rooms[:k]:
+                go(i + 1, [*rooms[:k], r - lengths[i], *rooms[k + 1 :]])
+        go(i + 1, [*rooms, capacity - lengths[i]])
+
+    go(0, [])
+    return best
+
+
+def test_tiny_plans_are_near_the_optimum():
+    rng, over = random.Random(9), 0
+    for _ in range(60):
+        lengths = sorted((rng.randint(1, 60) for _ in range(rng.randint(1, 9))), reverse=True)
+        histogram = np.bincount(lengths, minlength=65)
+        used, least = check_plan(histogram, 64, packing.plan(histogram, capacity=64)), optimum(lengths, 64)
+        assert least <= used <= least + 1
+        over += used > least
+    assert over <= 3
+
+
 def test_configurations_cover_the_demand():
     sizes, demand = np.array([60, 45, 30]), np.array([10.0, 20.0, 30.0])
     found = packing.configurations(sizes, demand, 100)
