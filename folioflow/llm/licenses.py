@@ -4,7 +4,7 @@ Words are runs of ASCII letters (lower-cased), digits and multi-byte characters;
 its words joined by single spaces.  A notice of m characters may have k errors; it is cut into k + 1
 pieces, of which at least one must occur unchanged (pigeonhole), so exact hits of the pieces locate all
 candidates.  The regex library's bounded-error matching then verifies the edits around each hit, and
-the operator reports the spans.  Where matches overlap, the one with the fewest errors stays (then the
+the operator reports the spans.  Words that tell licences apart (mit, nc, 2) may have no error.  Where matches overlap, the one with the fewest errors stays (then the
 longest, then the first label).  Phrases that stand word by word are the base places; they are counted
 apart and their labels always stay.
 
@@ -33,21 +33,33 @@ BASE = {
     "cc-by-nc": "cc by nc",
 }
 
-# Notices that are searched with errors: label, words, most errors.
+# Notices that are searched with errors: label, words, most errors.  Words in braces tell licences
+# apart and may have no error; a notice with a fourth value does not count where a word of that pattern follows.
 NOTICES = [
-    ("mit", "released under the mit license", 3),
-    ("mit", "licensed under the mit license", 3),
-    ("mit", "under the mit license", 2),
-    ("apache-2", "apache license version 2", 2),
-    ("cc-by-nc", "licensed under cc by nc", 2),
-    ("cc-by-nd", "licensed under cc by nd", 2),
-    ("cc-by-sa", "licensed under cc by sa", 2),
-    ("gpl", "gnu general public license", 3),
-    ("lgpl", "gnu lesser general public license", 3),
-    ("mpl-2", "mozilla public license version 2", 3),
+    ("mit", "released under the {mit} license", 3),
+    ("mit", "licensed under the {mit} license", 3),
+    ("mit", "under the {mit} license", 2),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy", 6),
+    ("apache-2", "apache license version {2}", 2),
+    ("apache-2", "apache license version {20}", 2),
+    ("cc-by", "licensed under {cc by}", 2, "[a-z]{2}"),
+    ("cc-by-nc", "licensed under {cc by nc}", 2, "[a-z]{2}"),
+    ("cc-by-nd", "licensed under {cc by nd}", 2),
+    ("cc-by-sa", "licensed under {cc by sa}", 2),
+    ("cc-by-nc-nd", "licensed under {cc by nc nd}", 2),
+    ("cc-by-nc-sa", "licensed under {cc by nc sa}", 2),
+    ("cc0", "creative commons {zero} universal", 3),
+    ("gpl", "{gnu} general public license", 3),
+    ("lgpl", "{gnu lesser} general public license", 3),
+    ("agpl", "{gnu affero} general public license", 3),
+    ("mpl-2", "mozilla public license version {2}", 3),
+    ("mpl-2", "mozilla public license version {20}", 3),
+    ("epl", "{eclipse} public license", 2),
+    ("bsd", "under the {bsd} license", 2),
     ("bsd", "redistribution and use in source and binary forms", 4),
-    ("cc0", "creative commons zero universal", 3),
-    ("all-rights-reserved", "all rights reserved", 2),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose", 6),
+    ("unlicense", "free and unencumbered software released into the public domain", 5),
+    ("all-rights-reserved", "all rights {reserved}", 2),
 ]
 
 SPAN = StructType([StructField("label", StringType()), StructField("first_word", LongType()), StructField("last_word", LongType()), StructField("errors", IntegerType()), StructField("text", StringType())])
@@ -60,9 +72,16 @@ _ARROW = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string
 
 @dataclass(frozen=True)
 class Notice:
+    """marked: the words, with those that may have no error in braces.  unless: a pattern of the word that may not follow."""
+
     label: str
-    words: str
+    marked: str
     errors: int
+    unless: str = ""
+
+    @cached_property
+    def words(self) -> str:
+        return self.marked.replace("{", "").replace("}", "")
 
     @cached_property
     def pieces(self) -> list[tuple[int, bytes]]:
@@ -73,7 +92,21 @@ class Notice:
 
     @cached_property
     def pattern(self):
-        return regex.compile(rb"(?be)(?<=[ \n])(?:" + regex.escape(self.words.encode(), special_only=True) + rb"){e<=%d}(?=[ \n])" % self.errors)
+        """The words between the braces as whole words without errors, what is around them with errors."""
+        out = []
+        for i, part in enumerate(regex.split("[{}]", self.marked)):
+            if part:
+                raw = regex.escape(part, special_only=True)
+                out.append(f"(?<=[ \\n]){raw}(?=[ \\n])" if i % 2 else f"(?:{raw}){{e<={self.errors}}}")
+        unless = f"(?! (?:{self.unless})[ \\n])" if self.unless else ""
+        return regex.compile(f"(?be)(?<=[ \\n]){''.join(out)}(?=[ \\n]){unless}".encode())
+
+    def search(self, text: bytes, lo: int, hi: int) -> tuple[int, int, int] | None:
+        """Start, end and errors of the best match that lies in a part of a text."""
+        m = self.pattern.search(text, lo, hi)
+        if m is None or sum(m.fuzzy_counts) > self.errors or b"\n" in m[0]:
+            return None
+        return m.start(), m.end(), sum(m.fuzzy_counts)
 
 
 def normalise(part: T.Part) -> tuple[bytes, np.ndarray, T.Words]:
@@ -110,16 +143,16 @@ def fuzzy(text: bytes, notices: list[Notice]) -> list[tuple[int, int, int, Notic
     found = set()
     hits: dict[bytes, list[int]] = {}
     for notice in notices:
-        size, k = len(notice.words), notice.errors
+        size, k, margin = len(notice.words), notice.errors, 4 if notice.unless else 0  # the word that may not follow, and its end
         windows = set()
         for offset, piece in notice.pieces:
             if piece not in hits:
                 hits[piece] = places(text, piece)
-            windows |= {(max(at - offset - k - 1, 0), at - offset + size + k + 1) for at in hits[piece]}
+            windows |= {(max(at - offset - k - 1, 0), at - offset + size + k + 1 + margin) for at in hits[piece]}
         for lo, hi in windows:
-            m = notice.pattern.search(text, lo, min(hi, len(text)))
-            if m and b"\n" not in m[0]:
-                found.add((m.start(), m.end(), sum(m.fuzzy_counts), notice))
+            m = notice.search(text, lo, min(hi, len(text)))
+            if m:
+                found.add((*m, notice))
     kept: list[tuple[int, int, int, Notice]] = []
     for x in sorted(found, key=lambda x: (x[2], x[0] - x[1], x[3].label, x[0])):
         if all(x[1] <= y[0] or x[0] >= y[1] for y in kept):
@@ -165,7 +198,7 @@ def scan_part(part: T.Part, base: dict[str, str], notices: list[Notice]) -> list
     return out
 
 
-def scan(df: DataFrame, *, text_col: str = "text", base: dict[str, str] | None = None, notices: list[tuple[str, str, int]] | None = None) -> DataFrame:
+def scan(df: DataFrame, *, text_col: str = "text", base: dict[str, str] | None = None, notices: list[tuple] | None = None) -> DataFrame:
     """df with n_words, n_base, first_word, last_word, base_labels, labels, score and spans (label, words, errors, text)."""
     base = BASE if base is None else base
     table = [Notice(*n) for n in (NOTICES if notices is None else notices)]

@@ -225,11 +225,56 @@ def test_licences_equal_brute_force_and_are_fuzzy(spark):
 
 def test_every_notice_within_its_errors_is_found():
     rng = random.Random(6)
-    for label, words, errors in licenses.NOTICES:
-        notice = licenses.Notice(label, words, errors)
+    for values in licenses.NOTICES:
+        notice = licenses.Notice(*values)
+        exact = {i for m in re.finditer(re.escape("{") + "(.*?)}", notice.marked) for i in range(m.start() - notice.marked[: m.start()].count("{") - notice.marked[: m.start()].count("}"), m.end() - 2 - notice.marked[: m.start()].count("{") - notice.marked[: m.start()].count("}"))}
+        free = [i for i in range(1, len(notice.words) - 1) if i not in exact and notice.words[i] != " "]
         for _ in range(20):
-            raw = list(words)
-            for _ in range(errors):
-                raw[rng.randrange(1, len(raw) - 1)] = rng.choice("qzx")
+            raw = list(notice.words)
+            for i in rng.sample(free, min(notice.errors, len(free))):
+                raw[i] = rng.choice("qzx")
             text = ("\n " + "".join(raw) + "\n").encode()
-            assert any(n is notice for *_, n in licenses.fuzzy(text, [notice]))
+            assert any(n is notice for *_, n in licenses.fuzzy(text, [notice])), (text, notice)
+
+
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_fuzzy_matches_equal_brute_force():
+    """A notice without exact words matches a text of one line just where some run of its words is within the errors."""
+    rng, hits = random.Random(12), 0
+    notice = licenses.Notice("x", "all rights kept here", 2)
+    for _ in range(300):
+        words = rng.choices(["all", "rights", "kept", "here", "al", "right", "hers", "q"], k=rng.randint(1, 8))
+        if rng.random() < 0.5:
+            raw = list("all rights kept here")
+            for _ in range(rng.randint(0, 4)):
+                raw[rng.randrange(len(raw))] = rng.choice(["", "a", "rr"])
+            words = words[:3] + "".join(raw).split() + words[3:]
+        best = min(edits(" ".join(words[i:j]), notice.words) for i in range(len(words)) for j in range(i + 1, len(words) + 1))
+        found = licenses.fuzzy(("\n " + " ".join(words) + "\n").encode(), [notice])
+        assert bool(found) == (best <= 2) and (not found or min(e for _, _, e, _ in found) == best)
+        hits += bool(found)
+    assert 50 < hits < 250
+
+
+NEGATIVE = {
+    "licensed under cc by": "cc-by", "Licensed under CC BY 4.0.": "cc-by", "licensed under cc by us": "", "licensed under cc by xx": "", "licensed under cc bx nc": "",
+    "licensed under CC BY-NC 4.0": "cc-by-nc", "licensed under cc by nc sa": "cc-by-nc,cc-by-nc-sa", "licensed under CC BY-ND": "cc-by-nd", "lisensed under CC BY-SA": "cc-by-sa",
+    "released under the BSD license": "bsd", "released under the MPL license": "", "released under the ISC license": "", "released under the kit license": "", "released undr the MIT license": "mit",
+    "Apache License, Version 1.1": "", "Apache Licence, Version 2.0": "apache-2", "Apache License, Version 3": "", "Mozilla Public License Version 1.1": "", "Mozilla Public Licence Version 2.0": "mpl-2",
+    "GNU Affero General Public License": "agpl", "GNU Lesser General Public License": "lgpl", "new general public license": "", "all rights preserved": "", "all right reserved": "all-rights-reserved",
+    "GNU General Public Licence": "gpl", "under the summit license": "",
+}
+
+
+def test_licences_are_told_apart(spark):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(NEGATIVE)], "doc_id long, text string")
+    got = {r.doc_id: r.labels for r in licenses.scan(df).collect()}
+    assert {t: got[i] for i, t in enumerate(NEGATIVE)} == NEGATIVE
