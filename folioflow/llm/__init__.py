@@ -30,4 +30,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL of those that SQL can express."""
-    return {}
+    return {"op5_lattice": lattice.SQL, "op6_minhash": minhash.SQL}

@@ -12,11 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names; where unset (tests), a new local one."""
+    """The folder that spark.checkpoint.dir names.  Where it is unset, a local session gets a new local one; a cluster has none to share."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
         found = spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir names no folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="shared-")
         spark.sparkContext.setCheckpointDir(found)
     return found

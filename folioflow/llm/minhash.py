@@ -1,6 +1,6 @@
 """Near-duplicate documents by MinHash.
 
-A document is the set of its distinct word shingles.  Documents of equal sets are one node.  Many
+A document is the set of its distinct word shingles.  Each distinct set is one node, with a number of its own.  Many
 universal hashes a*x+b give each node a signature of minima, cut into bands; nodes that share a band are
 candidates.  Every bucket is first compared with one hub, the member that meets most others; a large
 group of copies so takes one comparison per member.  Buckets that still hold several components are
@@ -13,7 +13,8 @@ similarity has agreeing minima in fewer than MAYBE of all with a probability und
 
 Defined results: null and empty texts and texts without words have empty sets, link with nothing and
 are their own component; so are rows without an id, whose component is null.  Repeated rows get the same
-result each.  Extra columns are ignored.
+result each; rows of one id with different texts are different documents, each with the links of its own text.
+Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,8 +34,8 @@ from .components import connected_components
 BANDS, ROWS = 48, 6
 HASHES = BANDS * ROWS
 MAYBE = 0.68
-#: Characters of text in a block, when the members of a cluster are compared.
-BLOCK = 4_000_000
+#: Characters of text, and members, of a block when the members of a cluster are compared.
+BLOCK, MEMBERS = 4_000_000, 512
 
 _rng = np.random.default_rng(71)
 _A = _rng.integers(0, 1 << 32, HASHES, dtype=np.uint32) | np.uint32(1)
@@ -56,10 +57,10 @@ def shingle_sets(part: T.Part, words: int) -> list[np.ndarray]:
         if hi - lo >= words:
             out.append(np.unique(windows[lo : hi - words + 1]))
         elif hi > lo:
-            whole = np.uint64(hi - lo)
+            whole = np.full(1, hi - lo, dtype=np.uint64)
             for x in h[lo:hi]:
-                whole = T.mix64(np.array([whole ^ x]))[0] * np.uint64(3)
-            out.append(np.array([whole], dtype=np.uint64))
+                whole = T.mix64(whole ^ x) * np.uint64(3)
+            out.append(whole)
         else:
             out.append(np.zeros(0, dtype=np.uint64))
     return out
@@ -80,14 +81,14 @@ def band_keys(minima: np.ndarray) -> np.ndarray:
 
 
 def sketch(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n_shingles, set_id (16 bytes, null for an empty set), bands, and the lowest byte of each minimum.
+    """doc_id, text_key, n_shingles, set_id (16 bytes, null for an empty set), bands, and the lowest byte of each minimum.
 
-    docs: doc_id, text."""
+    docs: doc_id, text_key, text."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, ids, bands, low = [], [], [], []
-            for part in T.parts(batch.column(1)):
+            for part in T.parts(batch.column(2)):
                 for s in shingle_sets(part, words):
                     sizes.append(s.size)
                     if s.size:
@@ -99,9 +100,9 @@ def sketch(docs: DataFrame, words: int) -> DataFrame:
                         ids.append(None)
                         bands.append(None)
                         low.append(None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(low, pa.binary())], names=["doc_id", "n_shingles", "set_id", "bands", "low"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(low, pa.binary())], names=["doc_id", "text_key", "n_shingles", "set_id", "bands", "low"])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, set_id binary, bands array<long>, low binary")
+    return docs.mapInArrow(run, "doc_id long, text_key long, n_shingles long, set_id binary, bands array<long>, low binary")
 
 
 def _confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -137,8 +138,8 @@ def _links_across(members: DataFrame, words: int, percent: int) -> DataFrame:
     Clusters are cut into blocks of bounded size, and each pair of blocks is compared in one place: first the
     signatures, then, of pairs that may be similar, the full sets.  Of links between the same two
     components one is enough, so at most one row comes out for each member."""
-    sizes = members.groupBy("cluster").agg(F.sum(F.length("text") + 1000).alias("size"))
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("size") / BLOCK)).cast("int")
+    sizes = members.groupBy("cluster").agg(F.sum(F.length("text")).alias("size"), F.count(F.lit(1)).alias("members"))
+    blocks = F.ceil(F.greatest(F.lit(1), F.col("size") / BLOCK, F.col("members") / MEMBERS)).cast("int")
     dealt = members.join(sizes, "cluster").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "component", "low", "text")
@@ -200,14 +201,16 @@ def _links_across(members: DataFrame, words: int, percent: int) -> DataFrame:
     return dealt.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j").mapInArrow(run, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """For each row of docs: doc_id, n_shingles, component_id (smallest id reachable), kept (it is the smallest)."""
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+def classes(docs: DataFrame, *, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """For each row of docs: doc_id, text_key (a hash of its text), n_shingles, component_id (the smallest id reachable), and chosen.
+
+    chosen holds for the rows of one id and text of each component, and for rows that link with nothing."""
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text"))
     sketched = table(sketch(docs, words), "sketches")
-    linked = sketched.where("set_id is not null and doc_id is not null")
-    # one node for each distinct set: its smallest id
-    sets = linked.groupBy("set_id").agg(F.min("doc_id").alias("node"))
-    nodes = linked.join(sets.withColumnRenamed("node", "doc_id"), ["set_id", "doc_id"]).select(F.col("doc_id").alias("node"), "bands", "low").dropDuplicates(["node"])
+    linked = sketched.where("set_id is not null and doc_id is not null").withColumn("own", F.struct("doc_id", "text_key"))
+    # one node for each distinct set, with its first document
+    sets = table(linked.groupBy("set_id").agg(F.min("own").alias("own")).withColumn("node", F.monotonically_increasing_id()), "sets")
+    nodes = linked.join(sets, ["set_id", "own"]).select("node", "own", "bands", "low").dropDuplicates(["node"])
     bands = nodes.select("node", F.explode("bands").alias("key"))
     shared = bands.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = table(bands.join(shared, "key"), "buckets")
@@ -216,10 +219,8 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80, id_co
     hubs = ranked.groupBy("key").agg(F.max(F.struct("degree", (-F.col("node")).alias("m"))).alias("hub")).select("key", (-F.col("hub.m")).alias("hub"))
     hubs = table(hubs, "hubs")
     pairs = table(members.join(hubs, "key").where("node <> hub").select(F.col("hub").alias("u"), F.col("node").alias("v")).distinct(), "pairs")
-    wanted = members.select("node").distinct()
-    texts = docs.join(wanted.withColumnRenamed("node", "doc_id"), "doc_id").select(F.col("doc_id").alias("node"), "text").dropDuplicates(["node"])
-    lows = nodes.select("node", "low").join(wanted, "node", "left_semi")
-    texts = table(texts.join(lows, "node"), "candidates")
+    lows = nodes.join(members.select("node").distinct(), "node", "left_semi").select("own.doc_id", "own.text_key", "node", "low")
+    texts = table(docs.join(lows, ["doc_id", "text_key"]).select("node", "text", "low").dropDuplicates(["node"]), "candidates")
     edges = table(_confirm(pairs, texts, words, percent), "links")
     component = connected_components(edges)
     # buckets that hold several components besides their hub's pairs, which are compared already
@@ -232,13 +233,33 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80, id_co
     late = table(_links_across(rest.join(texts, "node"), words, percent), "links")
     if late.head(1):
         component = connected_components(edges.unionAll(late))
-    # as a table of its own, so that the rows of one set with very many copies can be split in the join
-    classes = table(sets.join(component, "node", "left").select("set_id", F.coalesce("component", "node").alias("component_id")), "classes")
-    out = sketched.join(classes, "set_id", "left")
-    own = F.when(F.col("doc_id").isNull(), F.lit(None).cast("long")).otherwise(F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", "n_shingles", own.alias("component_id"), F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept"))
+    # as tables of their own, so that the rows of one component or one set with very many copies can be split in the joins
+    found = table(sets.join(component, "node", "left").select("set_id", "own", F.coalesce("component", "node").alias("component")), "components")
+    least = table(found.groupBy("component").agg(F.min("own").alias("least")), "least")
+    known = table(found.join(least, "component").select("set_id", "least"), "classes")
+    out = sketched.join(known, "set_id", "left")
+    own = F.when(F.col("doc_id").isNull(), F.lit(None).cast("long")).otherwise(F.coalesce("least.doc_id", "doc_id"))
+    chosen = F.coalesce((F.col("doc_id") == F.col("least.doc_id")) & (F.col("text_key") == F.col("least.text_key")), F.lit(True))
+    return out.select("doc_id", "text_key", "n_shingles", own.alias("component_id"), chosen.alias("chosen"))
+
+
+def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """For each row of docs: doc_id, n_shingles, component_id (smallest id reachable), kept (it is the smallest)."""
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
+    return classes(docs, words=words, percent=percent, id_col=id_col, text_col=text_col).select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicates among all documents, by shingles of four words and similarity 0.8."""
     return near_duplicates(T.spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")), words=4)
+
+
+SQL = r"""with recursive lowered as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') w from documents),
+sets as (select doc_id, case when len(w) = 0 then [] when len(w) < 4 then [array_to_string(w, ' ')] else list_distinct(list_transform(range(1, len(w) - 2), lambda k: array_to_string(w[k:k + 3], ' '))) end s from lowered),
+shingles as (select doc_id, unnest(s) x from sets),
+common as (select a.doc_id u, b.doc_id v, count(*) n from shingles a join shingles b on a.x = b.x and a.doc_id < b.doc_id group by 1, 2),
+links as (select u, v from common join sets a on a.doc_id = u join sets b on b.doc_id = v where 100 * n >= 80 * (len(a.s) + len(b.s) - n)),
+edges as (select u, v from links union all select v, u from links),
+reach(a, b) as (select doc_id, doc_id from documents union select reach.a, edges.v from reach join edges on edges.u = reach.b),
+least as (select a, min(b) c from reach group by 1)
+select doc_id, cast(len(s) as bigint) n_shingles, c component_id, doc_id = c kept from sets join least on a = doc_id"""

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import language_id, minhash, packing
@@ -15,28 +17,45 @@ def reread(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return table(df, f"stage-{name}")
 
 
+def _where(docs: DataFrame, predict: Callable[..., DataFrame], condition: Column) -> DataFrame:
+    """The rows of docs whose result of predict(rows, text_col=...) meets a condition.
+
+    The columns of docs go through under names of their own, so that none meets a column of the result."""
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    out = predict(docs.toDF(*names.values()), text_col=names["text"]).where(condition)
+    return out.select(*[F.col(k).alias(c) for c, k in names.items()])
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is identified; rejected ones go."""
     model = language_id.train(docs.where(~language_id.held_out()))
-    return language_id.predict(docs, model).where(~F.col("rejected")).select(*docs.columns)
+    return _where(docs, lambda df, text_col: language_id.predict(df, model, text_col=text_col), ~F.col("rejected"))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score reaches the threshold; the classifier learns from the labels of the documents at hand."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality").where(~quality_classifier.held_out())
     model = quality_classifier.train(docs, labels)
-    return quality_classifier.predict(docs, model).where(F.col("score") >= quality_classifier.THRESHOLD).select(*docs.columns)
+    return _where(docs, lambda df, text_col: quality_classifier.predict(df, model, text_col=text_col), F.col("score") >= quality_classifier.THRESHOLD)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates by shingles of five words; of repeated rows of an id, one."""
-    found = minhash.near_duplicates(docs, words=5).groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
-    found = table(found, "kept")
-    out = docs.join(found.where("not kept").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
-    if found.where("kept and n > 1 and doc_id is not null").head(1):
-        first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
-        out = out.withColumn("__row", first).where("__row = 1 or doc_id is null").select(*docs.columns)
-    return out
+    """One document of each group of near-duplicates by shingles of five words.
+
+    Rows of one id with different texts are different documents.  Of rows with the same id and text one stays, the
+    first in the order of a hash of all columns; rows without an id stay."""
+    found = table(minhash.classes(docs, words=5).select("doc_id", "text_key", "chosen"), "chosen")
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    key = [F.col(names["doc_id"]).cast("long").alias("doc_id"), F.xxhash64(names["text"]).alias("text_key")]
+    rows = docs.toDF(*names.values()).select(*key, *names.values())
+    rows = rows.join(found.where("not chosen").select("doc_id", "text_key").distinct(), ["doc_id", "text_key"], "left_anti")
+    repeated = found.where("chosen and doc_id is not null").groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id", "text_key")
+    repeated = table(repeated, "repeated")
+    if repeated.head(1):
+        whole = F.struct(*names.values())
+        first = rows.join(repeated, ["doc_id", "text_key"], "left_semi").groupBy("doc_id", "text_key").agg(F.min_by(whole, F.struct(F.xxhash64(*names.values()), F.hash(*names.values()))).alias("row"))
+        rows = rows.join(repeated, ["doc_id", "text_key"], "left_anti").unionByName(first.select("doc_id", "text_key", "row.*"))
+    return rows.select(*[F.col(k).alias(c) for c, k in names.items()])
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
