@@ -96,7 +96,7 @@ def train(rows: DataFrame, *, text_col: str = "text", lang_col: str = "lang", ke
 
     sample_per_lang bounds the rows per language that k-means and the rejection distances see; document
     frequencies and language counts are those of all rows."""
-    rows = rows.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"), F.col(key_col).alias("key")).where("text is not null and lang is not null")
+    rows = rows.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"), F.xxhash64(key_col, text_col).alias("order")).where("text is not null and lang is not null")
     totals = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not totals:
         return None
@@ -117,7 +117,7 @@ def train(rows: DataFrame, *, text_col: str = "text", lang_col: str = "lang", ke
     spread = 1 << 30
     chosen = F.lit(False)
     for lang, n in sorted(totals.items()):
-        chosen = chosen | ((F.col("lang") == lang) & (F.pmod(F.xxhash64("key"), F.lit(spread)) < int(spread * min(1, sample_per_lang / n))))
+        chosen = chosen | ((F.col("lang") == lang) & (F.pmod("order", F.lit(spread)) < int(spread * min(1, sample_per_lang / n))))
 
     def sparse(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -129,7 +129,9 @@ def train(rows: DataFrame, *, text_col: str = "text", lang_col: str = "lang", ke
                     counts.append(np.minimum(row[at], 65535).astype(np.uint16).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(grams, pa.binary()), pa.array(counts, pa.binary())], names=["lang", "order", "grams", "counts"])
 
-    sample = rows.where(chosen).select("text", "lang", F.xxhash64("key").alias("order")).mapInArrow(sparse, "lang string, order long, grams binary, counts binary").collect()
+    # repeated rows count once, and ids of very many texts don't fill the driver
+    drawn = rows.where(chosen).groupBy("lang", "order").agg(F.min("text").alias("text")).select("text", "lang", "order")
+    sample = drawn.mapInArrow(sparse, "lang string, order long, grams binary, counts binary").orderBy("order", "lang").limit(2 * sample_per_lang * len(totals)).collect()
     sample.sort(key=lambda r: (r["lang"], r["order"], bytes(r["grams"])))
     centroids, langs, near, sizes = [], [], [], []
     for lang in sorted(totals):

@@ -16,6 +16,8 @@ the results are replaced.
 
 from __future__ import annotations
 
+import math
+import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -61,6 +63,11 @@ def _units(part: T.Part) -> tuple[T.Words, np.ndarray, np.ndarray]:
     return words, bucket, BUCKETS + shape
 
 
+def _sums(slices: dict[int, np.ndarray]) -> pa.RecordBatch:
+    """Rows of a matrix of sums.  Sums of signs are whole numbers: they add up to the same whatever the order."""
+    return pa.RecordBatch.from_arrays([pa.array(list(slices), pa.int32()), pa.array([zlib.compress(x.astype(np.int64).tobytes(), 1) for x in slices.values()], pa.binary())], names=["slice", "sums"])
+
+
 def context_matrix(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     """(BUCKETS + SHAPES) x DIM unit vectors: sums of the neighbours' index vectors over all documents."""
     units = BUCKETS + SHAPES
@@ -78,20 +85,25 @@ def context_matrix(docs: DataFrame, text_col: str = "text") -> np.ndarray:
                     for a, b in ((own[:-1][pair], own[1:][pair]), (own[1:][pair], own[:-1][pair])):
                         for s in (0, 1):
                             total += np.bincount(a * DIM + _PLACE[s][b], weights=_SIGN[s][b], minlength=total.size)
-        slices = total.astype(np.float32).reshape(-1, _SLICE * DIM)
-        yield pa.RecordBatch.from_arrays([pa.array(range(len(slices)), pa.int32()), pa.array([x.tobytes() for x in slices], pa.binary())], names=["slice", "sums"])
+        yield _sums(dict(enumerate(total.reshape(-1, _SLICE * DIM))))
 
-    def add(table: pa.Table) -> pa.Table:
-        total = np.zeros(_SLICE * DIM)
-        for x in table.column("sums"):
-            total += np.frombuffer(x.as_buffer(), np.float32)
-        return pa.table({"slice": table.column("slice")[:1], "sums": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
+    def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                total[k] = total.get(k, 0) + np.frombuffer(zlib.decompress(x.as_buffer()), np.int64)
+        yield _sums(total)
 
+    # a tree of sums: each level leaves the square root of the partial matrices, and each task holds one matrix
     schema = "slice int, sums binary"
-    out = np.zeros((units, DIM), dtype=np.float32)
-    partial = docs.select(text_col).mapInArrow(collect, schema)
-    for r in partial.groupBy("slice").applyInArrow(add, schema).collect():
-        out[r["slice"] * _SLICE : (r["slice"] + 1) * _SLICE] = np.frombuffer(r["sums"], np.float32).reshape(-1, DIM)
+    partial, left = docs.select(text_col).mapInArrow(collect, schema), docs.rdd.getNumPartitions()
+    while left > 64:
+        left = math.isqrt(left)
+        partial = partial.withColumn("part", F.spark_partition_id()).repartition(left, "part").select("slice", "sums").mapInArrow(add, schema)
+    out = np.zeros((units // _SLICE, _SLICE * DIM))
+    for r in partial.repartition("slice").mapInArrow(add, schema).collect():
+        out[r["slice"]] = np.frombuffer(zlib.decompress(r["sums"]), np.int64)
+    out = out.reshape(units, DIM).astype(np.float32)
     return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
 
 
@@ -182,7 +194,7 @@ def train(docs: DataFrame, labels: DataFrame, *, sample: int = 12_000, id_col: s
     if not 0 < share < 1:
         return nothing
     # at most about `sample` rows of two numbers: small enough to go to every executor
-    some = T.bounded_sample(marked, F.col(id_col), sample, totals["n"])
+    some = T.bounded_sample(marked, F.col(id_col), sample, totals["n"]).select(F.col(id_col).alias("id"), "y")
 
     def features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -190,7 +202,10 @@ def train(docs: DataFrame, labels: DataFrame, *, sample: int = 12_000, id_col: s
             rows = [r.tobytes() for r in np.concatenate(x)] if x else []
             yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(rows, pa.binary())], names=["order", "y", "x"])
 
-    rows = docs.join(F.broadcast(some), id_col).select(text_col, F.xxhash64(id_col).alias("order"), "y").mapInArrow(features, "order long, y int, x binary").collect()
+    drawn = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(some), "id").select("text", F.xxhash64("id", "text").alias("order"), "y")
+    # repeated rows count once, and an id of very many texts doesn't fill the driver
+    drawn = drawn.groupBy("order", "y").agg(F.min("text").alias("text")).select("text", "order", "y")
+    rows = drawn.mapInArrow(features, "order long, y int, x binary").orderBy("order", "y").limit(2 * sample).collect()
     rows.sort(key=lambda r: (r["order"], bytes(r["x"])))
     if not rows:
         return nothing

@@ -2,7 +2,7 @@
 
 Features are the presence of words and of word beginnings of 3 to 8 bytes (A-Z lower-cased, split at
 ASCII marks), hashed to 2^22.  Confirmed toxic examples are the positives; a sample of the other text, toxic
-or not, is the unlabelled set.  Of texts that share word minima (copies), each sample has one.
+or not, is the unlabelled set.  Of texts that share word minima (copies), each sample has one, the first in the order of a hash.
 Candidate features are those of several positives; kept are those most typical of positives after the
 class prior's share of positives is taken out of the unlabelled rates.
 A linear numpy classifier then minimises the non-negative risk
@@ -146,7 +146,7 @@ def train(docs: DataFrame, labels: DataFrame, *, positives: int = 2500, unlabell
     prior = min(max(totals["ones"] / totals["n"], 1e-4), 0.9)
     # at most about `positives` ids: small enough to go to every executor
     known = T.bounded_sample(marked.where("y = 1"), F.col(id_col), positives, totals["ones"]).select(id_col)
-    base = docs.select(F.col(id_col), F.col(text_col).alias("text"), F.xxhash64(id_col, F.lit(5)).alias("order"))
+    base = docs.select(F.col(id_col), F.col(text_col).alias("text"), F.xxhash64(id_col, text_col, F.lit(5)).alias("order"))
     n_docs = docs.count()
     spread = 1 << 30
     share = int(spread * min(1.0, unlabelled / max(n_docs, 1)))
@@ -160,7 +160,8 @@ def train(docs: DataFrame, labels: DataFrame, *, positives: int = 2500, unlabell
 
     drawn = joined.where("positive or unlabelled").mapInArrow(sketched, "text string, order long, positive boolean, unlabelled boolean, k0 long, k1 long, k2 long")
     for key in ("k0", "k1", "k2"):
-        drawn = drawn.dropDuplicates([key, "positive"])
+        # the first in the order of a hash, so that the sample is the same whatever the order of rows
+        drawn = drawn.groupBy(key, "positive").agg(F.min(F.struct("order", "text", "unlabelled", *[k for k in ("k0", "k1", "k2") if k != key])).alias("r")).select("r.*", key, "positive")
     sample = table(drawn.select("text", "order", "positive", "unlabelled"), "toxicity-sample")
     sizes = sample.agg(F.sum(F.col("positive").cast("int")).alias("p"), F.sum(F.col("unlabelled").cast("int")).alias("u")).first()
     n_pos, n_unl = sizes["p"] or 0, sizes["u"] or 0

@@ -61,6 +61,30 @@ def test_near_duplicate_stage_keeps_one_of_each_group(spark):
     assert stages.near_duplicates(spark, docs.where("n_chars > 5"), DATA).count() == 0
 
 
+def test_stages_keep_the_values_of_any_column(spark):
+    """Columns named like those of the operators, or of their joins, go through as they are."""
+    names = ["score", "distance", "lang_pred", "rejected", "y", "id", "n", "__row", "kept", "chosen", "text_key", "order", "c0", "row", "a.b"]
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    wide = docs.select("*", *[F.concat(F.lit(f"{c} "), F.col("doc_id").cast("string")).alias(c) for c in names])
+    wide = wide.unionAll(wide.where("doc_id % 20 = 3"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stages.reread(spark, stage(spark, wide, DATA), name)
+        assert out.columns == wide.columns
+        rows = out.collect()
+        assert len(rows) > 100 and all(r[c] == f"{c} {r.doc_id}" for r in rows for c in names)
+        plain = stage(spark, docs.unionAll(docs.where("doc_id % 20 = 3")), DATA)
+        assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in plain.collect())
+    assert stages.pack(spark, wide, DATA).count() > 200
+
+
+def test_near_duplicate_stage_takes_texts_of_one_id_apart(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(40)) for x in "ab")
+    rows = [(1, a, 1), (1, b, 2), (2, a, 3), (1, a, 4), (3, b + " z", 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n long")
+    got = sorted((r.doc_id, r.text) for r in stages.near_duplicates(spark, docs, DATA).collect())
+    assert got == sorted([(1, a), (1, b)])
+
+
 def test_stages_take_odd_rows(spark):
     rows = [(1, None, None, None, None), (2, "", "en", "s", 0), (None, "the and", "en", "s", 7), (4, "x " * 50_000, None, "s", 1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").withColumn("score", F.lit("mine")).withColumn("rejected", F.lit(1))
