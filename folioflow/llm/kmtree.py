@@ -35,8 +35,8 @@ from ._vectors import dimensions, groups, stack, usable
 SAMPLE, LEAVES, LEAF_SIZE, BRANCH = 16_000, 4096, 200, 8
 #: Recall aimed at, and queries that it is calibrated with.
 RECALL, CALIBRATION = 0.985, 128
-#: Vectors of a shard: leaves that are read together.
-BLOCK = 4096
+#: Vectors of a shard: leaves that are read together.  Queries that a shard answers in one task.
+BLOCK, QUERIES = 4096, 4096
 
 
 def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 8) -> np.ndarray:
@@ -122,19 +122,19 @@ def fit(x: np.ndarray, leaves: int, branch: int = BRANCH, seed: int = 5) -> Tree
     return Tree(np.array(centres), children, leaf)
 
 
-def _top(queries: np.ndarray, x: np.ndarray, ids: list[list[int]], k: int) -> Iterator[tuple[int, int, float, int]]:
-    """For each query, its k nearest ids: (query, id, distance, row), ties to smaller ids."""
+def _top(queries: np.ndarray, x: np.ndarray, ids: list[list[int]], k: int, seen: np.ndarray | None = None) -> Iterator[tuple[int, int, float, int]]:
+    """For each query, its k nearest ids among the rows that it sees (queries x rows): (query, id, distance, row), ties to smaller ids."""
     norms = (x**2).sum(axis=1)
     for lo in range(0, len(queries), 64):
         some = queries[lo : lo + 64]
         rough = norms[None, :] - 2 * some @ x.T
+        if seen is not None:
+            rough[~seen[lo : lo + 64]] = np.inf
+        limits = np.partition(rough, k - 1, axis=1)[:, k - 1] if rough.shape[1] > k else np.full(len(some), np.inf)
         for i, row in enumerate(rough):
-            if len(row) > k:
-                # the rough distances err by rounding only; the margin is far beyond it
-                limit = np.partition(row, k - 1)[k - 1]
-                near = np.flatnonzero(row <= limit + 1e-9 * (1 + abs(limit) + norms.max()))
-            else:
-                near = np.arange(len(row))
+            # the rough distances err by rounding only; the margin is far beyond it
+            limit = limits[i]
+            near = np.flatnonzero((row <= limit + 1e-9 * (1 + abs(limit) + norms.max())) & (row < np.inf) if limit < np.inf else row < np.inf)
             exact = np.sqrt(((x[near] - some[i]) ** 2).sum(axis=1))
             found = sorted((float(d), v, int(r)) for d, r in zip(exact, near, strict=True) for v in ids[r])[:k]
             for d, v, r in found:
@@ -144,19 +144,18 @@ def _top(queries: np.ndarray, x: np.ndarray, ids: list[list[int]], k: int) -> It
 def _search(dealt: DataFrame, asked: DataFrame, number: np.dtype, k: int) -> DataFrame:
     """query (vec), vec_id, score: the k nearest of each query among the leaves that it visits in each shard.
 
-    dealt: shard, leaf, vec, ids.  asked: shard, query, leaves."""
+    dealt: shard, part, leaf, vec, ids.  asked: shard, part, query, leaves.  A part is a share of the queries."""
 
     def run(key: tuple, rows: pa.Table, queries: pa.Table) -> pa.Table:
         given, out = queries.column("query").to_pylist(), []
         if given and rows.num_rows:
             x, q, ids = stack(rows.column("vec").to_pylist(), number), stack(given, number), rows.column("ids").to_pylist()
-            leaf = rows.column("leaf").to_numpy()
-            for i, leaves in enumerate(queries.column("leaves").to_pylist()):
-                near = np.flatnonzero(np.isin(leaf, leaves))
-                out += [(i, v, d) for _, v, d, _ in _top(q[i : i + 1], x[near], [ids[r] for r in near], k)]
+            there, leaf = np.unique(rows.column("leaf").to_numpy(), return_inverse=True)
+            visited = np.stack([np.isin(there, leaves) for leaves in queries.column("leaves").to_pylist()])
+            out = [(i, v, d) for i, v, d, _ in _top(q, x, ids, k, visited[:, leaf])]
         return pa.table({"query": pa.array([given[r[0]] for r in out], pa.binary()), "vec_id": pa.array([r[1] for r in out], pa.int64()), "score": pa.array([r[2] for r in out], pa.float64())})
 
-    return dealt.groupBy("shard").cogroup(asked.groupBy("shard")).applyInArrow(run, "query binary, vec_id long, score double")
+    return dealt.groupBy("shard", "part").cogroup(asked.groupBy("shard", "part")).applyInArrow(run, "query binary, vec_id long, score double")
 
 
 def shards(sizes: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
@@ -257,7 +256,10 @@ def _nearest(entries: DataFrame, queries: DataFrame, number: np.dtype, k: int, r
             yield pa.RecordBatch.from_arrays([pa.array(first[leaf] + part % count[leaf]), *batch.columns], names=["shard", *batch.schema.names])
 
     dealt = indexed.mapInArrow(deal, "shard long, leaf int, vec binary, ids array<long>")
-    asked = queries.select("vec").distinct().mapInArrow(ask, "shard long, query binary, leaves array<int>")
+    asked = table(queries.select("vec").distinct().mapInArrow(ask, "shard long, query binary, leaves array<int>"), "asked")
+    parts = max(1, -(-asked.select("query").distinct().count() // QUERIES))
+    asked = asked.withColumn("part", F.pmod(F.xxhash64("query"), F.lit(parts)))
+    dealt = dealt.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
     found = _search(dealt, asked, number, k + 1)
     best = F.row_number().over(Window.partitionBy("query").orderBy("score", "vec_id"))
     found = found.withColumn("r", best).where(F.col("r") <= k + 1).select(F.col("query").alias("vec"), F.col("vec_id").alias("found"), "score")
