@@ -13,7 +13,7 @@ sends its distinct bigrams to buckets of their history, with counts and with the
 in.  The bucket has all bigrams of its histories: it sums the counts up and sends back sums per document.
 Very frequent histories (HOT of all tokens and more) are spread over all buckets by the second word; their
 backoff weights are put together from the parts, at most 1 / HOT of them.  The word and bigram counts
-stay as tables partitioned by bucket.
+stay as tables partitioned by bucket.  Ids and counts take 32 bits where they fit and 64 where they don't.
 
 Defined results: null and empty texts have just the end token.  Without training texts every count is 0, and
 unknown words have probability 1.  Repeated rows are scored alike.  Extra columns are ignored.
@@ -35,7 +35,10 @@ from pyspark.sql import functions as F
 from . import _text as T
 from ._shared import release, table
 
-END, START = np.uint64(1), (1 << 32) - 1
+#: The hash of the end token, and the id of the start mark; words have ids from 1 on.
+END, START = np.uint64(1), 0
+#: Bits that ids may have to be sorted as pairs in one 64-bit number; pairs of longer ones are renumbered first.
+PAIR_BITS = 32
 #: Bytes of text in a block; bytes of text for each bucket.
 BLOCK_BYTES, BUCKET_BYTES = 8 << 20, 20 << 20
 #: Counts up to this are discounted by Good-Turing.
@@ -51,6 +54,32 @@ def _unpack(x: bytes, kind: type) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(x), dtype=kind)
 
 
+def _pack_ints(x: np.ndarray) -> bytes:
+    """Whole numbers from 0 on, as 32-bit ones if all are small enough, else as 64-bit ones."""
+    kind = np.uint32 if not x.size or int(x.max()) < 1 << 32 else np.uint64
+    return bytes([kind().itemsize]) + _pack(x.astype(kind))
+
+
+def _unpack_ints(x: bytes) -> np.ndarray:
+    return _unpack(x[1:], np.uint64 if x[0] == 8 else np.uint32)
+
+
+def distinct_pairs(a: np.ndarray, b: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct pairs of a and b in order; for each its first place, and for each place its pair.
+
+    Numbers of more than so many bits are replaced by their ranks first, of which there are fewer than 2^32."""
+    if a.size and max(int(a.max()), int(b.max())) >> bits:
+        (many_a, a), (many_b, b) = np.unique(a, return_inverse=True), np.unique(b, return_inverse=True)
+        if max(many_a.size, many_b.size) >> 32:
+            raise OverflowError("a bucket holds more than 2^32 ids")
+        a, b, first, index = distinct_pairs(a, b, 32)
+        return many_a[a], many_b[b], first, index
+    both = a.astype(np.uint64) << np.uint64(32)
+    both |= b.astype(np.uint64)
+    both, first, index = np.unique(both, return_index=True, return_inverse=True)
+    return (both >> np.uint64(32)).astype(np.uint32), both.astype(np.uint32), first, index
+
+
 def _bucket(keys: np.ndarray, bits: int) -> np.ndarray:
     """The bucket of each hashed word: its highest bits."""
     return (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(keys.size, dtype=np.int64)
@@ -132,7 +161,7 @@ def blocks(docs: DataFrame, bits: int) -> DataFrame:
 
 def _word_buckets(stored: DataFrame, bits: int) -> DataFrame:
     """Sum the blocks' words up by bucket.  Rows with block -1 are the table of word counts; the others answer a block's
-    words of that bucket, in the block's order, with ids and counts.  An id is place in bucket * buckets + bucket."""
+    words of that bucket, in the block's order, with ids and counts.  An id is place in bucket * buckets + bucket + 1."""
 
     def deal(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -153,8 +182,8 @@ def _word_buckets(stored: DataFrame, bits: int) -> DataFrame:
         order = np.argsort(-total, kind="stable")
         place = np.empty(distinct.size, dtype=np.int64)
         place[order] = np.arange(distinct.size)
-        word, cuts = place[index] * (1 << bits) + bucket, np.cumsum([0, *(k.size for k in keys)])
-        answers = [(_pack(word[lo:hi].astype(np.uint32)), _pack(total[index[lo:hi]].astype(np.uint32))) for lo, hi in zip(cuts, cuts[1:])]
+        word, cuts = place[index] * (1 << bits) + bucket + 1, np.cumsum([0, *(k.size for k in keys)])
+        answers = [(_pack_ints(word[lo:hi]), _pack_ints(total[index[lo:hi]])) for lo, hi in zip(cuts, cuts[1:])]
         known = total[total > 0]
         n = np.bincount(np.minimum(known, TOP + 2), minlength=TOP + 3)[: TOP + 2]
         m = len(answers)
@@ -164,7 +193,7 @@ def _word_buckets(stored: DataFrame, bits: int) -> DataFrame:
             "bucket": pa.array([bucket] * (m + 1), pa.int32()), "block": pa.array([*rows.column("block").to_pylist(), -1], pa.int64()),
             "words": pa.array([*[a for a, _ in answers], _pack(distinct[order])], pa.binary()), "counts": pa.array([*[c for _, c in answers], _pack(total[order])], pa.binary()),
             "n": pa.array([*[None] * m, n.tolist()], pa.list_(pa.int64())), "total": pa.array([*[None] * m, int(total.sum())], pa.int64()), "types": pa.array([*[None] * m, known.size], pa.int64()),
-            "top": pa.array([*[None] * m, (place[hot] * (1 << bits) + bucket).tolist()], pa.list_(pa.int64())), "top_counts": pa.array([*[None] * m, total[hot].tolist()], pa.list_(pa.int64())),
+            "top": pa.array([*[None] * m, (place[hot] * (1 << bits) + bucket + 1).tolist()], pa.list_(pa.int64())), "top_counts": pa.array([*[None] * m, total[hot].tolist()], pa.list_(pa.int64())),
         })
 
     dealt = stored.select("block", "keys", "seen").mapInArrow(deal, "bucket int, block long, keys binary, seen binary")
@@ -184,7 +213,7 @@ def _answered(stored: DataFrame, answers: DataFrame, bits: int, uni: Unigrams, h
         place, word, count = np.argsort(bucket, kind="stable"), np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
         cuts = np.searchsorted(bucket[place], np.arange(size + 1))
         for b, w, c in zip(given.column("bucket").to_pylist(), given.column("words").to_pylist(), given.column("counts").to_pylist(), strict=True):
-            word[place[cuts[b] : cuts[b + 1]]], count[place[cuts[b] : cuts[b + 1]]] = _unpack(w, np.uint32), _unpack(c, np.uint32)
+            word[place[cuts[b] : cuts[b + 1]]], count[place[cuts[b] : cuts[b + 1]]] = _unpack_ints(w), _unpack_ints(c)
         stream, lengths, train = (_unpack(block.column(c)[0].as_py(), k) for c, k in (("stream", np.uint32), ("lengths", np.uint32), ("train", np.bool_)))
         ends = np.cumsum(lengths, dtype=np.int64)
         first = ends - lengths
@@ -218,48 +247,46 @@ def _answered(stored: DataFrame, answers: DataFrame, bits: int, uni: Unigrams, h
                 # second words in order, with their counts and how many histories each has here
                 runs = np.flatnonzero(np.concatenate(([True], second[lo + 1 : hi] != second[lo : hi - 1])))
                 columns = (np.diff(second[lo:hi][runs], prepend=0), c2[lo:hi][runs], np.diff(np.append(runs, hi - lo)), history[lo:hi], times[lo:hi], doc[begins[lo] : begins[hi]])
-                rows.append([number, b, *[_pack(x.astype(k)) for x, k in zip(columns, (*[np.uint32] * 5, narrow), strict=True)], None, flags, None])
+                rows.append([number, b, *map(_pack_ints, columns[:5]), _pack(columns[5].astype(narrow)), None, flags, None])
         return pa.table([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
     schema = "block long, bucket int, seconds binary, counts binary, runs binary, histories binary, times binary, docs binary, doc_ids array<long>, train binary, base binary"
     return stored.drop("keys", "seen").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)
 
 
-def _history_sums(key: np.ndarray, c12: np.ndarray, p2: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For sorted distinct bigrams: where each history begins; by history, types of count 1 to TOP, the sum of larger counts, the sum of P(w) of seen words and the sum of counts."""
-    history = (key >> np.uint64(32)).astype(np.int64)
+def _history_sums(history: np.ndarray, c12: np.ndarray, p2: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For the histories of sorted distinct bigrams: where each history begins; by history, types of count 1 to TOP, the sum of larger counts, the sum of P(w) of seen words and the sum of counts."""
     start = np.flatnonzero(np.concatenate(([True], history[1:] != history[:-1])))
     sums = [np.add.reduceat((c12 == r).astype(np.float64), start) for r in range(1, TOP + 1)]
     sums += [np.add.reduceat(np.where(c12 > TOP, c12, 0).astype(np.float64), start), np.add.reduceat(np.where(c12 > 0, p2, 0.0), start), np.add.reduceat(c12.astype(np.float64), start)]
-    return start, history[start], np.stack(sums, axis=1)
+    return start, history[start].astype(np.int64), np.stack(sums, axis=1)
 
 
 def _bigram_buckets(pieces: DataFrame, uni: Unigrams, hot: np.ndarray, hot_counts: np.ndarray) -> DataFrame:
     """Sum bigrams up by bucket.  Rows: for each block, by document, the fixed parts of its score and how often a seen
     bigram of count 1 to TOP occurs, and its unseen bigrams as pairs of document and history; for the bucket (block -1) the table of
     bigram counts, the number of types by count, and the sums of the histories that unseen bigrams have."""
-    names = ["bucket", "block", "touched", "fixed", "low", "unseen_docs", "unseen_histories", "histories", "sums", "bigrams", "bigram_counts", "n"]
-    kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 9, pa.list_(pa.int64())]
+    names = ["bucket", "block", "touched", "fixed", "low", "unseen_docs", "unseen_histories", "histories", "sums", "bigram_histories", "bigram_seconds", "bigram_counts", "n"]
+    kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 10, pa.list_(pa.int64())]
 
     def add(rows: pa.Table) -> pa.Table:
-        columns = {c: [_unpack(x, np.uint32) for x in rows.column(c).to_pylist()] for c in ("seconds", "counts", "runs", "histories", "times")}
+        columns = {c: [_unpack_ints(x) for x in rows.column(c).to_pylist()] for c in ("seconds", "counts", "runs", "histories", "times")}
         flags = [_unpack(x, np.bool_) for x in rows.column("train").to_pylist()]
         places = [_unpack(x, np.uint16 if f.size <= 1 << 16 else np.uint32).astype(np.int64) for x, f in zip(rows.column("docs").to_pylist(), flags, strict=True)]
         sizes = [x.size for x in columns["histories"]]
         runs = np.concatenate(columns["runs"])
-        key = np.concatenate(columns["histories"]).astype(np.uint64) << np.uint64(32)
-        key |= np.repeat(np.concatenate([np.cumsum(x, dtype=np.uint32) for x in columns["seconds"]]), runs)
-        distinct, first, index = np.unique(key, return_index=True, return_inverse=True)
-        del key
+        seconds = np.repeat(np.concatenate([np.cumsum(x, dtype=x.dtype) for x in columns["seconds"]]), runs)
+        before, after, first, index = distinct_pairs(np.concatenate(columns["histories"]), seconds, PAIR_BITS)
+        del seconds
         seen = [np.add.reduceat(f[p].astype(np.int64), np.cumsum(t, dtype=np.int64) - t) for f, p, t in zip(flags, places, columns["times"], strict=True)]
-        c12 = np.bincount(index, np.concatenate(seen), minlength=distinct.size).astype(np.int64)
+        c12 = np.bincount(index, np.concatenate(seen), minlength=before.size).astype(np.int64)
         log_p2 = uni.log_p(np.repeat(np.concatenate(columns["counts"]), runs)[first].astype(np.int64))
-        start, history, sums = _history_sums(distinct, c12, 10**log_p2)
+        start, history, sums = _history_sums(before, c12, 10**log_p2)
         c1 = sums[:, -1].copy()
         at = np.searchsorted(hot, history)
         is_hot = np.isin(history, hot)
         c1[is_hot] = hot_counts[at[is_hot]]
-        of = np.repeat(np.arange(history.size), np.diff(np.append(start, distinct.size)))
+        of = np.repeat(np.arange(history.size), np.diff(np.append(start, before.size)))
         fixed = np.where(c12 > 0, np.log10(np.maximum(c12, 1)) - np.log10(np.maximum(c1, 1))[of], log_p2)
         level = np.where(c12 > TOP, TOP + 1, c12)
         out, wanted, lo = [], np.zeros(history.size, dtype=bool), 0
@@ -274,14 +301,14 @@ def _bigram_buckets(pieces: DataFrame, uni: Unigrams, hot: np.ndarray, hot_count
             touched = np.flatnonzero(np.bincount(docs, minlength=n))
             new = c12[each] == 0
             wanted[of[each[new]]] = True
-            out.append([bucket, block, _pack(touched.astype(np.uint32)), sum_fixed[touched].tobytes(), _pack(low[:, touched].astype(np.uint32)), _pack(docs[new].astype(np.uint32)), _pack(history[of[each[new]]].astype(np.uint32)), None, None, None, None, None])
+            out.append([bucket, block, _pack(touched.astype(np.uint32)), sum_fixed[touched].tobytes(), _pack(low[:, touched].astype(np.uint32)), _pack(docs[new].astype(np.uint32)), _pack_ints(history[of[each[new]]]), None, None, None, None, None, None])
         wanted |= is_hot
         n = np.bincount(np.minimum(c12, TOP + 2), minlength=TOP + 3)[: TOP + 2]
         known = c12 > 0
-        out.append([bucket, -1, *[None] * 5, _pack(history[wanted].astype(np.uint32)), _pack(sums[wanted]), _pack(distinct[known]), _pack(c12[known].astype(np.uint32)), n.tolist()])
+        out.append([bucket, -1, *[None] * 5, _pack_ints(history[wanted]), _pack(sums[wanted]), _pack_ints(before[known]), _pack_ints(after[known]), _pack_ints(c12[known]), n.tolist()])
         return pa.table([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
 
-    schema = "bucket int, block long, touched binary, fixed binary, low binary, unseen_docs binary, unseen_histories binary, histories binary, sums binary, bigrams binary, bigram_counts binary, n array<long>"
+    schema = "bucket int, block long, touched binary, fixed binary, low binary, unseen_docs binary, unseen_histories binary, histories binary, sums binary, bigram_histories binary, bigram_seconds binary, bigram_counts binary, n array<long>"
     return pieces.groupBy("bucket").applyInArrow(add, schema)
 
 
@@ -322,8 +349,7 @@ def _summary(own: DataFrame, starts: int) -> tuple[Unigrams, np.ndarray, np.ndar
     sums = own.agg(F.sum("total").alias("total"), F.sum("types").alias("types"), *[F.sum(F.col("n")[r]).alias(f"n{r}") for r in range(TOP + 2)]).first()
     uni = Unigrams(sums["total"] or 0, sums["types"] or 0, np.array([float(sums[f"n{r}"] or 0) for r in range(TOP + 2)]))
     top = own.select(F.explode(F.arrays_zip("top", "top_counts")).alias("t")).select("t.top", "t.top_counts").where(F.col("top_counts") >= max(uni.total * HOT, 1))
-    rows = sorted((r["top"], r["top_counts"]) for r in top.collect())  # at most 1 / HOT words can be so frequent
-    rows.append((START, starts))
+    rows = [(START, starts), *sorted((r["top"], r["top_counts"]) for r in top.collect())]  # at most 1 / HOT words can be so frequent
     return uni, np.array([r[0] for r in rows], dtype=np.int64), np.array([r[1] for r in rows], dtype=np.int64)
 
 
@@ -333,7 +359,7 @@ def _hot_weights(own: DataFrame, hot: np.ndarray, counts: np.ndarray, d: np.ndar
         total = np.zeros((hot.size, TOP + 3))
         for batch in batches:
             for h, s in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                h = _unpack(h, np.uint32).astype(np.int64)
+                h = _unpack_ints(h).astype(np.int64)
                 found = np.isin(h, hot)
                 np.add.at(total, np.searchsorted(hot, h[found]), _unpack(s, np.float64).reshape(-1, TOP + 3)[found])
         yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in [total]], pa.binary())], names=["sums"])
@@ -353,7 +379,7 @@ def _settled(sums: DataFrame, hot: np.ndarray, hot_alpha: np.ndarray, d: np.ndar
 
     def run(rows: pa.Table) -> pa.Table:
         own = rows.filter(pa.compute.equal(rows.column("block"), -1))
-        known = _unpack(own.column("histories")[0].as_py(), np.uint32).astype(np.int64)
+        known = _unpack_ints(own.column("histories")[0].as_py()).astype(np.int64)
         figures = _unpack(own.column("sums")[0].as_py(), np.float64).reshape(-1, TOP + 3)
         alpha = backoff(figures, figures[:, -1], d)
         if known.size:
@@ -366,7 +392,7 @@ def _settled(sums: DataFrame, hot: np.ndarray, hot_alpha: np.ndarray, d: np.ndar
             touched, docs = _unpack(touched, np.uint32).astype(np.int64), _unpack(docs, np.uint32).astype(np.int64)
             part = np.frombuffer(fixed, np.float64) + log_d @ _unpack(low, np.uint32).reshape(TOP + 1, -1)
             if docs.size:
-                weights = alpha[np.searchsorted(known, _unpack(histories, np.uint32).astype(np.int64))]
+                weights = alpha[np.searchsorted(known, _unpack_ints(histories).astype(np.int64))]
                 part = part + np.bincount(docs, weights, minlength=int(touched.max()) + 1)[touched]
             out.append((block, touched.astype(np.uint32).tobytes(), part.tobytes()))
         return pa.table([pa.array([x[k] for x in out], t) for k, t in enumerate((pa.int64(), pa.binary(), pa.binary()))], names=["block", "touched", "part"])

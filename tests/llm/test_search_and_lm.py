@@ -80,9 +80,24 @@ def brute(docs, train):
     return rows, c, p2, after, unknown
 
 
+def test_ids_of_any_width():
+    for top in (5, (1 << 32) - 1, 1 << 32, 1 << 50):
+        x = np.array([0, 3, top])
+        assert katz._unpack_ints(katz._pack_ints(x)).tolist() == x.tolist()
+    rng = np.random.default_rng(3)
+    a, b = rng.integers(0, 50, 500), rng.integers(0, 50, 500)
+    for lift in (0, 1 << 40):
+        for bits in (3, 32):
+            h, w, first, index = katz.distinct_pairs(a + lift, b + lift, bits)
+            pairs = sorted(set(zip((a + lift).tolist(), (b + lift).tolist(), strict=True)))
+            assert list(zip(h.tolist(), w.tolist(), strict=True)) == pairs
+            assert (h[index] == a + lift).all() and (w[index] == b + lift).all() and (a[first] + lift == h).all()
+
+
 @pytest.mark.parametrize("small", [False, True])
 def test_scores_equal_brute_force(spark, monkeypatch, small):
     if small:
+        monkeypatch.setattr(katz, "PAIR_BITS", 4)
         monkeypatch.setattr(katz, "BLOCK_BYTES", 2000)
         monkeypatch.setattr(katz, "BUCKET_BYTES", 3000)
     rng = np.random.default_rng(8)
@@ -101,6 +116,17 @@ def test_scores_equal_brute_force(spark, monkeypatch, small):
         assert sum(p2(p, w) for w in c) + p2(p, "never") == pytest.approx(1, abs=1e-9)
 
 
+def test_where_good_turing_gives_no_discount():
+    """Katz's formula leaves (0, 1) where a count of counts is missing or the counts do not fall; there half a count is taken off."""
+    steady = np.array([0, 1000, 400, 220, 140, 100, 75.0])
+    common = 6 * 75 / 1000
+    assert katz.discounts(steady)[1:6] == pytest.approx([((r + 1) * steady[r + 1] / (r * steady[r]) - common) / (1 - common) for r in range(1, 6)])
+    gap = np.array([0, 1000, 400, 0, 140, 100, 75.0])
+    assert katz.discounts(gap)[2] == 1 - 0.5 / 2 and katz.discounts(gap)[3] == 1 - 0.5 / 3
+    rising = np.array([0, 10, 40, 90, 0, 0, 0.0])
+    assert katz.discounts(rising)[1] == 0.5 and katz.discounts(np.zeros(7))[1:6].tolist() == [1 - 0.5 / r for r in range(1, 6)]
+
+
 def test_odd_tables(spark):
     df = spark.createDataFrame([(1, "a b"), (1, "a b"), (None, "a"), (2, None)], "doc_id long, text string")
     rows = katz.score(df, F.lit(False)).collect()
