@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 # Tags of annotated documents, and of pages.
 ANNOTATION_TAGS = ("section", "question", "question_label", "stem", "option_label", "option_text", "explanation", "stimulus")
-PAGE_TAGS = ("page_metadata", "pages", "page")
-PROHIBITED_TAGS = ("script", "style")
+SEQUENCE_TAGS = ("question_label", "stem", "option_label", "option_text", "other")
+PROHIBITED_TAGS = ("page_metadata", "pages", "page", "think")
+PRESENTATION_TAGS = ("center", "font", "footer", "header", "t", "aside", "nav", "mark", "marquee", "strike", "s", "del", "ins", "small", "big")
 VOID_TAGS = ("br", "hr", "img", "input", "meta", "link")
 
 #: A word or a symbol, as Python's Unicode classes have it, in a form that Java and RE2 share.
@@ -25,6 +26,11 @@ def tokens(text: str | Column) -> Column:
     return F.regexp_extract_all(_lit(text), F.lit(TOKEN), F.lit(0))
 
 
+def token_count(text: str | Column) -> Column:
+    """How many words and single symbols there are, without making an array of them."""
+    return F.regexp_count(_lit(text), F.lit(TOKEN))
+
+
 def words(text: str | Column) -> Column:
     return F.regexp_extract_all(_lit(text), F.lit(WORD), F.lit(0))
 
@@ -50,6 +56,43 @@ def strip_tags(text: str | Column, names: tuple[str, ...]) -> Column:
     return F.regexp_replace(_lit(text), rf"(?i)</?(?:{'|'.join(names)})(?:\s[^>]*)?/?>", "")
 
 
+def strip_annotations(text: str | Column) -> Column:
+    """Without the tags of annotations, whatever follows their names."""
+    return F.regexp_replace(_lit(text), rf"(?i)</?(?:{'|'.join(ANNOTATION_TAGS)})[^>]*>", "")
+
+
+def strip_sequence_tags(text: str | Column) -> Column:
+    """Without tags of sequence labels; blank lines squeezed, trimmed, with a line break at the end."""
+    return F.concat(strip_blank(squeeze_lines(F.regexp_replace(_lit(text), rf"(?i)</?(?:{'|'.join(SEQUENCE_TAGS)})\b[^>]*>", ""))), F.lit("\n"))
+
+
+def strip_page_markup(text: str | Column) -> Column:
+    """Without page tags and their metadata, closed or not, and without metadata in comments."""
+    out = F.regexp_replace(_lit(text), r"(?is)(?:<\|page_metadata\|>|<page_metadata>)\s*.*?(?:<\|end_metadata\|>|</page_metadata>|(?=</page>)|(?=<page\b)|$)", "")
+    out = F.regexp_replace(out, r"(?s)<!--\s*PAGE_METADATA_START.*?PAGE_METADATA_END\s*-->", "")
+    return strip_blank(F.regexp_replace(out, r"(?i)</?pages?\b[^>]*>", ""))
+
+
+def sanitise_for_merge(text: str | Column) -> Column:
+    """Without metadata, page tags and end marks; blank lines squeezed, the end trimmed."""
+    out = F.regexp_replace(_lit(text), r"</?page_metadata>\s*\{[\s\S]*?\}\s*</?page_metadata>", "")
+    out = F.regexp_replace(F.regexp_replace(out, r"<page_metadata>[\s\S]*?</page_metadata>", ""), r"</?(?:pages?|page_metadata)>", "")
+    return squeeze_lines(F.regexp_replace(F.regexp_replace(out, r"<\|(?:END|endoftext)\|>", ""), r"\s+$", ""))
+
+
+def strip_prohibited(text: str | Column) -> tuple[Column, Column]:
+    """The text without metadata blocks, prohibited and presentation tags; and the names of what was found, in that order."""
+    out, found = _lit(text), []
+    block = r"(?i)<page_metadata>[\s\S]*?</page_metadata>"
+    found.append(F.when(out.rlike(block), F.lit("block")))
+    out = F.regexp_replace(out, block, "")
+    for tag in (*PROHIBITED_TAGS, *PRESENTATION_TAGS):
+        found.append(F.when(out.rlike(rf"(?i)</?{tag}(?:\s+[^>]*)?>"), F.lit(tag)))
+    for tags in (PROHIBITED_TAGS, PRESENTATION_TAGS):
+        out = F.regexp_replace(out, rf"(?i)</?(?:{'|'.join(tags)})(?:\s+[^>]*)?>", "")
+    return out, F.array_compact(F.array(*found))
+
+
 def strip_all_tags(text: str | Column) -> Column:
     """Without comments and tags; a bare < before anything but a letter, / or ! stays."""
     return F.regexp_replace(F.regexp_replace(_lit(text), r"(?s)<!--.*?-->", ""), r"</?[A-Za-z][^>]*>", "")
@@ -128,16 +171,22 @@ def tag_attributes(tag: str | Column) -> Column:
     return F.map_from_entries(F.array_distinct(F.arrays_zip(F.regexp_extract_all(tag, F.lit(pattern), F.lit(1)).alias("k"), F.regexp_extract_all(tag, F.lit(pattern), F.lit(2)).alias("v"))))
 
 
-def cooldown_seconds(text: str | Column) -> Column:
-    """Seconds of '1h2m55s', '4 hours 45 min' or 'retry-after: 30'."""
-    text = F.lower(_lit(text))
+def cooldown_seconds(text: str | Column, default: int = 0) -> Column:
+    """Seconds until a cap is lifted: a duration after 'resets in' or 'try again in', else hours and minutes (with seconds)
+    anywhere, else 'retry-after', 60 at least; default where there is none."""
+    text = _lit(text)
 
-    def part(pattern: str) -> Column:
-        found = F.regexp_extract(text, pattern, 1)
-        return F.when(found == "", 0).otherwise(found.try_cast("long"))
+    def sum_of(parts: list[Column]) -> Column:
+        h, m, s = [F.when(x == "", 0).otherwise(x.try_cast("long")) for x in parts]
+        return h * 3600 + m * 60 + s
 
-    retry = part(r"retry-after[:\s]+(\d+)")
-    return F.when(retry > 0, retry).otherwise(part(r"(\d+)\s*h") * 3600 + part(r"(\d+)\s*m(?:in|\d|\s|$)") * 60 + part(r"(\d+)\s*s(?:ec|\s|$)"))
+    after = r"(?i)(?:resets?\s*in|try\s*again\s*in)\s*(?:(\d+)\s*h(?:ours?|rs?)?)?\s*(?:(\d+)\s*m(?:in(?:ute)?s?)?)?\s*(?:(\d+)\s*s(?:ec(?:ond)?s?)?)?"
+    first = sum_of([F.regexp_extract(text, after, i) for i in (1, 2, 3)])
+    found = [F.regexp_extract(text, rf"(?i)(\d+)\s*(?:{x})", 1) for x in (r"hours?|hrs?|h\b", r"minutes?|mins?|m\b", r"seconds?|secs?|s\b")]
+    second = F.when((found[0] != "") | (found[1] != ""), sum_of(found))
+    retry = F.regexp_extract(text, r"(?i)retry[-_ ]after[:\s]+(\d+)", 1)
+    third = F.when(retry != "", F.greatest(F.lit(60), retry.try_cast("long")))
+    return F.coalesce(F.when(first > 0, first), F.when(second > 0, second), third, F.lit(default)).cast("long")
 
 
 def ordinals(label: str | Column) -> Column:

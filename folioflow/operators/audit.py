@@ -5,18 +5,39 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folioflow.functions.text import PROHIBITED_TAGS
+
 # Grades by least score.
 GRADES = ((90, "A"), (80, "B"), (70, "C"), (60, "D"))
-# Penalties by category and severity.
-PENALTIES = {
-    "unannotated_question": {"CRITICAL": 50.0, "MAJOR": 20.0, "MINOR": 10.0, "INFO": 0.0},
-    "stimulus_nesting": {"CRITICAL": 100.0, "MAJOR": 50.0, "MINOR": 20.0, "INFO": 0.0},
-    "single_question_stimulus": {"CRITICAL": 20.0, "MAJOR": 10.0, "MINOR": 5.0, "INFO": 0.0},
-    "broken_system_tag": {"CRITICAL": 40.0, "MAJOR": 15.0, "MINOR": 5.0, "INFO": 0.0},
-    "llm_semantic": {"CRITICAL": 30.0, "MAJOR": 15.0, "MINOR": 5.0, "INFO": 0.0},
+# By category, penalties of critical, major and minor issues, and the most that the category may take (35 where none is set).
+_TABLE = {
+    "unannotated_question": (50.0, 20.0, 10.0, 60.0),
+    "stimulus_missing_citation": (25.0, 12.0, 5.0, 25.0),
+    "stimulus_nesting": (100.0, 50.0, 20.0, 100.0),
+    "single_question_stimulus": (20.0, 10.0, 5.0, 20.0),
+    "stimulus_anchor_invalid": (30.0, 15.0, 5.0, 35.0),
+    "stimulus_invalid": (30.0, 15.0, 5.0, 35.0),
+    "broken_system_tag": (40.0, 15.0, 5.0, 50.0),
+    "missing_question_label": (30.0, 15.0, 5.0, 40.0),
+    "missing_stem": (35.0, 15.0, 5.0, 35.0),
+    "missing_options": (35.0, 15.0, 5.0, 40.0),
+    "absorbed_subquestions": (30.0, 15.0, 5.0, 30.0),
+    "mislabelled_element": (30.0, 15.0, 5.0, 35.0),
+    "prohibited_tags": (40.0, 20.0, 5.0, 40.0),
+    "truncated_output": (50.0, 25.0, 10.0, 60.0),
+    "xml_syntax": (40.0, 15.0, 5.0, 50.0),
+    "schema_conformance": (30.0, 10.0, 5.0, 30.0),
+    "stimulus": (30.0, 15.0, 5.0, 35.0),
+    "question_structure": (40.0, 15.0, 5.0, 40.0),
+    "option_structure": (35.0, 15.0, 5.0, 35.0),
+    "verbatim_fidelity": (40.0, 15.0, 5.0, 40.0),
+    "conflict_markers": (100.0, 50.0, 20.0, 35.0),
+    "llm_semantic": (30.0, 15.0, 5.0, 30.0),
 }
-# Largest penalty of a category.
-CAPS = {"unannotated_question": 60.0, "stimulus_nesting": 100.0, "single_question_stimulus": 20.0, "broken_system_tag": 50.0, "llm_semantic": 30.0}
+PENALTIES = {c: {"CRITICAL": v[0], "MAJOR": v[1], "MINOR": v[2], "INFO": 0.0} for c, v in _TABLE.items()}
+CAPS = {c: v[3] for c, v in _TABLE.items()}
+#: Penalty of an unknown severity, and the most of an unknown category.
+PENALTY, CAP = 5.0, 35.0
 SEVERITIES = ("INFO", "MINOR", "MAJOR", "CRITICAL")
 
 
@@ -44,13 +65,24 @@ def hybrid(deterministic: Column, semantic: Column) -> Column:
 def penalty(category: Column, severity: Column) -> Column:
     """Penalty of an issue; unknown categories count as llm_semantic.  The table is a literal map, so nothing is joined."""
     table = F.create_map(*[F.lit(x) for c, by in PENALTIES.items() for s, v in by.items() for x in (f"{c}/{s}", v)])
-    return F.coalesce(F.try_element_at(table, F.concat_ws("/", category, severity)), F.try_element_at(table, F.concat_ws("/", F.lit("llm_semantic"), severity)), F.lit(0.0))
+    return F.coalesce(F.try_element_at(table, F.concat_ws("/", category, severity)), F.try_element_at(table, F.concat_ws("/", F.lit("llm_semantic"), severity)), F.lit(PENALTY))
+
+
+def cap(category: Column) -> Column:
+    """The most that a category may take from the score."""
+    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for pair in CAPS.items() for x in pair]), category), F.lit(CAP))
+
+
+def prohibited_score(text: Column) -> Column:
+    """100 less twenty points for each prohibited tag, three of a kind at most."""
+    taken = [F.least(F.regexp_count(text, F.lit(rf"(?i)</?{t}(?:\s+[^>]*)?>")), F.lit(3)) for t in PROHIBITED_TAGS]
+    return F.greatest(F.lit(0), 100 - 20 * sum(taken[1:], taken[0]))
 
 
 def adaptive(total: Column, cap: Column, questions: Column) -> Column:
     """Penalty that saturates at its cap, more slowly for documents of many questions."""
     scale = F.greatest(F.lit(1.0), F.sqrt(questions / 10.0))
-    return cap * (1 - F.exp(-total / (cap * scale)))
+    return cap * (1 - F.exp(-total / F.greatest(F.lit(1.0), cap * scale)))
 
 
 def worst(decisions: Column) -> Column:

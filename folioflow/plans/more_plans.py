@@ -24,10 +24,10 @@ def exam_tree_scan(spark: SparkSession, d: str) -> DataFrame:
     return chunks.select("conv_id", "turn", F.lit("chunk").alias("kind")).unionAll(merged.select("conv_id", "turn", F.lit("merged").alias("kind")))
 
 
-@query("""with t as (select source, count(*) n from documents where contains(lang, 'e') group by source having count(*) > 1), i as (select distinct 'src' || (page_id % 12) name from pages) select t.source, n, coalesce(e.name, (select min(name) from i where starts_with(t.source, i.name))) as input from t left join i e on e.name = t.source""")
+@query("""with t as (select source, count(*) n from documents group by source having count(*) > 1), i as (select distinct 'src' || (page_id % 12) name from pages) select t.source, n, coalesce(e.name, (select min(name) from i where starts_with(t.source, i.name))) as input from t left join i e on e.name = t.source""")
 def target_discovery(spark: SparkSession, d: str) -> DataFrame:
     """SRC-7: documents of several chunks and their input: by name, else by the name's beginning."""
-    t = read_texts(spark, d).where(F.contains("lang", F.lit("e"))).groupBy("source").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    t = read(spark, d, "documents").groupBy("source").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     names = read(spark, d, "pages").select(F.concat(F.lit("src"), F.col("page_id") % 12).alias("name")).distinct()
     exact = t.join(names, F.col("source") == F.col("name"), "left")
     # all beginnings of a name meet the inputs' names, instead of every name with every input

@@ -63,14 +63,14 @@ def chunk_conversations_greedy(spark: SparkSession, d: str) -> DataFrame:
     return chunks.groupBy("conv_id", F.col("x.c").alias("chunk")).agg(F.min("x.p.turn").alias("first_turn"), F.max("x.p.turn").alias("last_turn"), F.sum("x.p.w").alias("words"))
 
 
-@query("""with recursive t as (select source, doc_id, n_chars // 4 as w, row_number() over (partition by source, doc_id // 4096 order by doc_id) r, doc_id // 4096 as block from documents),
-f as (select source, block, doc_id, r, 100 + w total, cast(0 as bigint) batch from t where r = 1 union all
-select t.source, t.block, t.doc_id, t.r, case when f.total + t.w > 4000 then 100 + t.w else f.total + t.w end, f.batch + case when f.total + t.w > 4000 then 1 else 0 end from f join t on t.source = f.source and t.block = f.block and t.r = f.r + 1)
-select source, block, batch, count(*) as docs, cast(max(total) as bigint) as tokens from f group by source, block, batch""")
+@query("""with recursive t as (select source, doc_id, n_chars // 4 as w, row_number() over (partition by source order by doc_id) r from documents),
+f as (select source, doc_id, r, 100 + w total, cast(0 as bigint) batch from t where r = 1 union all
+select t.source, t.doc_id, t.r, case when f.total + t.w > 4000 then 100 + t.w else f.total + t.w end, f.batch + case when f.total + t.w > 4000 then 1 else 0 end from f join t on t.source = f.source and t.r = f.r + 1)
+select source, batch, min(doc_id) as first, count(*) as docs, cast(max(total) as bigint) as tokens from f group by source, batch""")
 def batch_pack_documents(spark: SparkSession, d: str) -> DataFrame:
-    """SEQ-4: next-fit batches of 4000 tokens with an overhead of 100 over all documents of a source; block is where the first id of the batch lies, and cuts nothing."""
+    """SEQ-4: next-fit batches of 4000 tokens with an overhead of 100 over all documents of a source."""
     found = B.next_fit(read(spark, d, "documents"), "source", "doc_id", F.floor(F.col("n_chars") / 4), 4000, 100)
-    return found.select("source", F.floor(F.col("first") / 4096).alias("block"), "batch", "docs", "tokens")
+    return found.select("source", "batch", "first", "docs", "tokens")
 
 
 @query("""with p as (select conv_id, turn, text, turn // 3 as chunk from conversations), o as (select *, coalesce(sum(length(text) + 2) over (partition by conv_id, chunk order by turn rows between unbounded preceding and 1 preceding), 0) ls from p)

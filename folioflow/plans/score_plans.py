@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from folioflow.functions import text as X
 from folioflow.operators import audit as A
 from folioflow.operators import evaluate as E
-from folioflow.registry import query, read
+from folioflow.registry import query, read, read_texts
 
 
 @query("""select event_type, count(value) n, round(sum(value), 4) total, round(avg(value), 6) mean, round(quantile_cont(value, 0.5), 6) median, round(quantile_cont(value, 0.95), 6) p95, round(quantile_cont(value, 0.99), 6) p99,
@@ -94,13 +94,18 @@ def composite_score(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""select source, count(*) n, round(avg(score), 6) as mean_score, case max(case {DECIDE} when 'DISCARD' then 2 when 'NEEDS_REVISION' then 1 else 0 end) when 2 then 'DISCARD' when 1 then 'NEEDS_REVISION' else 'PASS' end as worst,
-list_sort(list((doc_id % 10) || ':' || {DECIDE}) filter ({DECIDE} <> 'PASS' and doc_id % 50 = 0)) as issues from {SCORED} group by source""")
+count(*) filter ({DECIDE} <> 'PASS') as issues from {SCORED} group by source""")
 def rollup_worst_decision(spark: SparkSession, d: str) -> DataFrame:
     """AGG-13, AGG-12: chunk reports rolled up to documents (here: documents to sources)."""
     rows = _decided(_scored(spark, d))
-    some = F.when((F.col("decision") != "PASS") & (F.col("doc_id") % 50 == 0), F.concat((F.col("doc_id") % 10).cast("string"), F.lit(":"), "decision"))
-    found = F.array_sort(F.array_agg(some))
-    return rows.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("score"), 6).alias("mean_score"), A.worst(F.col("decision")).alias("worst"), F.when(F.size(found) > 0, found).alias("issues"))
+    issues = F.count_if(F.col("decision") != "PASS")
+    return rows.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("score"), 6).alias("mean_score"), A.worst(F.col("decision")).alias("worst"), issues.alias("issues"))
+
+
+@query(f"select source, doc_id, (doc_id % 10) || ':' || {DECIDE} as issue from {SCORED} where {DECIDE} <> 'PASS'")
+def rollup_issues(spark: SparkSession, d: str) -> DataFrame:
+    """AGG-13: all issues of the chunks under their document, one row each, so that no document's list must fit in memory."""
+    return _decided(_scored(spark, d)).where("decision <> 'PASS'").select("source", "doc_id", F.concat((F.col("doc_id") % 10).cast("string"), F.lit(":"), "decision").alias("issue"))
 
 
 @query(f"""select lang, count(*) n, round(avg(score), 2) as mean_score, round(100 * count(*) filter (where d = 'PASS') / count(*), 1) as pass_rate, count(*) filter (where d = 'PASS') as passed, count(*) filter (where d = 'NEEDS_REVISION') as revise, count(*) filter (where d = 'DISCARD') as discarded
@@ -110,22 +115,24 @@ def category_scorecard(spark: SparkSession, d: str) -> DataFrame:
     return A.scorecard(_decided(_scored(spark, d)), "lang", "score", "decision")
 
 
-CASES = "(select user_id, event_id, case event_type when 'click' then 'unannotated_question' when 'view' then 'stimulus_nesting' when 'purchase' then 'broken_system_tag' else 'odd' end as category, ['INFO', 'MINOR', 'MAJOR', 'CRITICAL'][cast(event_id % 4 as integer) + 1] as severity from events)"
-PENALTY = """case when severity = 'INFO' then 0.0 else case category when 'unannotated_question' then case severity when 'CRITICAL' then 50.0 when 'MAJOR' then 20.0 else 10.0 end
-when 'stimulus_nesting' then case severity when 'CRITICAL' then 100.0 when 'MAJOR' then 50.0 else 20.0 end when 'broken_system_tag' then case severity when 'CRITICAL' then 40.0 when 'MAJOR' then 15.0 else 5.0 end
-else case severity when 'CRITICAL' then 30.0 when 'MAJOR' then 15.0 else 5.0 end end end"""
+PENALTIES = """(values ('unannotated_question', 50, 20, 10, 60), ('stimulus_missing_citation', 25, 12, 5, 25), ('stimulus_nesting', 100, 50, 20, 100), ('single_question_stimulus', 20, 10, 5, 20),
+('stimulus_anchor_invalid', 30, 15, 5, 35), ('stimulus_invalid', 30, 15, 5, 35), ('broken_system_tag', 40, 15, 5, 50), ('missing_question_label', 30, 15, 5, 40), ('missing_stem', 35, 15, 5, 35),
+('missing_options', 35, 15, 5, 40), ('absorbed_subquestions', 30, 15, 5, 30), ('mislabelled_element', 30, 15, 5, 35), ('prohibited_tags', 40, 20, 5, 40), ('truncated_output', 50, 25, 10, 60),
+('xml_syntax', 40, 15, 5, 50), ('schema_conformance', 30, 10, 5, 30), ('stimulus', 30, 15, 5, 35), ('question_structure', 40, 15, 5, 40), ('option_structure', 35, 15, 5, 35), ('verbatim_fidelity', 40, 15, 5, 40),
+('conflict_markers', 100, 50, 20, 35), ('llm_semantic', 30, 15, 5, 30), ('odd', 30, 15, 5, 35)) as p(category, critical, major, minor, cap)"""
+ISSUES = f"""(select user_id, event_id, category, severity, cap, cast(case severity when 'INFO' then 0 when 'CRITICAL' then critical when 'MAJOR' then major when 'MINOR' then minor else 5 end as double) p
+from (select *, (select list(category order by category) from {PENALTIES})[cast((event_id // 5) % 23 as integer) + 1] as category, ['INFO', 'MINOR', 'MAJOR', 'CRITICAL', 'ODD'][cast(event_id % 5 as integer) + 1] as severity from events) join {PENALTIES} using (category))"""
 
 
 def _issues(spark: SparkSession, d: str) -> DataFrame:
-    """Issues made of events."""
-    t = F.col("event_type")
-    category = F.when(t == "click", "unannotated_question").when(t == "view", "stimulus_nesting").when(t == "purchase", "broken_system_tag").otherwise("odd")
-    severity = F.element_at(F.array(*map(F.lit, A.SEVERITIES)), (F.col("event_id") % 4 + 1).cast("int"))
+    """Issues made of events: all categories and one unknown one, all severities and one unknown one."""
+    e = F.col("event_id")
+    category = F.element_at(F.array(*map(F.lit, sorted([*A.PENALTIES, "odd"]))), (F.floor(e / 5) % 23 + 1).cast("int"))
+    severity = F.element_at(F.array(*map(F.lit, (*A.SEVERITIES, "ODD"))), (e % 5 + 1).cast("int"))
     return read(spark, d, "events").select("user_id", "event_id", category.alias("category"), severity.alias("severity"))
 
 
-@query(f"""select user_id, cast(sum(p) as double) as total, cast(coalesce(sum(p) filter (severity = 'CRITICAL'), 0) as double) as critical, cast(coalesce(sum(p) filter (severity = 'MAJOR'), 0) as double) as major, cast(coalesce(sum(p) filter (severity = 'MINOR'), 0) as double) as minor
-from (select *, {PENALTY} as p from {CASES}) group by user_id""")
+@query(f"""select user_id, sum(p) as total, coalesce(sum(p) filter (severity = 'CRITICAL'), 0) as critical, coalesce(sum(p) filter (severity = 'MAJOR'), 0) as major, coalesce(sum(p) filter (severity = 'MINOR'), 0) as minor from {ISSUES} group by user_id""")
 def penalty_pivot(spark: SparkSession, d: str) -> DataFrame:
     """AGG-29: penalties by document and severity."""
     rows = _issues(spark, d).withColumn("p", A.penalty(F.col("category"), F.col("severity")))
@@ -133,21 +140,29 @@ def penalty_pivot(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy("user_id").agg(F.sum("p").alias("total"), by("CRITICAL").alias("critical"), by("MAJOR").alias("major"), by("MINOR").alias("minor"))
 
 
-@query(f"""with s as (select user_id, category, cast(sum({PENALTY}) as double) t, case category when 'unannotated_question' then 60.0 when 'stimulus_nesting' then 100.0 when 'broken_system_tag' then 50.0 else 30.0 end cap from {CASES} group by 1, 2)
-select user_id, round(greatest(0, 100 - sum(cap * (1 - exp(-t / (cap * greatest(1.0, sqrt((user_id % 40) / 10.0))))))), 6) as score from s group by user_id""")
+@query(f"""with s as (select user_id, category, cap, sum(p) t from {ISSUES} group by all)
+select user_id, round(greatest(0, 100 - sum(cap * (1 - exp(-t / greatest(1.0, cap * greatest(1.0, sqrt((user_id % 40) / 10.0))))))), 6) as score from s group by user_id""")
 def adaptive_penalty(spark: SparkSession, d: str) -> DataFrame:
     """AGG-30: penalties that saturate by category."""
     rows = _issues(spark, d).groupBy("user_id", "category").agg(F.sum(A.penalty(F.col("category"), F.col("severity"))).alias("t"))
-    caps = F.create_map(*[F.lit(x) for pair in A.CAPS.items() for x in pair])
-    cap = F.coalesce(F.try_element_at(caps, F.col("category")), F.lit(A.CAPS["llm_semantic"]))
-    return rows.groupBy("user_id").agg(F.round(F.greatest(F.lit(0.0), 100 - F.sum(A.adaptive(F.col("t"), cap, F.col("user_id") % 40))), 6).alias("score"))
+    return rows.groupBy("user_id").agg(F.round(F.greatest(F.lit(0.0), 100 - F.sum(A.adaptive(F.col("t"), A.cap(F.col("category")), F.col("user_id") % 40))), 6).alias("score"))
+
 
+#: Pages whose web tags stand for page markup and annotations.
+MARKED = "(select page_id, replace(replace(replace(replace(replace(replace(html, '<script', '<think'), '</script', '</think'), '<li>', '<page p=\"1\">'), '</li>', '</page>'), '<style>', '<page_metadata>'), '</style>', '</page_metadata>') html from pages)"
 
-@query("""select page_id, cast(least(3, o) * 20 as bigint) as penalty, o as prohibited from (select page_id, len(regexp_extract_all(html, '(?i)<(script|style)\\b')) o from pages)""")
+
+@query(f"""select page_id, cast(greatest(0, 100 - 20 * (least(3, len(regexp_extract_all(html, '(?i)</?pages(?:\\s+[^>]*)?>'))) + least(3, len(regexp_extract_all(html, '(?i)</?page(?:\\s+[^>]*)?>'))) + least(3, len(regexp_extract_all(html, '(?i)</?page_metadata(?:\\s+[^>]*)?>'))) + least(3, len(regexp_extract_all(html, '(?i)</?think(?:\\s+[^>]*)?>'))))) as bigint) as score from {MARKED}""")
 def prohibited_tags_score(spark: SparkSession, d: str) -> DataFrame:
-    """SCR-4: twenty points for each prohibited tag, three at most."""
-    n = F.regexp_count("html", F.lit(r"(?i)<(script|style)\b")).cast("long")
-    return read(spark, d, "pages").select("page_id", (F.least(n, F.lit(3)) * 20).alias("penalty"), n.alias("prohibited"))
+    """SCR-4: twenty points for each prohibited tag, three of a kind at most."""
+    return _marked(spark, d).select("page_id", A.prohibited_score(F.col("html")).cast("long").alias("score"))
+
+
+def _marked(spark: SparkSession, d: str) -> DataFrame:
+    html = F.col("html")
+    for a, b in (("<script", "<think"), ("</script", "</think"), ("<li>", '<page p="1">'), ("</li>", "</page>"), ("<style>", "<page_metadata>"), ("</style>", "</page_metadata>")):
+        html = F.replace(html, F.lit(a), F.lit(b))
+    return read_texts(spark, d, "pages").select("page_id", html.alias("html"))
 
 
 @query("""with t as (select page_id, lower(tag) tag from (select page_id, unnest(regexp_extract_all(html, '<([A-Za-z][A-Za-z0-9]*)', 1)) tag from pages)) select tag, count(*) n, count(distinct page_id) pages from t group by tag""")

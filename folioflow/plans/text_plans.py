@@ -18,7 +18,7 @@ select doc_id, n as n_tokens, k as window_id, k * 384 as start_token, least(k *
 from (select *, unnest(range(0, greatest(cast(ceil((n - 512) / 384.0) as bigint), 0) + 1)) k from t where n > 0)""")
 def token_windows(spark: SparkSession, d: str) -> DataFrame:
     """SEQ-6, TXT-21: windows of 512 tokens every 384, the last one reaching the end."""
-    n = read_texts(spark, d).select("doc_id", F.size(X.tokens("text")).cast("long").alias("n_tokens"))
+    n = read_texts(spark, d).select("doc_id", X.token_count("text").cast("long").alias("n_tokens"))
     return W.sliding_windows(n, "n_tokens", 512, 384)
 
 
@@ -29,7 +29,7 @@ w as (select doc_id, n, scale, size, stride, unnest(range(0, greatest(cast(ceil(
 select doc_id, n as n_tokens, cast(size as bigint) as window_size, row_number() over (partition by doc_id order by scale, k) - 1 as chunk_idx, k * stride as start_token, least(k * stride + size, n) as end_token from w""")
 def multi_scale_windows(spark: SparkSession, d: str) -> DataFrame:
     """SEQ-7: windows at several scales, numbered through."""
-    n = read_texts(spark, d).select("doc_id", F.size(X.tokens("text")).cast("long").alias("n_tokens"))
+    n = read_texts(spark, d).select("doc_id", X.token_count("text").cast("long").alias("n_tokens"))
     return W.multi_scale_windows(n, "doc_id", "n_tokens", [(512, 384), (768, 576), (1024, 768), (2048, 1536)])
 
 
@@ -37,7 +37,7 @@ def multi_scale_windows(spark: SparkSession, d: str) -> DataFrame:
 from (select doc_id, cast(len({TOKENS}) as bigint) n from documents)""")
 def window_count_formula(spark: SparkSession, d: str) -> DataFrame:
     """AGG-26: number of windows from the number of tokens alone."""
-    n = F.size(X.tokens("text"))
+    n = X.token_count("text")
     return read_texts(spark, d).select("doc_id", W.window_count(n, 1024, 768).alias("n_windows"))
 
 
@@ -88,7 +88,7 @@ from (select lang, cast(len({TOKENS}) as double) t, cast(len(case when x = '' th
 from (select *, trim(regexp_replace(text, '\s+', ' ', 'g')) x from documents)) group by lang""")
 def tokenizer_fertility(spark: SparkSession, d: str) -> DataFrame:
     """AGG-25: tokens per word, characters and bytes per token, by language."""
-    docs = read_texts(spark, d).select("lang", F.size(X.tokens("text")).cast("double").alias("t"), F.size(X.split_words("text")).cast("double").alias("w"), F.length("text").cast("double").alias("c"), F.octet_length("text").cast("double").alias("b"))
+    docs = read_texts(spark, d).select("lang", X.token_count("text").cast("double").alias("t"), F.size(X.split_words("text")).cast("double").alias("w"), F.length("text").cast("double").alias("c"), F.octet_length("text").cast("double").alias("b"))
     ratio = lambda a, b: F.round(F.try_divide(F.sum(a), F.sum(b)), 6)
     return docs.groupBy("lang").agg(ratio("t", "w").alias("tokens_per_word"), ratio("c", "t").alias("chars_per_token"), ratio("b", "t").alias("bytes_per_token"))
 
@@ -99,10 +99,48 @@ def html_strip_tags(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "pages").select("page_id", X.strip_all_tags("html").alias("plain"))
 
 
-@query(r"select page_id, md5(regexp_replace(html, '(?i)</?(?:p|div|span)(?:\s[^>]*)?/?>', '', 'g')) as digest from pages")
+ANNOTATED = "(select page_id, replace(replace(replace(replace(replace(replace(html, '<p>', '<stem id=\"1\">'), '</p>', '</stem>' || chr(10) || chr(10) || chr(10) || chr(10)), '<li>', '<OPTION_TEXT>'), '</li>', '</OPTION_TEXT>'), '<b>', '<other>'), '</b>', '</other>') x from pages)"
+PAGED = """(select page_id, replace(replace(replace(replace(html, '<p>', '<page_metadata>{\"p\": 1}</page_metadata><page p=\"2\">'), '</p>', '</page>' || chr(10) || chr(10) || chr(10)), '<li>', '<pages>'), '</li>', '</pages><|END|>') x from pages)"""
+
+
+def _replaced(spark: SparkSession, d: str, pairs: list[tuple[str, str]]) -> DataFrame:
+    """Pages whose web tags stand for other ones."""
+    x = F.col("html")
+    for a, b in pairs:
+        x = F.replace(x, F.lit(a), F.lit(b))
+    return read_texts(spark, d, "pages").select("page_id", x.alias("x"))
+
+
+def _annotated(spark: SparkSession, d: str) -> DataFrame:
+    return _replaced(spark, d, [("<p>", '<stem id="1">'), ("</p>", "</stem>\n\n\n\n"), ("<li>", "<OPTION_TEXT>"), ("</li>", "</OPTION_TEXT>"), ("<b>", "<other>"), ("</b>", "</other>")])
+
+
+def _paged(spark: SparkSession, d: str) -> DataFrame:
+    return _replaced(spark, d, [("<p>", '<page_metadata>{"p": 1}</page_metadata><page p="2">'), ("</p>", "</page>\n\n\n"), ("<li>", "<pages>"), ("</li>", "</pages><|END|>")])
+
+
+@query(f"select page_id, md5(regexp_replace(x, '(?i)</?(?:section|stimulus|question|question_label|stem|option_label|option_text|explanation)[^>]*>', '', 'g')) as digest from {ANNOTATED}")
 def strip_named_tags(spark: SparkSession, d: str) -> DataFrame:
-    """TXT-1, TXT-3, TXT-4, TXT-32: only the named tags go."""
-    return read(spark, d, "pages").select("page_id", F.md5(X.strip_tags("html", ("p", "div", "span"))).alias("digest"))
+    """TXT-1: only the tags of annotations go."""
+    return _annotated(spark, d).select("page_id", F.md5(X.strip_annotations("x")).alias("digest"))
+
+
+@query(rf"select page_id, md5(regexp_replace(regexp_replace(regexp_replace(x, '(?i)</?(?:question_label|stem|option_label|option_text|other)\b[^>]*>', '', 'g'), '\n{{3,}}', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g') || chr(10)) as digest from {ANNOTATED}")
+def strip_sequence_tags(spark: SparkSession, d: str) -> DataFrame:
+    """TXT-4: tags of sequence labels go, blank lines are squeezed, a line break ends the text."""
+    return _annotated(spark, d).select("page_id", F.md5(X.strip_sequence_tags("x")).alias("digest"))
+
+
+@query(rf"select page_id, md5(regexp_replace(regexp_replace(regexp_replace(x, '(?is)<page_metadata>\s*.*?</page_metadata>', '', 'g'), '(?i)</?pages?\b[^>]*>', '', 'g'), '^\s+|\s+$', '', 'g')) as digest from {PAGED}")
+def strip_page_markup(spark: SparkSession, d: str) -> DataFrame:
+    """TXT-3: page tags and metadata blocks go."""
+    return _paged(spark, d).select("page_id", F.md5(X.strip_page_markup("x")).alias("digest"))
+
+
+@query(rf"""select page_id, md5(regexp_replace(rtrim(regexp_replace(regexp_replace(regexp_replace(x, '<page_metadata>[\s\S]*?</page_metadata>', '', 'g'), '</?(?:pages?|page_metadata)>', '', 'g'), '<\|(?:END|endoftext)\|>', '', 'g'), ' ' || chr(9) || chr(10) || chr(13)), '\n{{3,}}', chr(10) || chr(10), 'g')) as digest from {PAGED}""")
+def sanitise_for_merge(spark: SparkSession, d: str) -> DataFrame:
+    """TXT-32: metadata, page tags and end marks go; blank lines are squeezed."""
+    return _paged(spark, d).select("page_id", F.md5(X.sanitise_for_merge("x")).alias("digest"))
 
 
 @query(r"select page_id, md5(regexp_replace(html, '(?i)<(br|hr|img|input|meta|link)((?:\s[^<>/]*)?)\s*>', '<\1\2/>', 'g')) as digest, len(regexp_extract_all(html, '(?i)<(br|hr|img|input|meta|link)((?:\s[^<>/]*)?)\s*>')) as changed from pages")
@@ -112,11 +150,16 @@ def self_closing_normalise(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "pages").select("page_id", F.md5(X.close_void_tags("html")).alias("digest"), found.cast("long").alias("changed"))
 
 
-@query(r"select page_id, md5(regexp_replace(html, '(?i)</?(?:script|style)(?:\s[^>]*)?/?>', '', 'g')) as digest, list_filter(['script', 'style'], lambda t: regexp_matches(html, '(?i)</?' || t || '(?:\s[^>]*)?/?>')) as fixes from pages")
+PROHIBITED, PRESENTATION = "page_metadata|pages|page|think", "center|font|footer|header|t|aside|nav|mark|marquee|strike|s|del|ins|small|big"
+
+
+@query(rf"""select page_id, md5(regexp_replace(regexp_replace(y, '(?i)</?(?:{PROHIBITED})(?:\s+[^>]*)?>', '', 'g'), '(?i)</?(?:{PRESENTATION})(?:\s+[^>]*)?>', '', 'g')) as digest,
+list_filter(list_concat([case when y <> x then 'block' end], list_transform(string_split('{PROHIBITED}|{PRESENTATION}', '|'), lambda t: case when regexp_matches(y, '(?i)</?' || t || '(?:\s+[^>]*)?>') then t end)), lambda t: t is not null) as fixes
+from (select page_id, x, regexp_replace(x, '(?i)<page_metadata>[\s\S]*?</page_metadata>', '', 'g') y from {PAGED})""")
 def strip_prohibited_tags(spark: SparkSession, d: str) -> DataFrame:
-    """TXT-30: prohibited tags go, with a log of what was found."""
-    fixes = F.array_compact(F.array(*[F.when(F.col("html").rlike(rf"(?i)</?{t}(?:\s[^>]*)?/?>"), F.lit(t)) for t in X.PROHIBITED_TAGS]))
-    return read(spark, d, "pages").select("page_id", F.md5(X.strip_tags("html", X.PROHIBITED_TAGS)).alias("digest"), fixes.alias("fixes"))
+    """TXT-30: metadata blocks, prohibited and presentation tags go, with a log of what was found."""
+    clean, fixes = X.strip_prohibited("x")
+    return _paged(spark, d).select("page_id", F.md5(clean).alias("digest"), fixes.alias("fixes"))
 
 
 @query(r"select doc_id, regexp_replace('x <' || n_chars || '> y < ' || doc_id || ' > z', '<\s*(\d+)\s*>', ' < \1', 'g') as fixed from documents")
@@ -153,13 +196,22 @@ def filename_context(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "pages").select("page_id", F.trim(F.regexp_replace(name, "[-_/]+", " ")).alias("context"))
 
 
-@query(r"""select event_id, coalesce(try_cast(regexp_extract(msg, '(\d+)\s*h', 1) as bigint), 0) * 3600 + coalesce(try_cast(regexp_extract(msg, '(\d+)\s*m(?:in|\d|\s|$)', 1) as bigint), 0) * 60 + coalesce(try_cast(regexp_extract(msg, '(\d+)\s*s(?:ec|\s|$)', 1) as bigint), 0) as seconds
-from (select event_id, case when event_id % 2 = 0 then (event_id % 5) || 'h' || (event_id % 60) || 'm' || (user_id % 60) || 's' else (event_id % 7) || ' hours ' || (user_id % 50) || ' min' end as msg from events)""")
+COOLDOWN = """case event_id % 6 when 0 then 'Resets in ' || (event_id % 5) || 'h' || (event_id % 60) || 'm' || (user_id % 60) || 's' when 1 then 'please wait ' || (event_id % 7) || ' hours ' || (user_id % 50) || ' min'
+when 2 then 'retry-after: ' || (event_id % 300) when 3 then 'Try again in ' || (user_id % 9) || ' mins, retry after 5' when 4 then 'took 45 ms; Retry_After ' || (event_id % 90) else 'no time given' end"""
+
+
+@query(rf"""with m as (select event_id, {COOLDOWN} as msg from events), g as (select event_id, msg, coalesce(try_cast(regexp_extract(msg, '{{AFTER}}', 1) as bigint), 0) * 3600 + coalesce(try_cast(regexp_extract(msg, '{{AFTER}}', 2) as bigint), 0) * 60 + coalesce(try_cast(regexp_extract(msg, '{{AFTER}}', 3) as bigint), 0) as a,
+regexp_extract(msg, '(?i)(\d+)\s*(?:hours?|hrs?|h\b)', 1) h, regexp_extract(msg, '(?i)(\d+)\s*(?:minutes?|mins?|m\b)', 1) mi, regexp_extract(msg, '(?i)(\d+)\s*(?:seconds?|secs?|s\b)', 1) s, try_cast(regexp_extract(msg, '(?i)retry[-_ ]after[:\s]+(\d+)', 1) as bigint) r from m),
+t as (select *, case when h <> '' or mi <> '' then coalesce(try_cast(h as bigint), 0) * 3600 + coalesce(try_cast(mi as bigint), 0) * 60 + coalesce(try_cast(s as bigint), 0) else 0 end b from g)
+select event_id, case when a > 0 then a when b > 0 then b when r is not null then greatest(60, r) else 0 end as seconds from t""".replace("{AFTER}", r"(?i)(?:resets?\s*in|try\s*again\s*in)\s*(?:(\d+)\s*h(?:ours?|rs?)?)?\s*(?:(\d+)\s*m(?:in(?:ute)?s?)?)?\s*(?:(\d+)\s*s(?:ec(?:ond)?s?)?)?"))
 def cooldown_parse(spark: SparkSession, d: str) -> DataFrame:
-    """TXT-40: durations in messages."""
+    """TXT-40: durations in messages: after a cue, anywhere, or as retry-after of 60 at least."""
     e, u = F.col("event_id"), F.col("user_id")
-    msg = F.when(e % 2 == 0, F.concat(e % 5, F.lit("h"), e % 60, F.lit("m"), u % 60, F.lit("s"))).otherwise(F.concat(e % 7, F.lit(" hours "), u % 50, F.lit(" min")))
-    return read(spark, d, "events").select("event_id", X.cooldown_seconds(msg).cast("long").alias("seconds"))
+    forms = [
+        F.concat(F.lit("Resets in "), e % 5, F.lit("h"), e % 60, F.lit("m"), u % 60, F.lit("s")), F.concat(F.lit("please wait "), e % 7, F.lit(" hours "), u % 50, F.lit(" min")), F.concat(F.lit("retry-after: "), e % 300),
+        F.concat(F.lit("Try again in "), u % 9, F.lit(" mins, retry after 5")), F.concat(F.lit("took 45 ms; Retry_After "), e % 90), F.lit("no time given"),
+    ]
+    return read(spark, d, "events").select("event_id", X.cooldown_seconds(F.element_at(F.array(*forms), (e % 6 + 1).cast("int"))).alias("seconds"))
 
 
 @query("""select event_id, code <> 0 and regexp_matches(lower(msg), 'rate.?limit|quota|too many requests|429|exhausted') as capped
@@ -230,11 +282,11 @@ def hash_dev_split(spark: SparkSession, d: str) -> DataFrame:
     return read_texts(spark, d).select("doc_id", X.is_dev(name, 0.1).alias("dev"))
 
 
-@query("select doc_id, translate(text, 'àâáäãåçèéêëìíîïñòóôöõùúûüÿÀÂÁÄÇÈÉÊËÌÍÎÏÑÒÓÔÖÙÚÛÜ', 'aaaaaaceeeeiiiinooooouuuuyAAAACEEEEIIIINOOOOUUUU') as plain from documents where lang <> 'en'")
+@query("select doc_id, translate(text, 'àâáäãåçèéêëìíîïñòóôöõùúûüÿÀÂÁÄÇÈÉÊËÌÍÎÏÑÒÓÔÖÙÚÛÜ', 'aaaaaaceeeeiiiinooooouuuuyAAAACEEEEIIIINOOOOUUUU') as plain from documents")
 def tone_strip_translate(spark: SparkSession, d: str) -> DataFrame:
     """GEN-4: letters without their marks."""
     accents = "àâáäãåçèéêëìíîïñòóôöõùúûüÿÀÂÁÄÇÈÉÊËÌÍÎÏÑÒÓÔÖÙÚÛÜ", "aaaaaaceeeeiiiinooooouuuuyAAAACEEEEIIIINOOOOUUUU"
-    return read_texts(spark, d).where("lang <> 'en'").select("doc_id", F.translate("text", *accents).alias("plain"))
+    return read_texts(spark, d).select("doc_id", F.translate("text", *accents).alias("plain"))
 
 
 @query(r"""select doc_id, array_to_string(list_transform(tok, lambda t: t || chr(9) || case when regexp_matches(t, '^\d+$') then 'B-number' when regexp_matches(t, '^\p{Lu}') then 'B-name' else 'O' end), chr(10)) as conll
@@ -255,10 +307,10 @@ def ordinal_readings(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(r"""select doc_id, cast(l as bigint) as lead_blank, cast(length(x) - t as bigint) as tail_blank, case when t > l then regexp_replace(x, '^\s+|\s+$', '', 'g') end as trimmed
-from (select doc_id, x, length(x) - length(regexp_replace(x, '^\s+', '')) l, length(regexp_replace(x, '\s+$', '')) t from (select doc_id, substring(text, doc_id % 50 + 1, 40) x from documents))""")
+from (select doc_id, x, length(x) - length(regexp_replace(x, '^\s+', '')) l, length(regexp_replace(x, '\s+$', '')) t from (select doc_id, substring(text, doc_id % 50 + 1) x from documents))""")
 def span_trim(spark: SparkSession, d: str) -> DataFrame:
     """TXT-28: spans without outer white space; null if nothing is left."""
-    x = F.expr("substring(text, cast(doc_id % 50 + 1 as int), 40)")
+    x = F.expr("substring(text, cast(doc_id % 50 + 1 as int))")
     lead, end = F.length(x) - F.length(F.regexp_replace(x, r"^\s+", "")), F.length(F.regexp_replace(x, r"\s+$", ""))
     return read_texts(spark, d).select("doc_id", lead.cast("long").alias("lead_blank"), (F.length(x) - end).cast("long").alias("tail_blank"), F.when(end > lead, X.strip_blank(x)).alias("trimmed"))
 
