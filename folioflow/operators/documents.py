@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from . import spans as S
+from . import synthetic as G
 
 SPANS = "array<struct<start:int,end:int,label:string>>"
 
@@ -149,3 +150,26 @@ def json_array(reply: str | Column) -> Column:
     kind = F.schema_of_variant(F.try_parse_json(raw))
     outer = F.regexp_extract(raw, r"(?s)\[.*\]", 0)
     return F.when(kind.startswith("ARRAY"), F.regexp_replace(raw, r"^\s+|\s+$", "")).when(F.try_parse_json(outer).isNotNull() & (outer != ""), outer).otherwise("[]")
+
+
+def ladder(record: str) -> dict:
+    """Where the texts of a record (text, after) overlap, and how sure that is; nothing at the end of the first where they don't."""
+    r = json.loads(record)
+    found = S.boundary(r.get("text") or "", r.get("after") or "") or (len(r.get("text") or ""), len(r.get("text") or ""), 0, 0, 0.0)
+    return dict(zip(("before_start", "before_end", "after_start", "after_end", "confidence"), found, strict=True))
+
+
+def smoothed(text: str) -> dict:
+    """Labels of word pieces of four characters, each word's pieces as one."""
+    labels, more = [], []
+    for word in text.split():
+        pieces = [word[i : i + 4] for i in range(0, len(word), 4)]
+        labels += ["B-number" if p.isdigit() else "B-name" if p[0].isupper() else "O" for p in pieces]
+        more += [k > 0 for k in range(len(pieces))]
+    return {"labels": S.smooth_subwords(labels, more)}
+
+
+def protected(text: str) -> dict:
+    """Labels of words, those of one figure tag alike."""
+    words = text.split()
+    return {"labels": G.protect_atomic(words, ["B-name" if w[0].isupper() or w.startswith("<") else "O" for w in words])}

@@ -361,21 +361,28 @@ def _longest_suffix(a: str, b: str) -> int:
 
 
 def overlap(before: str, after: str) -> tuple[int, int, int, int] | None:
-    """The stretches (start and end in both) that two following texts share: exact, up to white space, or by three shingles of three words or more."""
+    """The stretches (start and end in both) that two following texts share, of any confidence."""
+    found = boundary(before, after)
+    return found and found[:4]
+
+
+def boundary(before: str, after: str) -> tuple[int, int, int, int, float] | None:
+    """The stretches (start and end in both) that two following texts share: exact (confidence 1), up to white space (0.98), or by three
+    shingles of three words or more (0.75 and 0.05 for each, 0.95 at most)."""
     if not before.strip() or not after.strip():
         return None
     at = before.find(after)
     if at >= 0:
-        return at, at + len(after), 0, len(after)
+        return at, at + len(after), 0, len(after), 1.0
     k = _longest_suffix(before, after)
     if k >= 20 and len("".join(before[-k:].split())) >= 15:
         at = after.find(before[-k:])
-        return len(before) - k, len(before), at, at + k
+        return len(before) - k, len(before), at, at + k, 1.0
     (a, of_a), (b, of_b) = normalise_map(before), normalise_map(after)
     k = _longest_suffix(a, b)
     if k and len(a[-k:].strip()) >= 15:
         at = b.find(a[-k:])
-        return of_a[len(a) - k], len(before), of_b[at], of_b[at + k - 1] + 1
+        return of_a[len(a) - k], len(before), of_b[at], of_b[at + k - 1] + 1, 0.98
     x, y = list(re.finditer(r"\S+", before)), list(re.finditer(r"\S+", after))
     places: dict[tuple[str, ...], int] = {}
     for i in range(len(y) - 2):
@@ -384,7 +391,7 @@ def overlap(before: str, after: str) -> tuple[int, int, int, int] | None:
     if len(pairs) < 3 or pairs[-1][1] < pairs[0][1]:
         return None
     (i, j), (p, q) = pairs[0], pairs[-1]
-    return x[i].start(), x[p + 2].end(), y[j].start(), y[q + 2].end()
+    return x[i].start(), x[p + 2].end(), y[j].start(), y[q + 2].end(), min(0.95, 0.75 + 0.05 * len(pairs))
 
 
 def build_source(raws: list[str]) -> tuple[str, list[list[tuple[int, int, int, int]]], int]:
@@ -786,3 +793,68 @@ def first_difference(a: str, b: str, around: int = 30) -> tuple[int, str, str] |
         return None
     n = next((i for i, (p, q) in enumerate(zip(x, y)) if p != q), min(len(x), len(y)))
     return n, x[max(n - around, 0) : n + around], y[max(n - around, 0) : n + around]
+
+
+# What candidates of numbering do not count in.
+_MASKED = [
+    r"\$\$.*?\$\$", r"\$[^\$\n]*\$", r"\\\[.+?\\\]", r"\\\(.+?\\\)", r"<table\b.*?</table>", r"<page_metadata>.*?</page_metadata>", r"\{\s*\"p\":\s*\d+,\s*\"head\":.*?\}(?=\n|$)", r"<\|page\|>Page \d+",
+    r"</?pages?>", r"<figure\b[^>]*/>", r"`[^`\n]*`", r"!\[[^\]]*\]\([^)]*\)",
+]
+
+
+def scaffold_mask(text: str) -> list[tuple[int, int]]:
+    """Intervals of formulas, tables, metadata, page tags, figures, code and images; touching ones are one (TXT-25)."""
+    out: list[list[int]] = []
+    for start, end in sorted(m.span() for p in _MASKED for m in re.finditer(p, text, re.DOTALL | re.IGNORECASE)):
+        if out and start <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], end)
+        else:
+            out.append([start, end])
+    return [(a, b) for a, b in out]
+
+
+_ATTRIBUTES = r"""(?:[^"'>]|"[^"]*"|'[^']*')*"""
+_OPENING = re.compile(rf"<(stimulus|section|question_label)\b({_ATTRIBUTES})>?", re.IGNORECASE)
+# Page metadata, and watermarks, in a stimulus.
+_METADATA = re.compile(r"<page_metadata\b|<pages?\b|\{\s*\"(?:p|page_number|doc_id)\"\s*:", re.IGNORECASE)
+_WATERMARK = re.compile(r"https?://\S+|www\.\S+|thuvienhoclieu\.com|trang\s+\d+(?:/\d+)?", re.IGNORECASE)
+
+
+def _stimulus_fault(inner: str) -> str | None:
+    """metadata, empty or junk (under 15 characters but for watermarks); none of the last two where there is a figure or a table."""
+    if _METADATA.search(inner):
+        return "metadata"
+    if re.search(r"<(?:figure|table)\b", inner, re.IGNORECASE):
+        return None
+    plain = " ".join(re.sub(r"(?s)<!--.*?-->|</?[A-Za-z][^>]*>", " ", inner).split())
+    if not plain:
+        return "empty"
+    return "junk" if len(_WATERMARK.sub("", plain).strip()) < 15 else None
+
+
+def stimulus_integrity(text: str) -> dict:
+    """score and faults: self_closing, metadata, empty or junk stimuli (15 points each), and those that serve a single question before
+    the next section or stimulus (10 points).  A stimulus that is never closed is passed over (SCR-6)."""
+    opened = [(m.start(), m[1].lower(), m) for m in _OPENING.finditer(text)]
+    bounds = [at for at, name, _ in opened if name != "question_label"]
+    labels = [at for at, name, _ in opened if name == "question_label"]
+    closing = [m.span() for m in re.finditer(r"</stimulus\s*>", text, re.IGNORECASE)]
+    faults, at = [], 0
+    for start, name, m in opened:
+        if name != "stimulus" or start < at or not m[0].endswith(">"):
+            continue
+        at = m.end()
+        if m[2].rstrip().endswith("/"):
+            faults.append("self_closing")
+            continue
+        k = bisect_left(closing, (at, 0))
+        if k == len(closing):
+            continue
+        fault = _stimulus_fault(text[at : closing[k][0]])
+        at = closing[k][1]
+        b = bisect_left(bounds, at)
+        if fault:
+            faults.append(fault)
+        elif b < len(bounds) and bisect_left(labels, bounds[b]) - bisect_left(labels, at) == 1:
+            faults.append("single_question")
+    return {"score": max(0.0, 100.0 - sum(10 if f == "single_question" else 15 for f in faults)), "faults": faults}

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import itertools
+import json
 import random
 import re
+import unicodedata
+import zlib
 from bisect import bisect_left, bisect_right
 from collections.abc import Callable
 
@@ -283,3 +286,49 @@ def revise(text: str, review: Callable[[str], tuple[str, float]], edit: Callable
         if (tier[decision], score) > (tier[best[1]], best[2]):
             best = (current, decision, score)
     return best
+
+
+# Tone marks, telex endings, and neighbouring keys.
+_TONES = {"\u0300", "\u0301", "\u0303", "\u0309", "\u0323"}
+_TELEX = "sfrxjw"
+_NEIGHBOURS = {
+    "a": "qwsz", "b": "vghn", "c": "xdfv", "d": "ersfxc", "e": "wsdr", "g": "tyfhvb", "h": "yugjbn", "i": "ujko", "k": "ijlm", "l": "kop", "m": "njk", "n": "bhjm",
+    "o": "iklp", "p": "ol", "r": "edtf", "s": "wedxza", "t": "rfgy", "u": "yhji", "v": "cfgb", "w": "qase", "x": "zsdc", "y": "tghu", "z": "asx",
+}
+
+
+def typo(word: str, dice: int) -> str:
+    """The word with one slip, which a number from 0 on chooses: without tone marks, two letters swapped (from three on), a telex
+    ending, or a neighbouring key (from two letters on)."""
+    kind, dice = dice % 4, dice // 4
+    if kind == 0:
+        return unicodedata.normalize("NFC", "".join(c for c in unicodedata.normalize("NFD", word) if c not in _TONES))
+    if kind == 1:
+        i = dice % max(len(word) - 1, 1)
+        return word[:i] + word[i + 1] + word[i] + word[i + 2 :] if len(word) >= 3 else word
+    if kind == 2:
+        return word + _TELEX[dice % len(_TELEX)]
+    keys = [i for i, c in enumerate(word) if c in _NEIGHBOURS]
+    if len(word) < 2 or not keys:
+        return word
+    i = keys[dice % len(keys)]
+    return word[:i] + _NEIGHBOURS[word[i]][dice // len(keys) % len(_NEIGHBOURS[word[i]])] + word[i + 1 :]
+
+
+def typos(text: str, rate: float, seed: str) -> tuple[str, int]:
+    """The text with slips in a share of its words, and how many words changed.  Words lie between single spaces; a hash of the
+    seed, the word and its place decides, so that the same text gets the same slips (GEN-4)."""
+    out, changed = [], 0
+    for i, word in enumerate(text.split(" ")):
+        dice = zlib.crc32(f"{seed}/{i}/{word}".encode())
+        slip = typo(word, zlib.crc32(dice.to_bytes(4, "big"))) if word and dice < rate * 2**32 else word
+        changed += slip != word
+        out.append(slip)
+    return " ".join(out), changed
+
+
+def typos_of(record: str) -> dict:
+    """noisy and changed of a record with doc_id and text."""
+    r = json.loads(record)
+    noisy, changed = typos(r.get("text") or "", 0.1, str(r.get("doc_id")))
+    return {"noisy": noisy, "changed": changed}

@@ -36,8 +36,15 @@ def anchors(docs: DataFrame, items: DataFrame) -> DataFrame:
     """doc_id, item_id, place: items (item_id, b, head) whose first words (head) stand in a document.
 
     Documents and items meet on the item's first word, so that only documents that have it are searched."""
-    words = docs.select("doc_id", "text", F.explode(F.array_distinct(F.split("text", r"[\s]+"))).alias("w"))
     firsts = items.withColumn("w", F.split_part("head", F.lit(" "), F.lit(1)))
-    inside = words.join(firsts, "w").where(F.expr("instr(text, head) > 0"))
+    inside = containing(docs, firsts, "w").where(F.expr("instr(text, head) > 0"))
     by_start = F.expr("nullif(instr(text, substring(b, 1, 30)), 0)")
     return inside.select("doc_id", "item_id", F.coalesce(by_start, F.expr("instr(text, head)")).cast("long").alias("place"))
+
+
+def containing(docs: DataFrame, items: DataFrame, word: str) -> DataFrame:
+    """Pairs of docs (doc_id, text) and items whose word stands in the document between white space.
+
+    Words travel with ids only; the texts join the pairs that are left, once for each pair."""
+    pairs = docs.select("doc_id", F.explode(F.array_distinct(F.split("text", r"\s+"))).alias(word)).join(items.select("item_id", word), word)
+    return pairs.select("doc_id", "item_id").join(docs, "doc_id").join(items.drop(word), "item_id")

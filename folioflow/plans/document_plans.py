@@ -13,6 +13,7 @@ from folioflow.functions import text as X
 from folioflow.operators import documents as D
 from folioflow.operators import spans as S
 from folioflow.registry import query, read, read_texts
+from folioflow.sources import writers
 
 
 @query()
@@ -186,6 +187,10 @@ def farthest_first(spark: SparkSession, d: str) -> DataFrame:
     chosen = chosen.groupBy("label").agg(F.collect_list(F.struct("round", "vec_id", "v")).alias("c"))
     gap = lambda a, b: F.aggregate(F.zip_with(a, b, lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda s, z: s + z)
     for round_no in range(1, 8):
+        # eight vectors of each label at most: written, so that no round plans those before it again
+        path = writers.scratch(spark, "chosen")
+        chosen.write.parquet(path)
+        chosen = spark.read.parquet(path)
         near = F.array_min(F.transform("c", lambda c: gap(F.col("v"), c["v"])))
         best = x.join(chosen, "label").withColumn("g", near).groupBy("label").agg(F.max_by(F.struct(F.lit(round_no).alias("round"), "vec_id", "v"), F.struct("g", -F.col("vec_id"))).alias("new"))
         chosen = chosen.join(best, "label").select("label", F.concat("c", F.array("new")).alias("c"))

@@ -9,6 +9,7 @@ from folioflow.functions import text as X
 from folioflow.operators import batches as B
 from folioflow.operators import pages as P
 from folioflow.operators import relational as R
+from folioflow.operators import windows as W
 from folioflow.registry import query, read, read_texts
 
 WORDS = r"cast(len(case when trim(regexp_replace(text, '\s+', ' ', 'g')) = '' then [] else string_split(trim(regexp_replace(text, '\s+', ' ', 'g')), ' ') end) as bigint)"
@@ -184,21 +185,23 @@ def bio_segments(spark: SparkSession, d: str) -> DataFrame:
 o as (select t.doc_id, t.i, max(p.j) j from t join p on p.doc_id = t.doc_id and greatest(s, a) < least(e, b) group by 1, 2) select doc_id, i, case when lag(j) over (partition by doc_id order by i) = j and lag(i) over (partition by doc_id order by i) = i - 1 then 'I' else 'B' end as tag, j from o""")
 def bio_alignment(spark: SparkSession, d: str) -> DataFrame:
     """JN-5, JN-6, WIN-10: tokens get the span of the highest priority that they overlap."""
-    docs = read_texts(spark, d).select("doc_id", F.floor(F.col("n_chars") / 7).alias("n"), F.floor(F.col("n_chars") / 50).alias("m"))
-    t = docs.where("n > 0").select("doc_id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("i")).withColumn("s", F.col("i") * 7).withColumn("e", F.col("s") + 5)
-    p = docs.select("doc_id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("m"))).alias("j")).withColumn("a", F.col("j") * 50).withColumn("b", F.col("a") + 30)
-    o = R.interval_join(t, p, "doc_id", "s", "e", "a", "b", 512).groupBy("doc_id", "i").agg(F.max("j").alias("j"))
-    w = Window.partitionBy("doc_id").orderBy("i")
-    return o.select("doc_id", "i", F.when((F.lag("j").over(w) == F.col("j")) & (F.lag("i").over(w) == F.col("i") - 1), "I").otherwise("B").alias("tag"), "j")
+    n, m, zero = F.floor(F.col("n_chars") / 7), F.floor(F.col("n_chars") / 50), F.lit(0).cast("long")
+    tokens = F.transform(F.sequence(zero, n - 1), lambda i: F.struct((i * 7).alias("s"), (i * 7 + 5).alias("e")))
+    spans = F.transform(F.sequence(zero, m), lambda j: F.struct((j * 50).alias("a"), (j * 50 + 30).alias("b")))
+    j = R.with_overlaps(read(spark, d, "documents").where(n > 0), "doc_id", tokens, spans, 512, F.array_max)
+    before = F.concat(F.array(F.lit(None).cast("long")), F.slice("chosen", 1, F.greatest(F.size("chosen") - 1, F.lit(0))))
+    rows = j.select("doc_id", F.posexplode(F.arrays_zip(F.col("chosen").alias("j"), before.alias("p"))).alias("i", "x")).where("x.j is not null")
+    return rows.select("doc_id", F.col("i").cast("long").alias("i"), F.when(F.col("x.j") == F.col("x.p"), "I").otherwise("B").alias("tag"), "x.j")
 
 
 @query(r"""with t as (select doc_id, unnest(range(0, n_chars // 7 + 1)) i from documents), p as (select doc_id, unnest(range(0, n_chars // 40 + 1)) j from documents) select t.doc_id, i, min(j) as j from t join p on p.doc_id = t.doc_id and i * 7 + 1 >= j * 40 and i * 7 + 1 < j * 40 + 55 group by 1, 2""")
 def anchor_alignment(spark: SparkSession, d: str) -> DataFrame:
     """JN-7: tokens get the first span that holds their first character."""
-    docs = read_texts(spark, d).select("doc_id", F.floor(F.col("n_chars") / 7).alias("n"), F.floor(F.col("n_chars") / 40).alias("m"))
-    t = docs.select("doc_id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n"))).alias("i")).withColumn("s", F.col("i") * 7 + 1).withColumn("e", F.col("s") + 1)
-    p = docs.select("doc_id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("m"))).alias("j")).withColumn("a", F.col("j") * 40).withColumn("b", F.col("a") + 55)
-    return R.interval_join(t, p, "doc_id", "s", "e", "a", "b", 512).groupBy("doc_id", "i").agg(F.min("j").alias("j"))
+    n, m, zero = F.floor(F.col("n_chars") / 7), F.floor(F.col("n_chars") / 40), F.lit(0).cast("long")
+    tokens = F.transform(F.sequence(zero, n), lambda i: F.struct((i * 7 + 1).alias("s"), (i * 7 + 2).alias("e")))
+    spans = F.transform(F.sequence(zero, m), lambda j: F.struct((j * 40).alias("a"), (j * 40 + 55).alias("b")))
+    j = R.with_overlaps(read(spark, d, "documents"), "doc_id", tokens, spans, 512, F.array_min)
+    return j.select("doc_id", F.posexplode("chosen").alias("i", "j")).where("j is not null").select("doc_id", F.col("i").cast("long").alias("i"), "j")
 
 
 SEAM = "(select user_id, event_id, dayofmonth(ts) a, dayofmonth(ts) + event_id % 4 b from events)"
@@ -233,12 +236,13 @@ def gold_exclusion(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _contained(spark: SparkSession, d: str) -> DataFrame:
-    """Documents and the items that stand in them: they meet on the item's longest inner word, then the text decides."""
-    docs = read_texts(spark, d).select("doc_id", "text", F.explode(F.array_distinct(F.split("text", r"\s+"))).alias("w"))
+    """Documents and the items that stand in them: they meet on the item's longest inner word, then the text decides.
+
+    Only words of items are kept of a document, and ids travel with them, not texts, which join the pairs that are left."""
     inner = F.expr("slice(split(text, '[ \n]'), 2, greatest(size(split(text, '[ \n]')) - 2, 0))")
     word = F.array_max(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
     items = read(spark, d, "benchmark").select("item_id", F.col("text").alias("item"), word.alias("w")).where("w is not null")
-    return docs.join(items, "w").where(F.contains("text", "item")).select("doc_id", "item_id", "text", "item")
+    return W.containing(read_texts(spark, d).select("doc_id", "text"), items, "w").where(F.contains("text", "item")).select("doc_id", "item_id", "text", "item")
 
 
 @query("select doc_id, item_id, instr(d.text, b.text) as place from documents d, benchmark b where contains(d.text, b.text)")
@@ -432,18 +436,14 @@ def hash_class_edit(spark: SparkSession, d: str) -> DataFrame:
 def shard_round_robin(spark: SparkSession, d: str) -> DataFrame:
     """FLT-14: round-robin shards over ranks: counts by range give each range its first rank, so no task sees all rows."""
     docs = read(spark, d, "documents").select("doc_id")
-    span = F.floor(F.col("doc_id") / 1024)
-    counts = docs.groupBy(span.alias("span")).agg(F.count(F.lit(1)).alias("n"))
-    before = counts.withColumn("before", F.sum("n").over(Window.orderBy("span")) - F.col("n")).drop("n")  # one row per 1024 ids
-    rank = F.row_number().over(Window.partitionBy("span").orderBy("doc_id")) - 1
-    return docs.withColumn("span", span).join(before, "span").select("doc_id", ((F.col("before") + rank) % 4).alias("shard"))
+    return R.ranks(docs, "doc_id").select("doc_id", (F.col("rank") % 4).alias("shard"))
 
 
 @query("select doc_id, n_chars // 64 as bucket, (row_number() over (partition by n_chars // 64 order by doc_id) - 1) // 8 as batch from documents")
 def length_bucket_batches(spark: SparkSession, d: str) -> DataFrame:
     """SEQ-10: batches of eight of like length."""
-    b = F.floor(F.col("n_chars") / 64)
-    return read(spark, d, "documents").select("doc_id", b.alias("bucket"), F.floor((F.row_number().over(Window.partitionBy(b).orderBy("doc_id")) - 1) / 8).alias("batch"))
+    docs = read(spark, d, "documents").select("doc_id", F.floor(F.col("n_chars") / 64).alias("bucket"))
+    return R.ranks(docs, "doc_id", "bucket").select("doc_id", "bucket", F.floor(F.col("rank") / 8).alias("batch"))
 
 
 @query("select lang, doc_id, r from (select lang, doc_id, row_number() over (partition by lang order by k, source) r from (select lang, source, doc_id, row_number() over (partition by lang, source order by doc_id) k from documents)) where r <= 25")

@@ -12,9 +12,10 @@ USAGE = "timestamp string, provider string, model string, caller string, input_t
 
 
 def markdown(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id (file name without extension) and raw_text of each file (SRC-1)."""
-    files = spark.read.text(path, wholetext=True)
-    return files.select(F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "").alias("doc_id"), F.col("value").alias("raw_text"))
+    """doc_id (name of a folder doc_id=..., else of the file without extension) and raw_text of each file (SRC-1)."""
+    files = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
+    folder = F.regexp_extract("_metadata.file_path", "/doc_id=([^/]+)/", 1)
+    return files.select(F.when(folder != "", folder).otherwise(F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "")).alias("doc_id"), F.col("value").alias("raw_text"))
 
 
 def split_pages(docs: DataFrame, doc: str = "doc_id", text: str = "raw_text") -> DataFrame:

@@ -2,13 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.functions import text as X
 from folioflow.operators.relational import upsert
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the folder of spark.checkpoint.dir, which driver and executors share; in the local temp folder where a local session has none."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
+    if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir names no folder that driver and executors share")
+        found = "file://" + tempfile.mkdtemp(prefix="scratch-")
+    return f"{found.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def text_files(df: DataFrame, path: str) -> None:
+    """One text file for each row of df (doc_id, text), in a folder doc_id=...; each ends with a line break."""
+    df.toDF("doc_id", "text").write.partitionBy("doc_id").text(path)
+
+
 def dataset(df: DataFrame, path: str, *, id_col: str = "doc_id", dev_ratio: float = 0.1, kind: str = "parquet") -> None:
     """Write df by split, train or dev; parts and augmented twins of a document go with it (SNK-1)."""
     split = F.when(X.is_dev(id_col, dev_ratio), "dev").otherwise("train")
