@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -84,22 +82,3 @@ def ranks(df: DataFrame, order: str, *by: str) -> DataFrame:
     own = F.row_number().over(Window.partitionBy("_range", *by).orderBy(order)) - 1
     first = F.broadcast(counts.withColumn("_before", before).drop("_n"))  # ranges x the groups that meet in them
     return cut.withColumn("rank", own).join(first, ["_range", *by]).withColumn("rank", F.col("rank") + F.col("_before")).drop("_range", "_before")
-
-
-def with_overlaps(docs: DataFrame, by: str, tokens: Column, spans: Column, width: int, choose: Callable[[Column], Column]) -> DataFrame:
-    """by and chosen: for each token (s, e) of a document's row, what choose makes of the numbers of the spans (a, b) that it overlaps.
-
-    Spans lie in buckets of width, which no token may be longer than, so a token meets those of its bucket only.  All is
-    done within the row: nothing is joined or shuffled."""
-    numbered = F.transform(spans, lambda p, j: F.struct(p["a"].alias("a"), p["b"].alias("b"), j.cast("long").alias("j")))
-    last = F.floor(F.coalesce(F.array_max(F.transform(tokens, lambda t: t["s"])), F.lit(0)) / width)
-    # an array of one row is exploded, so that the buckets are made once and not for each token
-    rows = docs.select(by, tokens.alias("_t"), numbered.alias("_p"), last.cast("long").alias("_n"))
-    buckets = F.transform(F.sequence(F.lit(0).cast("long"), F.col("_n")), lambda k: F.filter("_p", lambda p: (p["a"] < (k + 2) * width) & (p["b"] > k * width)))
-    rows = rows.select(by, "_t", F.explode(F.array(F.struct(buckets.alias("b")))).alias("_x"))
-
-    def of(t: Column) -> Column:
-        near = F.filter(F.get("_x.b", F.floor(t["s"] / width).cast("int")), lambda p: F.greatest(p["a"], t["s"]) < F.least(p["b"], t["e"]))
-        return choose(F.transform(near, lambda p: p["j"]))
-
-    return rows.select(by, F.transform("_t", of).alias("chosen"))

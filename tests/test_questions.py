@@ -80,17 +80,6 @@ def test_ranks_do_not_need_one_task_for_a_group(spark):
     assert R.ranks(df.where("x < 0"), "x", "g").count() == 0
 
 
-def test_overlaps_equal_a_plain_walk(spark):
-    rng = random.Random(6)
-    docs = []
-    for i in range(12):
-        spans = [(a, a + rng.randint(1, 90)) for a in rng.choices(range(400), k=rng.randint(0, 12))]
-        docs.append((i, [(s, s + rng.randint(1, 20)) for s in sorted(rng.choices(range(400), k=rng.randint(0, 30)))], spans))
-    df = spark.createDataFrame(docs, "id int, t array<struct<s:long,e:long>>, p array<struct<a:long,b:long>>")
-    got = {r.id: r.chosen for r in R.with_overlaps(df, "id", F.col("t"), F.col("p"), 32, lambda x: x).collect()}
-    assert got == {i: [[k for k, (a, b) in enumerate(p) if max(a, s) < min(b, e)] for s, e in t] for i, t, p in docs}
-
-
 def test_penalties_and_caps(spark):
     rows = [("truncated_output", "MAJOR", 25.0, 60.0), ("missing_stem", "CRITICAL", 35.0, 35.0), ("schema_conformance", "MAJOR", 10.0, 30.0), ("conflict_markers", "CRITICAL", 100.0, 35.0), ("other", "MAJOR", 15.0, 35.0), ("xml_syntax", "INFO", 0.0, 50.0), ("xml_syntax", "ODD", 5.0, 50.0)]
     df = spark.createDataFrame(rows, "c string, s string, p double, k double")
