@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from . import exam as E
 from . import spans as S
 from . import synthetic as G
 
@@ -20,14 +21,14 @@ def _rows(spans: list[S.Span]) -> list[tuple[int, int, str]]:
     return [(s.start, s.end, s.label) for s in spans]
 
 
-def per_text(df: DataFrame, text: str, fields: str, f: Callable[[str], dict]) -> DataFrame:
-    """df without its text, and with the fields that f gives for it; null texts count as empty."""
-    keep = [c for c in df.columns if c != text]
+def per_texts(df: DataFrame, texts: list[str], fields: str, f: Callable[..., dict]) -> DataFrame:
+    """df without its texts, and with the fields that f gives for them; null texts count as empty."""
+    keep = [c for c in df.columns if c not in texts]
     schema = StructType([*[df.schema[c] for c in keep], *StructType.fromDDL(fields)])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            made = [f(x or "") for x in batch[text]]
+            made = [f(*(x or "" for x in row)) for row in zip(*(batch[t] for t in texts), strict=True)]
             out = batch[keep].copy()
             for name in schema.names[len(keep) :]:
                 out[name] = [m[name] for m in made]
@@ -36,6 +37,10 @@ def per_text(df: DataFrame, text: str, fields: str, f: Callable[[str], dict]) ->
     return df.mapInPandas(run, schema)
 
 
+def per_text(df: DataFrame, text: str, fields: str, f: Callable[[str], dict]) -> DataFrame:
+    return per_texts(df, [text], fields, f)
+
+
 def lex(df: DataFrame, text: str) -> DataFrame:
     """plain and spans of tagged texts."""
 
@@ -47,7 +52,17 @@ def lex(df: DataFrame, text: str) -> DataFrame:
 
 
 def parse(df: DataFrame, text: str) -> DataFrame:
-    """Question spans of plain texts, and the number of questions."""
+    """Numbers of questions, options and repeated numbers, confidence and spans of the exam in plain texts (SEQ-27)."""
+
+    def one(x: str) -> dict:
+        e = E.parse_exam(x)
+        return {"questions": e.questions, "options": e.options, "repeated": e.repeated, "confidence": e.confidence, "spans": _rows(e.spans)}
+
+    return per_text(df, text, f"questions int, options int, repeated int, confidence double, spans {SPANS}", one)
+
+
+def parse_lines(df: DataFrame, text: str) -> DataFrame:
+    """Question spans of plain texts by fixed expressions, and the number of questions (SEQ-29)."""
 
     def one(x: str) -> dict:
         spans = S.parse_questions(x)
@@ -56,6 +71,11 @@ def parse(df: DataFrame, text: str) -> DataFrame:
     return per_text(df, text, f"questions int, spans {SPANS}", one)
 
 
+def coverage(df: DataFrame, raw: str, tagged: str) -> DataFrame:
+    """How many questions of raw texts their tagged forms have (JN-15, SCR-8)."""
+    return per_texts(df, [raw, tagged], "detected int, annotated int, matched int, missing array<string>, score double, severity string", E.coverage)
+
+
 def balance(df: DataFrame, text: str) -> DataFrame:
     """Faults of tags by kind, whether rebalancing mends them, and a score from 100 down."""
 

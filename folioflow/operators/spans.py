@@ -745,16 +745,6 @@ def word_windows(lengths: list[int], budget: int, overlap: int) -> list[tuple[in
     return out
 
 
-def farthest_first(x: np.ndarray, k: int, first: int) -> list[int]:
-    """k rows, each the farthest from those before; ties to the smaller row."""
-    chosen, gap = [first], np.linalg.norm(x - x[first], axis=1)
-    while len(chosen) < min(k, len(x)):
-        gap[chosen] = -1
-        chosen.append(int(gap.argmax()))
-        gap = np.minimum(gap, np.linalg.norm(x - x[chosen[-1]], axis=1))
-    return chosen
-
-
 def repair_json(raw: str) -> str:
     """JSON with stray backslashes doubled and control characters in strings escaped."""
     out, inside, i = [], False, 0

@@ -6,14 +6,14 @@ import hashlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from folioflow.functions import text as X
 from folioflow.operators import documents as D
 from folioflow.operators import spans as S
+from folioflow.operators.curate import farthest_first_quotas
 from folioflow.registry import query, read, read_texts
-from folioflow.sources import writers
 
 
 @query()
@@ -23,12 +23,24 @@ def lex_annotations(spark: SparkSession, d: str) -> DataFrame:
     return D.lex(read(spark, d, "conversations").select("conv_id", "turn", tagged.alias("x")), "x")
 
 
+def _numbered(text: Column) -> Column:
+    """A text as an exam of two questions, the first without options, in one section."""
+    half = F.floor(F.length(text) / 2).cast("int")
+    return F.concat(F.lit("Part I. Questions\nCâu 1. "), F.substr(text, F.lit(1), half), F.lit("\nCâu 2. "), F.substr(text, half + 1), F.lit("\nA. x\nB. y\nC. z\nSolution: B"))
+
+
 @query()
 def det_parse(spark: SparkSession, d: str) -> DataFrame:
-    """SEQ-27, SEQ-29, TXT-25, ORD-5: questions and options of numbered text."""
+    """SEQ-27, TXT-25, ORD-5: sections, questions, options and explanations by the style of numbering that fits best."""
+    return D.parse(read_texts(spark, d).select("doc_id", _numbered(F.coalesce("text", F.lit(""))).alias("x")), "x")
+
+
+@query()
+def line_parse(spark: SparkSession, d: str) -> DataFrame:
+    """SEQ-29: questions and options by the beginnings of lines."""
     half = F.floor(F.length("text") / 2).cast("int")
     text = F.concat(F.lit("1. "), F.substr("text", F.lit(1), half), F.lit("\nA. one\nB. two\n2) "), F.substr("text", half + 1), F.lit("\nA. x\nB. y\nC. z"))
-    return D.parse(read_texts(spark, d).select("doc_id", text.alias("x")), "x")
+    return D.parse_lines(read_texts(spark, d).select("doc_id", text.alias("x")), "x")
 
 
 @query()
@@ -99,7 +111,18 @@ def whitespace_nfc_map(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def fuzzy_question_match(spark: SparkSession, d: str) -> DataFrame:
-    """JN-15, SCR-8, SCR-9: texts that have the same number on both sides, and how similar they are."""
+    """JN-15, SCR-8: questions of raw documents in their tagged forms, of which some have other labels or are left out."""
+    x, k = F.coalesce("text", F.lit("")), F.col("doc_id") % 4
+    half = F.floor(F.length(x) / 2).cast("int")
+    one = lambda label, stem: F.concat(F.lit(f"<question_label>{label}</question_label><stem>"), stem, F.lit("</stem>"))
+    first = F.when(k == 0, one("Câu 01.", F.substr(x, F.lit(1), half))).when(k == 1, one("7)", F.substr(x, F.lit(1), half))).when(k == 2, one("Câu 1.", F.lit("something else")))
+    tagged = F.concat(F.coalesce(first, F.lit("")), F.when(k == 3, F.lit("")).otherwise(one("Câu 2.", F.substr(x, half + 1))))
+    return D.coverage(read_texts(spark, d).select("doc_id", _numbered(x).alias("raw"), tagged.alias("tagged")), "raw", "tagged")
+
+
+@query()
+def question_similarity(spark: SparkSession, d: str) -> DataFrame:
+    """SCR-9: texts that have the same number on both sides, and how similar they are."""
     w = Window.partitionBy("conv_id", "role").orderBy("turn")
     rows = read(spark, d, "conversations").withColumn("n", F.row_number().over(w))
     a, b = (rows.where(F.col("role") == r).select("conv_id", "n", F.col("turn").alias(t), F.col("text").alias(x)) for r, t, x in (("user", "turn", "x"), ("assistant", "other", "y")))
@@ -181,20 +204,9 @@ def shelf_packing(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def farthest_first(spark: SparkSession, d: str) -> DataFrame:
-    """SEQ-40: eight rows of each label, each farthest from those before; a round is one pass, with a bounded state of chosen vectors."""
-    x = read(spark, d, "embeddings").select("vec_id", "label", F.transform("embedding", lambda v: v.cast("double")).alias("v"))
-    chosen = x.groupBy("label").agg(F.min_by(F.struct("vec_id", "v"), "vec_id").alias("c")).select("label", F.lit(0).alias("round"), "c.vec_id", "c.v")
-    chosen = chosen.groupBy("label").agg(F.collect_list(F.struct("round", "vec_id", "v")).alias("c"))
-    gap = lambda a, b: F.aggregate(F.zip_with(a, b, lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda s, z: s + z)
-    for round_no in range(1, 8):
-        # eight vectors of each label at most: written, so that no round plans those before it again
-        path = writers.scratch(spark, "chosen")
-        chosen.write.parquet(path)
-        chosen = spark.read.parquet(path)
-        near = F.array_min(F.transform("c", lambda c: gap(F.col("v"), c["v"])))
-        best = x.join(chosen, "label").withColumn("g", near).groupBy("label").agg(F.max_by(F.struct(F.lit(round_no).alias("round"), "vec_id", "v"), F.struct("g", -F.col("vec_id"))).alias("new"))
-        chosen = chosen.join(best, "label").select("label", F.concat("c", F.array("new")).alias("c"))
-    return chosen.select("label", F.explode("c").alias("c")).select("label", "c.round", "c.vec_id")
+    """SEQ-40: vectors far from each other until the documents of each tier have its tokens."""
+    rows = read(spark, d, "embeddings").select("vec_id", (F.col("vec_id") % 3).cast("string").alias("tier"), (F.col("vec_id") * 37 % 900 + 100).alias("tokens"), F.col("embedding").alias("v"))
+    return farthest_first_quotas(rows, "vec_id", "tier", "tokens", "v", {"0": 6000, "1": 4000, "2": 2000}, 800)
 
 
 @query()
