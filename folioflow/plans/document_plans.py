@@ -59,14 +59,19 @@ def xml_checker(spark: SparkSession, d: str) -> DataFrame:
     return D.balance(read(spark, d, "pages").select("page_id", "html"), "html")
 
 
-@query()
+@query(r"""with recursive t as (select conv_id, row_number() over (partition by conv_id order by turn) k, lead(turn) over (partition by conv_id order by turn) is null as final, cast(turn as integer) turn, len(list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '')) w from conversations),
+r as (select conv_id, k, final, 0 as chunk, [turn] own, cast([] as integer[]) context, turn, w, w as total from t where k = 1
+union all select t.conv_id, t.k, t.final, r.chunk + cast(r.total >= 60 as integer), case when r.total >= 60 then [t.turn] else list_append(r.own, t.turn) end, case when r.total >= 60 then [r.turn] else r.context end, t.turn, t.w, case when r.total >= 60 then r.w else r.total end + t.w from r join t on t.conv_id = r.conv_id and t.k = r.k + 1)
+select conv_id, cast(chunk as integer) as chunk, own as pages, context from r where total >= 60 or final""")
 def page_chunker_overlap(spark: SparkSession, d: str) -> DataFrame:
     """SEQ-1, SEQ-2: chunks of pages with one page of overlap."""
     turns = read(spark, d, "conversations").select("conv_id", F.col("turn").cast("int").alias("turn"), F.size(X.split_words("text")).alias("w"))
     return D.chunk_pages(turns, "conv_id", "turn", "w", 60, 100)
 
 
-@query()
+@query(r"""with e as (select conv_id, turn, role, cast(turn // 2 as bigint) as n, min(case when role in ('system', 'user') then turn end) over (partition by conv_id order by turn rows between 1 following and unbounded following) stop from conversations)
+select conv_id, 'SECTION' as kind, n as number, 'PARTIAL_CLOSED' as status from e where role = 'system'
+union all select conv_id, 'Q', n, case when exists (select 1 from e x where x.conv_id = e.conv_id and x.role not in ('system', 'user') and x.n = e.n and x.turn > e.turn and (e.stop is null or x.turn < e.stop)) then 'CLOSED' else 'PARTIAL_CLOSED' end from e where role = 'user'""")
 def hierarchy_stack(spark: SparkSession, d: str) -> DataFrame:
     """SEQ-31: nested groups of begin and end events."""
     role = F.col("role")
@@ -75,7 +80,11 @@ def hierarchy_stack(spark: SparkSession, d: str) -> DataFrame:
     return D.hierarchy(read(spark, d, "conversations").select("conv_id", "turn", name.alias("event"), number.alias("number")), "conv_id", "turn", "event", "number")
 
 
-@query()
+@query(r"""with recursive v as (select vec_id, list_transform(embedding, lambda x: cast(x as double)) x from embeddings where len(embedding) % 4 = 0),
+r as (select vec_id, x, 1 as t, [x[1], x[2], x[3] - 10000, x[4]] s, [[0], [1], [2], [3]] p from v
+union all select vec_id, x, t + 1, list_transform(b, lambda m, j: list_max(m) + x[4 * t + j]), list_transform(b, lambda m, j: list_append(p[list_position(m, list_max(m))], j - 1))
+from (select *, [s, s, [s[1] - 10000, s[2], s[3], s[4] - 10000], s] b from r where t < len(x) // 4))
+select vec_id, list_transform(p[list_position(s, list_max(s))], lambda k: cast(k as integer)) as path from r where t = len(x) // 4""")
 def viterbi_decode(spark: SparkSession, d: str) -> DataFrame:
     """SEQ-37, WIN-9: best BIO paths of emissions (an embedding as 16 steps of 4 tags), Arrow batches of vectors."""
     tags = ["O", "B-q", "I-q", "B-a"]
@@ -98,7 +107,7 @@ def latex_spans(spark: SparkSession, d: str) -> DataFrame:
     return D.per_text(read_texts(spark, d).select("doc_id", "text"), "text", "n int, places array<array<int>>, valid int", one)
 
 
-@query()
+@query(r"""select doc_id, cast(length(x) as integer) as chars, cast(nullif(length(regexp_replace(text, '(\s+|[^\s]\p{M}*)$', '')), length(text)) as integer) as last, md5(x) as digest from (select doc_id, coalesce(text, '') as text, nfc_normalize(regexp_replace(coalesce(text, ''), '\s+', ' ', 'g')) x from documents)""")
 def whitespace_nfc_map(spark: SparkSession, d: str) -> DataFrame:
     """TXT-5, TXT-6, TXT-43: normalised text with the place of each kept character."""
 
@@ -129,7 +138,8 @@ def question_similarity(spark: SparkSession, d: str) -> DataFrame:
     return a.join(b, ["conv_id", "n"]).select("conv_id", "turn", "other", F.round(D.similarity("x", "y"), 6).alias("ratio"))
 
 
-@query()
+@query(r"""with g as (select doc_id, unnest(range(0, greatest(length(text) - 5, 0), 10)) a from documents), m as (select doc_id, a, (select count(*) from (select unnest([a - 10, a, a + 10]) o) where abs(o - (a + a % 3)) <= 1 and o + 5 = a + 5) hit from g)
+select d.doc_id, cast(coalesce(sum(hit), 0) as integer) as tp, cast(coalesce(sum(1 - hit), 0) as integer) as fp, cast(coalesce(sum(1 - hit), 0) as integer) as fn from documents d left join m using (doc_id) group by 1""")
 def greedy_span_match(spark: SparkSession, d: str) -> DataFrame:
     """JN-19: predicted spans take gold ones within a tolerance, each once."""
 
@@ -167,7 +177,8 @@ def search_replace_patch(spark: SparkSession, d: str) -> DataFrame:
     return D.per_text(read_texts(spark, d).select("doc_id", "text"), "text", "applied boolean, refused int, chars int", one)
 
 
-@query()
+@query(r"""select doc_id, p is null as same, cast(p - 1 as integer) as place from (select doc_id, list_position(list_transform(list_zip(string_split(regexp_replace(x, '\s', '', 'g'), ''), string_split(regexp_replace(y, '\s', '', 'g'), '')), lambda z: z[1] is distinct from z[2]), true) p
+from (select doc_id, x, substr(x, 1, 50) || chr(10) || substr(x, 51, 40) || case when length(x) % 2 = 1 then '' else '#' end || substr(x, 91) y from (select doc_id, coalesce(text, '') x from documents)))""")
 def fidelity_first_difference(spark: SparkSession, d: str) -> DataFrame:
     """FLT-12: where two texts first differ but for white space."""
 
@@ -178,7 +189,11 @@ def fidelity_first_difference(spark: SparkSession, d: str) -> DataFrame:
     return D.per_text(read_texts(spark, d).select("doc_id", "text"), "text", "same boolean, place int", one)
 
 
-@query()
+@query(r"""with recursive w as (select doc_id, u.i, sum(1 + length(u.w) // 4) over (partition by doc_id order by u.i) c from (select doc_id, unnest(list_zip(x, range(1, len(x) + 1))) z from (select doc_id, list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '') x from documents)) q, lateral (select q.z[1] w, q.z[2] i) u),
+l as (select doc_id, list(cast(c as bigint) order by i) c from w group by 1),
+r as (select doc_id, c, 1 as n, greatest(1, len(list_filter(c, lambda v: v <= 128))) as e, 0 as start from l
+union all select doc_id, c, n + 1, greatest(b + 1, len(list_filter(c, lambda v: v <= coalesce(c[b], 0) + 128))), b from (select *, greatest(start + 1, 1 + len(list_filter(c, lambda v: v < c[e] - 16))) b from r where e < len(c)))
+select d.doc_id, cast(coalesce(max(n), 0) as integer) as n, cast(coalesce(max(e), 0) as integer) as last_end from documents d left join r using (doc_id) group by 1""")
 def word_budget_windows(spark: SparkSession, d: str) -> DataFrame:
     """SEQ-9: windows of whole words within a budget of pieces."""
 
@@ -189,7 +204,11 @@ def word_budget_windows(spark: SparkSession, d: str) -> DataFrame:
     return D.per_text(read_texts(spark, d).select("doc_id", "text"), "text", "n int, last_end int", one)
 
 
-@query()
+@query(r"""with recursive b as (select user_id, event_id, row_number() over (partition by user_id order by event_id) k, cast(trunc(value % 90 + 10) as integer) w, cast(trunc(value % 40 + 5) as integer) h from events),
+r as (select user_id, event_id, k, 0 as canvas, 0 as x, 0 as y, w, h as shelf from b where k = 1
+union all select user_id, event_id, k, case when full_page then canvas + 1 else canvas end, case when wraps or full_page then 0 else x end, case when full_page then 0 else y end, w, case when wraps or full_page then h else greatest(shelf, h) end
+from (select *, y > 0 and y + h > 100 as full_page from (select b.user_id, b.event_id, b.k, r.canvas, r.x + r.w + b.w > 200 as wraps, r.x + r.w as x, case when r.x + r.w + b.w > 200 then r.y + r.shelf else r.y end as y, b.w, b.h, r.shelf from r join b on b.user_id = r.user_id and b.k = r.k + 1)))
+select user_id, event_id, canvas, x, y from r""")
 def shelf_packing(spark: SparkSession, d: str) -> DataFrame:
     """SEQ-5: boxes in rows of canvases, by user."""
     boxes = read(spark, d, "events").select("user_id", "event_id", (F.col("value") % 90 + 10).cast("int").alias("w"), (F.col("value") % 40 + 5).cast("int").alias("h"))
@@ -209,7 +228,7 @@ def farthest_first(spark: SparkSession, d: str) -> DataFrame:
     return farthest_first_quotas(rows, "vec_id", "tier", "tokens", "v", {"0": 6000, "1": 4000, "2": 2000}, 800)
 
 
-@query()
+@query(r"""select doc_id, case when text is not null then cast(doc_id as varchar) end as n from documents""")
 def json_repair(spark: SparkSession, d: str) -> DataFrame:
     """SRC-13: model JSON with stray backslashes and line breaks."""
     raw = F.concat(F.lit('{"stem": "\\alpha '), F.translate("text", '"', "'"), F.lit('\n", "n": '), "doc_id", F.lit("}"))

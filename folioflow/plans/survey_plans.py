@@ -296,7 +296,8 @@ def typo_injection(spark: SparkSession, d: str) -> DataFrame:
     return D.per_text(docs, "x", "noisy string, changed int", G.typos_of)
 
 
-@query()
+@query(r"""select doc_id, flatten(list_transform(w, lambda x: list_transform(range(0, cast(ceil(length(x) / 4) as bigint)), lambda k: case when regexp_full_match(substr(x, 1, 4), '\d+') then case when k = 0 then 'B-number' else 'I-number' end when regexp_matches(x, '^\p{Lu}') then case when k = 0 then 'B-name' else 'I-name' end else 'O' end))) as labels
+from (select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '\s+'), lambda x: x <> '') w from documents)""")
 def subword_consistency(spark: SparkSession, d: str) -> DataFrame:
     """WIN-9: continuation pieces take their word's label."""
     return D.per_text(read_texts(spark, d).select("doc_id", F.col("text").alias("x")), "x", "labels array<string>", D.smoothed)
