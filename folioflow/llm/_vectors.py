@@ -62,3 +62,29 @@ def groups(batches: Iterable[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple
                 rows.append(row[keys:])
     if rows:
         yield current, rows
+
+
+def matrix(vecs: pa.Array, number: np.dtype) -> np.ndarray:
+    """A binary column of vectors of one length as rows of 64-bit numbers."""
+    vecs = vecs.cast(pa.binary())
+    ends = np.frombuffer(vecs.buffers()[1], dtype=np.int32)[vecs.offset : vecs.offset + len(vecs) + 1]
+    flat = np.frombuffer(vecs.buffers()[2], dtype=number, count=int(ends[-1] - ends[0]) // number.itemsize, offset=int(ends[0]))
+    return flat.reshape(len(vecs), -1).astype(np.float64)
+
+
+def runs(batches: Iterable[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, pa.RecordBatch]]:
+    """Runs of rows alike in their first columns, integers without nulls, of sorted batches: the key, and the rows."""
+    held: pa.RecordBatch | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        if held is not None:
+            batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+        columns = [batch.column(k).to_numpy() for k in range(keys)]
+        new = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
+        cuts = [0, *new.tolist()]
+        for a, b in zip(cuts, cuts[1:]):
+            yield tuple(int(c[a]) for c in columns), batch.slice(a, b - a)
+        held = batch.slice(cuts[-1])
+    if held is not None:
+        yield tuple(int(held.column(k)[0].as_py()) for k in range(keys)), held

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from . import _text as T
 from ._shared import table
-from ._vectors import dimensions, groups, stack, usable
+from ._vectors import dimensions, matrix, runs, usable
 from .components import connected_components
 
 TABLES, PROBES, WIDTH = 10, 1, 2.0
@@ -88,12 +88,12 @@ def _links(dealt: DataFrame, number: np.dtype, least: float, tables: int, probes
 
     dealt: table, cell, i, j, block, home, node, copies, vec."""
 
-    def compare(t: int, cell: int, i: int, j: int, rows: list[tuple]) -> Iterator[tuple]:
-        block, home, node, copies = (np.array([r[k] for r in rows]) for k in range(4))
+    def compare(t: int, cell: int, i: int, j: int, rows: pa.RecordBatch) -> Iterator[tuple]:
+        block, home, node, copies = (rows.column(k).to_numpy(zero_copy_only=False) for k in range(4, 8))
         one, two = np.flatnonzero(block == i), np.flatnonzero(block == j)
         if not one.size or not two.size or not home.any():
             return
-        x = stack((r[4] for r in rows), number)
+        x = matrix(rows.column(8), number)
         norm = np.linalg.norm(x, axis=1)
         rough = (x / norm[:, None]).astype(np.float32)
         near = rough[one] @ rough[two].T >= least - 1e-3
@@ -121,10 +121,10 @@ def _links(dealt: DataFrame, number: np.dtype, least: float, tables: int, probes
                 here = cell_of == cell
         own = here & (where == t)
         a, b = a[own], b[own]
-        grow = np.bincount(a, copies[b], minlength=len(rows)) + np.bincount(b, copies[a], minlength=len(rows))
+        grow = np.bincount(a, copies[b], minlength=rows.num_rows) + np.bincount(b, copies[a], minlength=rows.num_rows)
         for k in np.flatnonzero(grow):
             yield int(node[k]), None, int(grow[k])
-        top = np.arange(len(rows))
+        top = np.arange(rows.num_rows)
 
         def root(k: int) -> int:
             while top[k] != k:
@@ -140,8 +140,8 @@ def _links(dealt: DataFrame, number: np.dtype, least: float, tables: int, probes
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[tuple] = []
-        for (t, cell, i, j), rows in groups(batches, 4):
-            if len(rows) > 1:
+        for (t, cell, i, j), rows in runs(batches, 4):
+            if rows.num_rows > 1:
                 found += compare(t, cell, i, j, rows)
             if len(found) > 10_000:
                 yield _batch(found)
@@ -165,16 +165,17 @@ def near_duplicates(df: DataFrame, *, id_col: str = "vec_id", vector_col: str =
 
         def place(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for lo in range(0, batch.num_rows, 256):
-                    some = batch.slice(lo, 256)
-                    homes, visits = cells(_unit(stack(some.column(0).to_pylist(), number)), tables, probes, width)
-                    codes = np.concatenate((homes[:, :, None], visits), axis=2)
-                    n, each = some.num_rows, tables * (probes + 1)
-                    home = np.tile(np.arange(probes + 1) == 0, n * tables)
-                    at = pa.array(np.repeat(np.arange(n), each))
-                    yield pa.RecordBatch.from_arrays([pa.array(np.tile(np.repeat(np.arange(tables, dtype=np.int32), probes + 1), n)), pa.array(codes.reshape(-1)), pa.array(home), some.column(1).take(at), some.column(2).take(at), some.column(0).take(at)], names=["table", "cell", "home", "node", "copies", "vec"])
-
-        placed = nodes.where(F.col("dim") == dim).select("vec", "node", "copies").mapInArrow(place, "table int, cell long, home boolean, node long, copies long, vec binary")
+                for lo in range(0, batch.num_rows, 1024):
+                    some = batch.slice(lo, 1024)
+                    homes, visits = cells(_unit(matrix(some.column(0), number)), tables, probes, width)
+                    codes = np.concatenate((homes[:, :, None], visits), axis=2).reshape(-1)
+                    ends = np.arange(some.num_rows + 1, dtype=np.int32) * (tables * (probes + 1))
+                    yield pa.RecordBatch.from_arrays([*some.columns, pa.ListArray.from_arrays(pa.array(ends), pa.array(codes))], names=["vec", "node", "copies", "codes"])
+
+        # the codes of a vector lie in one row, home first in each table: they are computed once and dealt out by Spark
+        coded = table(nodes.where(F.col("dim") == dim).select("vec", "node", "copies").mapInArrow(place, "vec binary, node long, copies long, codes array<long>"), "codes")
+        at = F.col("at")
+        placed = coded.select("vec", "node", "copies", F.posexplode("codes").alias("at", "cell")).select(F.floor(at / (probes + 1)).cast("int").alias("table"), "cell", (at % (probes + 1) == 0).alias("home"), "node", "copies", "vec")
         # cells with more members than a block are few: one for each BLOCK rows at most
         large = placed.groupBy("table", "cell").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > BLOCK)
         large = table(large.select("table", "cell", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")), "cells")

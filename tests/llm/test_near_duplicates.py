@@ -6,11 +6,12 @@ import re
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from folioflow import llm
-from folioflow.llm import lattice, minhash
+from folioflow.llm import _vectors, lattice, minhash
 from folioflow.llm.components import connected_components
 
 
@@ -166,3 +167,18 @@ def test_lattice_empty_tables(spark):
     one = spark.createDataFrame([(1, None), (2, [0.0])], "vec_id long, embedding array<float>")
     assert sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in lattice.near_duplicates(one).collect()) == [(1, 0, 1, True), (2, 0, 2, True)]
     assert lattice.near_duplicates(one.withColumn("extra", F.lit(1))).columns == ["vec_id", "n_links", "component_id", "kept"]
+
+
+def test_runs_of_batches_cut_anywhere():
+    rng = np.random.default_rng(8)
+    keys = np.sort(rng.integers(0, 9, 60))
+    other = rng.integers(0, 2, 60)
+    order = np.lexsort((other, keys))
+    keys, other, vecs = keys[order], other[order], rng.normal(size=(60, 3))
+    rows = pa.RecordBatch.from_arrays([pa.array(keys), pa.array(other), pa.array([v.tobytes() for v in vecs], pa.binary())], names=["a", "b", "v"])
+    for size in (1, 7, 60):
+        found = list(_vectors.runs([rows.slice(0, 0)] + [rows.slice(lo, size) for lo in range(0, 60, size)], 2))
+        assert [k for k, _ in found] == sorted(set(zip(keys.tolist(), other.tolist())))
+        assert np.array_equal(np.vstack([_vectors.matrix(r.column(2), np.dtype("<f8")) for _, r in found]), vecs)
+        assert all(set(zip(r.column(0).to_pylist(), r.column(1).to_pylist())) == {k} for k, r in found)
+    assert list(_vectors.runs([], 2)) == []
