@@ -33,18 +33,27 @@ def multi_scale_windows(df: DataFrame, id_col: str, n_col: str, scales: list[tup
 
 
 def anchors(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """doc_id, item_id, place: items (item_id, b, head) whose first words (head) stand in a document.
-
-    Documents and items meet on the item's first word, so that only documents that have it are searched."""
-    firsts = items.withColumn("w", F.split_part("head", F.lit(" "), F.lit(1)))
-    inside = containing(docs, firsts, "w").where(F.expr("instr(text, head) > 0"))
+    """doc_id, item_id, place: items (item_id, b, head) whose first words (head) stand in a document, within its words too."""
+    inside = containing(docs, items, "head").where(F.expr("instr(text, head) > 0"))
     by_start = F.expr("nullif(instr(text, substring(b, 1, 30)), 0)")
     return inside.select("doc_id", "item_id", F.coalesce(by_start, F.expr("instr(text, head)")).cast("long").alias("place"))
 
 
-def containing(docs: DataFrame, items: DataFrame, word: str) -> DataFrame:
-    """Pairs of docs (doc_id, text) and items whose word stands in the document between white space.
-
-    Words travel with ids only; the texts join the pairs that are left, once for each pair."""
-    pairs = docs.select("doc_id", F.explode(F.array_distinct(F.split("text", r"\s+"))).alias(word)).join(items.select("item_id", word), word)
-    return pairs.select("doc_id", "item_id").join(docs, "doc_id").join(items.drop(word), "item_id")
+def containing(docs: DataFrame, items: DataFrame, needle: str) -> DataFrame:
+    """Pairs of docs (doc_id, text) and items in whose text the item's needle may stand; the caller's filter decides.
+
+    What lies between the first and the last blank of a needle stands between the same blanks in every text that holds it, whereas its first and
+    last words may be parts of longer ones.  So pairs meet on two such inner words (the longest two that follow each other) or on
+    the only one; needles without any are looked for in every text.  Inner words travel with ids only, each pair of ids once; the texts
+    join the pairs that are left."""
+    words = lambda c: F.split(c, " ")
+    twos = lambda w: F.zip_with(F.slice(w, F.lit(1), F.greatest(F.size(w) - 1, F.lit(0))), F.slice(w, F.lit(2), F.size(w)), lambda a, b: F.concat(a, F.lit(" "), b))
+    n = F.size(words(needle))
+    inner = F.slice(words(needle), F.lit(2), F.greatest(n - 2, F.lit(0)))
+    longest = F.array_max(F.transform(twos(inner), lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
+    ids = lambda key, of_doc, of_item: docs.select("doc_id", F.explode(F.array_distinct(of_doc)).alias("_w")).join(items.where(key).select("item_id", of_item.alias("_w")), "_w").select("doc_id", "item_id")
+    short = docs.join(items.where(n < 3).select("item_id", F.col(needle).alias("_w")), F.contains("text", "_w")).select("doc_id", "item_id")
+    pairs = ids(n > 3, twos(words("text")), longest).unionAll(ids(n == 3, words("text"), F.get(inner, F.lit(0)))).unionAll(short)
+    pairs = pairs.distinct().toDF("_d", "_i")
+    found = pairs.join(docs, F.col("_d").eqNullSafe(F.col("doc_id"))).join(items, F.col("_i").eqNullSafe(F.col("item_id")))
+    return found.drop("_d", "_i")

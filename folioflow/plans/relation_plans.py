@@ -234,13 +234,9 @@ def gold_exclusion(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _contained(spark: SparkSession, d: str) -> DataFrame:
-    """Documents and the items that stand in them: they meet on the item's longest inner word, then the text decides.
-
-    Only words of items are kept of a document, and ids travel with them, not texts, which join the pairs that are left."""
-    inner = F.expr("slice(split(text, '[ \n]'), 2, greatest(size(split(text, '[ \n]')) - 2, 0))")
-    word = F.array_max(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
-    items = read(spark, d, "benchmark").select("item_id", F.col("text").alias("item"), word.alias("w")).where("w is not null")
-    return W.containing(read_texts(spark, d).select("doc_id", "text"), items, "w").where(F.contains("text", "item")).select("doc_id", "item_id", "text", "item")
+    """Documents and the items that stand in them: they meet on the item's inner words, then the text decides."""
+    items = read(spark, d, "benchmark").select("item_id", F.col("text").alias("item"))
+    return W.containing(read_texts(spark, d).select("doc_id", "text"), items, "item").where(F.contains("text", "item")).select("doc_id", "item_id", "text", "item")
 
 
 @query("select doc_id, item_id, instr(d.text, b.text) as place from documents d, benchmark b where contains(d.text, b.text)")
