@@ -82,3 +82,23 @@ def ranks(df: DataFrame, order: str, *by: str) -> DataFrame:
     own = F.row_number().over(Window.partitionBy("_range", *by).orderBy(order)) - 1
     first = F.broadcast(counts.withColumn("_before", before).drop("_n"))  # ranges x the groups that meet in them
     return cut.withColumn("rank", own).join(first, ["_range", *by]).withColumn("rank", F.col("rank") + F.col("_before")).drop("_range", "_before")
+
+
+def count_between(points: DataFrame, probes: DataFrame, by: str, at: str, low: str, high: str, width: float) -> DataFrame:
+    """probes (by, low, high) that have points (by, at) of their group between low and high, both included, with their number n.
+
+    Pairs are not made: points and both ends of the probes are sorted within buckets of about width, and the points before
+    an end are those of earlier buckets and those before it in its own.  Equal points, and equal probes, are one row each."""
+    key = lambda c: (F.col(c) + F.lit(0.0)).alias("v")  # noqa: E731 - one zero
+    known = points.where(F.col(by).isNotNull() & F.col(at).isNotNull()).groupBy(by, key(at)).agg(F.count(F.lit(1)).alias("w")).select(by, "v", F.lit(1).alias("kind"), "w")
+    asked = probes.where(F.col(by).isNotNull()).select(by, low, high).distinct()
+    ends = asked.select(by, F.explode(F.array(*[F.struct(key(c), F.lit(kind).alias("kind")) for c, kind in ((low, 0), (high, 2))])).alias("e")).select(by, "e.v", "e.kind").where("v is not null").distinct()
+    rows = known.unionByName(ends.withColumn("w", F.lit(0).cast("long"))).withColumn("b", F.rint(F.col("v") / width))
+    before = F.sum("w").over(Window.partitionBy(by).orderBy("b")) - F.col("w")
+    earlier = rows.groupBy(by, "b").agg(F.sum("w").alias("w")).select(by, "b", before.alias("before"))
+    own = F.sum("w").over(Window.partitionBy(by, "b").orderBy("v", "kind").rowsBetween(Window.unboundedPreceding, 0))
+    found = rows.withColumn("own", own).where("kind <> 1").join(earlier, [by, "b"]).select(by, "v", "kind", (F.col("own") + F.col("before")).alias("n"))
+    up_to = lambda kind, n: found.where(F.col("kind") == kind).select(F.col(by).alias("_by"), F.col("v").alias("_v"), F.col("n").alias(n))
+    for kind, end, n in ((0, low, "n0"), (2, high, "n2")):
+        asked = asked.join(up_to(kind, n), (F.col(by) == F.col("_by")) & ((F.col(end) + F.lit(0.0)) == F.col("_v"))).drop("_by", "_v")
+    return asked.select(by, low, high, (F.col("n2") - F.col("n0")).alias("n")).where("n > 0")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from folioflow.operators.relational import count_between
 from folioflow.registry import query, read
 
 
@@ -42,8 +43,10 @@ def bl_anti(spark: SparkSession, d: str) -> DataFrame:
 
 @query("select s_suppkey, count(*) as n from supplier join customer on s_nationkey = c_nationkey and c_acctbal between s_acctbal - 500 and s_acctbal + 500 group by s_suppkey")
 def bl_theta_range(spark: SparkSession, d: str) -> DataFrame:
-    s, c = read(spark, d, "supplier"), read(spark, d, "customer")
-    return s.join(c, (s.s_nationkey == c.c_nationkey) & c.c_acctbal.between(s.s_acctbal - 500, s.s_acctbal + 500)).groupBy("s_suppkey").agg(F.count(F.lit(1)).alias("n"))
+    ends = [(F.col("s_acctbal") - 500).alias("low"), (F.col("s_acctbal") + 500).alias("high")]
+    s = read(spark, d, "supplier").select("s_suppkey", F.col("s_nationkey").alias("k"), *ends)
+    c = read(spark, d, "customer").select(F.col("c_nationkey").alias("k"), "c_acctbal")
+    return s.join(count_between(c, s, "k", "c_acctbal", "low", "high", 10.0), ["k", "low", "high"]).groupBy("s_suppkey").agg(F.sum("n").alias("n"))
 
 
 @query("select l_returnflag, l_linestatus, round(sum(l_quantity), 2) as qty, count(*) as n from lineitem where l_shipdate <= timestamp '1998-09-02' group by rollup (l_returnflag, l_linestatus)")
