@@ -5,9 +5,13 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
 from . import exam as E
@@ -15,26 +19,50 @@ from . import spans as S
 from . import synthetic as G
 
 SPANS = "array<struct<start:int,end:int,label:string>>"
+#: Bytes of text that are Python objects at a time.
+PART = 1 << 20
 
 
 def _rows(spans: list[S.Span]) -> list[tuple[int, int, str]]:
     return [(s.start, s.end, s.label) for s in spans]
 
 
+def parts(batch: pa.RecordBatch, columns: list[str], most: int = PART) -> Iterator[pa.RecordBatch]:
+    """A batch in stretches of rows whose texts (columns of strings, or of lists of them) take about so many bytes; a longer row is one by itself.
+
+    A batch has ever more rows as a table grows, and its texts as Python objects with all that is made of them take many times
+    its bytes; so only one stretch at a time becomes Python objects."""
+    size = np.zeros(batch.num_rows, dtype=np.int64)
+    for c in columns:
+        column = batch.column(c)
+        if pa.types.is_list(column.type) or pa.types.is_large_list(column.type):
+            lengths = pc.fill_null(pc.binary_length(column.flatten()), 0)
+            np.add.at(size, pc.list_parent_indices(column).to_numpy(), lengths.to_numpy(zero_copy_only=False))
+        else:
+            size += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(size)
+    at = 0
+    while at < batch.num_rows:
+        upto = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, side="right"))
+        upto = max(at + 1, upto)
+        yield batch.slice(at, upto - at)
+        at = upto
+
+
 def per_texts(df: DataFrame, texts: list[str], fields: str, f: Callable[..., dict]) -> DataFrame:
     """df without its texts, and with the fields that f gives for them; null texts count as empty."""
     keep = [c for c in df.columns if c not in texts]
-    schema = StructType([*[df.schema[c] for c in keep], *StructType.fromDDL(fields)])
+    added = StructType.fromDDL(fields)
+    types = [(x.name, to_arrow_type(x.dataType)) for x in added]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [f(*(x or "" for x in row)) for row in zip(*(batch[t] for t in texts), strict=True)]
-            out = batch[keep].copy()
-            for name in schema.names[len(keep) :]:
-                out[name] = [m[name] for m in made]
-            yield out
+            for part in parts(batch, texts):
+                made = [f(*(x or "" for x in row)) for row in zip(*(part.column(t).to_pylist() for t in texts), strict=True)]
+                new = [pa.array([m[name] for m in made], kind) for name, kind in types]
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *new], [*keep, *added.names])
 
-    return df.mapInPandas(run, schema)
+    return df.mapInArrow(run, StructType([*[df.schema[c] for c in keep], *added]))
 
 
 def per_text(df: DataFrame, text: str, fields: str, f: Callable[[str], dict]) -> DataFrame:
@@ -92,16 +120,18 @@ def merge(df: DataFrame, doc: str, order: str, raw: str, chunk: str) -> DataFram
 
     The chunks of a document come together in an aggregation; Python then sees batches of documents, not a call for each."""
     empty = lambda c: F.coalesce(F.col(c), F.lit(""))
-    parts = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), empty(raw).alias("r"), empty(chunk).alias("c"))))
-    docs = df.groupBy(doc).agg(parts.alias("p")).select(doc, F.transform("p", lambda p: p["r"]).alias("raws"), F.transform("p", lambda p: p["c"]).alias("chunks"))
-    schema = StructType([docs.schema[doc], *StructType.fromDDL("tagged string, level string, n_spans int")])
+    given = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), empty(raw).alias("r"), empty(chunk).alias("c"))))
+    docs = df.groupBy(doc).agg(given.alias("p")).select(doc, F.transform("p", lambda p: p["r"]).alias("raws"), F.transform("p", lambda p: p["c"]).alias("chunks"))
+    added = StructType.fromDDL("tagged string, level string, n_spans int")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [S.merge_raw(list(raws), list(chunks)) for raws, chunks in zip(batch["raws"], batch["chunks"], strict=True)]
-            yield pd.DataFrame({doc: batch[doc], "tagged": [m[1] for m in made], "level": [m[3] for m in made], "n_spans": [len(m[2]) for m in made]})
+            for part in parts(batch, ["raws", "chunks"]):
+                made = [S.merge_raw(raws, chunks) for raws, chunks in zip(part.column("raws").to_pylist(), part.column("chunks").to_pylist(), strict=True)]
+                new = [pa.array([m[1] for m in made], pa.string()), pa.array([m[3] for m in made], pa.string()), pa.array([len(m[2]) for m in made], pa.int32())]
+                yield pa.RecordBatch.from_arrays([part.column(doc), *new], [doc, *added.names])
 
-    return docs.mapInPandas(run, schema)
+    return docs.mapInArrow(run, StructType([docs.schema[doc], *added]))
 
 
 def chunk_pages(df: DataFrame, doc: str, page: str, words: str, target: int, most: int, overlap: int = 1) -> DataFrame:
